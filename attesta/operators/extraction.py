@@ -112,132 +112,156 @@ def call_model(
 # --- responses -----------------------------------------------------------------
 
 
-def _strict_json(text) -> Column:
-    """VARIANT of a text that holds exactly one JSON value, else NULL.
+def _single_values(text) -> Column:
+    """JSON values in a text, as a list; NULL when the text is malformed.
 
-    The parser ignores what follows the first value; inside brackets any
+    The parser ignores what follows the first value of a text. Inside brackets
     trailing text makes the list malformed or longer than one.
     """
-    boxed = F.try_variant_get(
-        F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>"
+    boxed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.try_variant_get(boxed, "$", "array<variant>")
+
+
+def parse_responses(
+    responses: DataFrame, params: ExtractionParams = ExtractionParams()
+) -> DataFrame:
+    """Add ``items`` (the first few list entries) and ``parse_error``.
+
+    Code fences are removed; text that is not one JSON value is cut from its
+    first { to its last } and tried again. The cap counts malformed entries
+    too. An entry that is not an object makes the whole response fail.
+    """
+    opened = F.regexp_replace(strip("raw_response"), r"^```(?:json)?\s*", "")
+    unfenced = responses.withColumn("body", F.regexp_replace(opened, r"\s*```$", ""))
+    direct = unfenced.withColumn("direct", _single_values(F.col("body")))
+    whole = F.coalesce(F.size("direct") == 1, F.lit(False))
+    inner = direct.withColumn(
+        "inner",
+        F.when(~whole, _single_values(F.regexp_substr("body", F.lit(r"(?s)\{.*\}")))),
+    )
+    parsed = inner.withColumn(
+        "doc",
+        F.when(whole, F.get("direct", 0)).when(F.size("inner") == 1, F.get("inner", 0)),
+    )
+    listed = parsed.withColumn("kind", F.schema_of_variant("doc")).withColumn(
+        "items",
+        F.slice(
+            F.try_variant_get("doc", "$.evidence_items", "array<variant>"),
+            1,
+            params.items_per_chunk,
+        ),
+    )
+    broken = F.exists("items", lambda item: ~F.schema_of_variant(item).startswith("OBJECT"))
+    error = (
+        F.when(F.col("doc").isNull(), F.lit("no JSON in response"))
+        .when(~F.col("kind").startswith("OBJECT"), F.lit("response is not an object"))
+        .when(F.coalesce(broken, F.lit(False)), F.lit("entry is not an object"))
+    )
+    return (
+        listed.withColumn("parse_error", error)
+        .withColumn("items", F.when(F.col("parse_error").isNull(), F.col("items")))
+        .drop("body", "direct", "inner", "doc", "kind")
     )
-    return F.when(F.size(boxed) == 1, F.get(boxed, 0))
 
 
-def response_object(raw) -> Column:
-    """JSON value of a response: fences removed, else from first { to last }."""
-    opened = F.regexp_replace(strip(raw), r"^```(?:json)?\s*", "")
-    body = F.regexp_replace(opened, r"\s*```$", "")
-    return F.coalesce(_strict_json(body), _strict_json(F.regexp_substr(body, F.lit(r"(?s)\{.*\}"))))
+_LISTS = ("candidate_sdgs", "evidence_tags")
+
+
+def _entry(item) -> Column:
+    """Kind and text of every expected field of one list entry."""
+    kinds = {
+        name: F.schema_of_variant(F.try_variant_get(item, f"$.{name}", "variant"))
+        for name in k.RESPONSE_FIELDS
+    }
+    texts = {
+        name: F.try_variant_get(item, f"$.{name}", "string")
+        for name in k.RESPONSE_FIELDS
+        if name not in _LISTS
+    }
+    quote = strip(_text_of(kinds["evidence_text"], texts["evidence_text"]))
+    return F.struct(
+        F.concat(*kinds.values()).isNotNull().alias("complete"),
+        (F.coalesce(quote, F.lit("")) != "").alias("has_text"),
+        *[kind.alias(f"kind_{name}") for name, kind in kinds.items()],
+        *[text.alias(f"text_{name}") for name, text in texts.items()],
+        *[_list_of(item, name).alias(name) for name in _LISTS],
+    )
+
 
+def response_items(parsed: DataFrame) -> DataFrame:
+    """One row per entry, with its position and the parts of its fields.
 
-def _type_name(value) -> Column:
-    return F.coalesce(F.schema_of_variant(value), F.lit("MISSING"))
+    Fields are taken apart inside the list, before it is expanded: rules on the
+    rows then refer to plain columns, which keeps the plan small.
+    """
+    others = [c for c in parsed.columns if c not in ("items", "raw_response", "parse_error")]
+    return parsed.select(
+        *others, F.posexplode(F.transform("items", _entry)).alias("item_no", "item")
+    )
 
 
-def _text_of(value) -> Column:
-    kind = _type_name(value)
-    as_text = F.try_variant_get(value, "$", "string")
+def _text_of(kind, text) -> Column:
+    """Text form of a JSON value: null and booleans by name, numbers as written."""
     return (
         F.when(kind == "VOID", F.lit("None"))
-        .when(kind == "BOOLEAN", F.initcap(as_text))
-        .when(kind == "STRING", as_text)
-        .otherwise(F.coalesce(as_text, F.to_json(value)))
+        .when(kind == "BOOLEAN", F.initcap(text))
+        .otherwise(text)
     )
 
 
-def _truth_of(value, strict: bool) -> Column:
-    kind = _type_name(value)
-    flag = F.coalesce(F.try_variant_get(value, "$", "boolean"), F.lit(False))
+def _truth_of(kind, text, strict: bool) -> Column:
+    """Truth of a JSON value. Unless strict, any non-empty text counts as true."""
     if strict:
-        return (kind == "BOOLEAN") & flag
+        return (kind == "BOOLEAN") & (text == "true")
     return (
-        F.when(kind == "BOOLEAN", flag)
-        .when(kind == "STRING", F.length(F.try_variant_get(value, "$", "string")) > 0)
-        .when(kind.isin("VOID", "MISSING"), F.lit(False))
-        .when(
-            kind.startswith("ARRAY") | kind.startswith("OBJECT"),
-            ~F.to_json(value).isin("[]", "{}"),
-        )
-        .otherwise(F.coalesce(F.try_variant_get(value, "$", "double") != 0.0, F.lit(True)))
+        F.when(kind == "BOOLEAN", text == "true")
+        .when(kind == "STRING", text != "")
+        .when(kind == "VOID", F.lit(False))
+        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~text.isin("[]", "{}"))
+        .otherwise(F.coalesce(text.try_cast("double") != 0.0, F.lit(True)))
     )
 
 
-def _number_of(value, default: float) -> Column:
-    kind = _type_name(value)
-    text = strip(F.try_variant_get(value, "$", "string"))
-    plain = text.rlike(r"^(?i)[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?$")
-    number = (
-        F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("int").cast("double"))
-        .when(kind == "STRING", F.when(plain, text.try_cast("double")))
-        .when(kind.isin("VOID", "MISSING"), F.lit(None).cast("double"))
-        .otherwise(F.try_variant_get(value, "$", "double"))
+def _number_of(kind, text, default: float) -> Column:
+    """Number between 0 and 1; what is not a number becomes the default."""
+    plain = r"^(?i)\s*[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?\s*$"
+    number = F.when(kind == "BOOLEAN", (text == "true").cast("double")).when(
+        text.rlike(plain), text.try_cast("double")
     )
     return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), number)), F.lit(default))
 
 
-def _strings_of(value) -> Column:
-    entries = F.try_variant_get(value, "$", "array<variant>")
-    return F.coalesce(F.transform(entries, _text_of), F.array().cast("array<string>"))
-
-
-def parse_responses(
-    responses: DataFrame, params: ExtractionParams = ExtractionParams()
-) -> DataFrame:
-    """Add ``items`` (the first few list entries) and ``parse_error``.
-
-    The cap counts malformed entries too. An entry that is not an object makes
-    the whole response fail, as does text without one JSON object.
-    """
-    parsed = responses.withColumn("doc", response_object(F.col("raw_response")))
-    listed = parsed.withColumn(
-        "listed", F.try_variant_get("doc", "$.evidence_items", "array<variant>")
-    ).withColumn("items", F.slice("listed", 1, params.items_per_chunk))
-    broken = F.exists("items", lambda item: ~_type_name(item).startswith("OBJECT"))
-    error = (
-        F.when(F.col("doc").isNull(), F.lit("no JSON in response"))
-        .when(~_type_name(F.col("doc")).startswith("OBJECT"), F.lit("response is not an object"))
-        .when(F.coalesce(broken, F.lit(False)), F.lit("entry is not an object"))
-    )
-    return (
-        listed.withColumn("parse_error", error)
-        .withColumn("items", F.when(F.col("parse_error").isNull(), F.col("items")))
-        .drop("doc", "listed")
-    )
-
-
-def response_items(parsed: DataFrame) -> DataFrame:
-    """One row per entry, with its position."""
-    others = [c for c in parsed.columns if c not in ("items", "raw_response", "parse_error")]
-    return parsed.select(*others, F.posexplode("items").alias("item_no", "item"))
+def _list_of(item, name: str) -> Column:
+    entries = F.try_variant_get(item, f"$.{name}", "array<string>")
+    named = F.transform(entries, lambda x: F.coalesce(x, F.lit("None")))
+    return F.coalesce(named, F.array().cast("array<string>"))
 
 
 def coerce_items(items: DataFrame, params: ExtractionParams = ExtractionParams()) -> DataFrame:
     """Typed evidence fields of each entry; entries with a missing field or an
     empty evidence text are dropped."""
-    required = F.array(*[F.lit(name) for name in k.RESPONSE_FIELDS])
-    fields = items.withColumn("f", F.try_variant_get("item", "$", "map<string,variant>"))
-    complete = fields.filter(F.size(F.array_except(required, F.map_keys("f"))) == 0)
+    others = [c for c in items.columns if c != "item"]
 
-    def field(name: str) -> Column:
-        return F.col("f")[name]
+    def parts(name: str) -> tuple[Column, Column]:
+        return F.col(f"item.kind_{name}"), F.col(f"item.text_{name}")
 
-    others = [c for c in items.columns if c != "item"]
-    typed = complete.select(
+    def text(name: str) -> Column:
+        return strip(_text_of(*parts(name))).alias(name)
+
+    def truth(name: str) -> Column:
+        return _truth_of(*parts(name), params.strict_flags).alias(name)
+
+    return items.filter(F.col("item.complete") & F.col("item.has_text")).select(
         *others,
-        strip(_text_of(field("evidence_text"))).alias("evidence_text"),
-        strip(_text_of(field("evidence_summary"))).alias("evidence_summary"),
-        _strings_of(field("candidate_sdgs")).alias("candidate_sdgs"),
-        _strings_of(field("evidence_tags")).alias("evidence_tags"),
-        strip(_text_of(field("implementation_stage"))).alias("implementation_stage"),
-        _truth_of(field("quantitative_support"), params.strict_flags).alias(
-            "quantitative_support"
-        ),
-        _truth_of(field("oversight_support"), params.strict_flags).alias("oversight_support"),
-        _number_of(field("confidence"), params.default_confidence).alias("confidence"),
-        strip(_text_of(field("rationale"))).alias("rationale"),
+        text("evidence_text"),
+        text("evidence_summary"),
+        *[F.col(f"item.{name}").alias(name) for name in _LISTS],
+        text("implementation_stage"),
+        truth("quantitative_support"),
+        truth("oversight_support"),
+        _number_of(*parts("confidence"), params.default_confidence).alias("confidence"),
+        text("rationale"),
     )
-    return typed.filter(F.col("evidence_text") != "")
 
 
 def to_records(

@@ -27,7 +27,7 @@ LEXICON = {
     "es": ["cion", "los", "que", "ado", "ent"],
 }
 SEARCH = RetrievalParams(
-    top_k=5, lexicon=LEXICON, rhetoric=(r"\bthe\b", r"\bles?\b"), action=(r"\d{2}", r"@")
+    top_k=5, lexicon=LEXICON, rhetoric=(r"the ", r"les? "), action=(r"[0-9]{2}", r"@")
 )
 
 
