@@ -29,5 +29,5 @@ def register(name: str, sql: str | None = None):
     return keep
 
 
-for _area in ("records", "tables", "texts", "models"):
+for _area in ("records", "tables", "texts", "models", "series", "files"):
     import_module(f"attesta.plans.catalog.{_area}")
