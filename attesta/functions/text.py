@@ -15,6 +15,11 @@ SPACE_CHARS = (
 SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 
+def once(value, use) -> Column:
+    """``use(value)`` with the value computed a single time."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def strip(col) -> Column:
     return F.trim(col, F.lit(SPACE_CHARS))
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attesta import constants as k
-from attesta.functions.text import strip
+from attesta.functions.text import once, strip
 from attesta.params import ExtractionParams
 
 PROMPT_TEMPLATE = (
@@ -112,14 +112,47 @@ def call_model(
 # --- responses -----------------------------------------------------------------
 
 
-def _single_values(text) -> Column:
-    """JSON values in a text, as a list; NULL when the text is malformed.
+def _single_value(text) -> Column:
+    """VARIANT of a text that holds exactly one JSON value, else NULL.
 
     The parser ignores what follows the first value of a text. Inside brackets
     trailing text makes the list malformed or longer than one.
     """
-    boxed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.try_variant_get(boxed, "$", "array<variant>")
+    boxed = F.try_variant_get(
+        F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>"
+    )
+    return once(boxed, lambda b: F.when(F.size(b) == 1, F.get(b, 0)))
+
+
+def _document(body) -> Column:
+    """The body as one JSON value, else its part from the first { to the last }."""
+    inner = F.regexp_substr(body, F.lit(r"(?s)\{.*\}"))
+    return once(
+        _single_value(body),
+        lambda doc: F.when(doc.isNotNull(), doc).otherwise(_single_value(inner)),
+    )
+
+
+def _outcome(doc, limit: int) -> Column:
+    """Error and usable entries of a parsed response."""
+    kind = F.schema_of_variant(doc)
+    entries = F.slice(F.try_variant_get(doc, "$.evidence_items", "array<variant>"), 1, limit)
+    none = F.lit(None).cast("array<variant>")
+
+    def failed(message: str) -> Column:
+        return F.struct(F.lit(message).alias("parse_error"), none.alias("items"))
+
+    def checked(items) -> Column:
+        broken = F.exists(items, lambda item: ~F.schema_of_variant(item).startswith("OBJECT"))
+        return F.when(F.coalesce(broken, F.lit(False)), failed("entry is not an object")).otherwise(
+            F.struct(F.lit(None).cast("string").alias("parse_error"), items.alias("items"))
+        )
+
+    return (
+        F.when(doc.isNull(), failed("no JSON in response"))
+        .when(~kind.startswith("OBJECT"), failed("response is not an object"))
+        .otherwise(once(entries, checked))
+    )
 
 
 def parse_responses(
@@ -129,39 +162,15 @@ def parse_responses(
 
     Code fences are removed; text that is not one JSON value is cut from its
     first { to its last } and tried again. The cap counts malformed entries
-    too. An entry that is not an object makes the whole response fail.
+    too. An entry that is not an object makes the whole response fail. A
+    response is parsed once: later filters see finished columns.
     """
     opened = F.regexp_replace(strip("raw_response"), r"^```(?:json)?\s*", "")
-    unfenced = responses.withColumn("body", F.regexp_replace(opened, r"\s*```$", ""))
-    direct = unfenced.withColumn("direct", _single_values(F.col("body")))
-    whole = F.coalesce(F.size("direct") == 1, F.lit(False))
-    inner = direct.withColumn(
-        "inner",
-        F.when(~whole, _single_values(F.regexp_substr("body", F.lit(r"(?s)\{.*\}")))),
-    )
-    parsed = inner.withColumn(
-        "doc",
-        F.when(whole, F.get("direct", 0)).when(F.size("inner") == 1, F.get("inner", 0)),
-    )
-    listed = parsed.withColumn("kind", F.schema_of_variant("doc")).withColumn(
-        "items",
-        F.slice(
-            F.try_variant_get("doc", "$.evidence_items", "array<variant>"),
-            1,
-            params.items_per_chunk,
-        ),
-    )
-    broken = F.exists("items", lambda item: ~F.schema_of_variant(item).startswith("OBJECT"))
-    error = (
-        F.when(F.col("doc").isNull(), F.lit("no JSON in response"))
-        .when(~F.col("kind").startswith("OBJECT"), F.lit("response is not an object"))
-        .when(F.coalesce(broken, F.lit(False)), F.lit("entry is not an object"))
-    )
-    return (
-        listed.withColumn("parse_error", error)
-        .withColumn("items", F.when(F.col("parse_error").isNull(), F.col("items")))
-        .drop("body", "direct", "inner", "doc", "kind")
+    body = F.regexp_replace(opened, r"\s*```$", "")
+    result = once(
+        once(body, _document), lambda doc: _outcome(doc, params.items_per_chunk)
     )
+    return responses.select("*", F.inline(F.array(result)))
 
 
 _LISTS = ("candidate_sdgs", "evidence_tags")

@@ -37,11 +37,13 @@ def score_value() -> Column:
 
 
 def strength_label(score) -> Column:
-    return (
-        F.when(score <= k.WEAK_LIMIT, F.lit("weak"))
-        .when(score <= k.MODERATE_LIMIT, F.lit("moderate"))
-        .otherwise(F.lit("strong"))
-    )
+    """Label of a score from 1 up to the cap, read from a small table so that
+    the score expression is used once."""
+    labels = [
+        "weak" if n <= k.WEAK_LIMIT else "moderate" if n <= k.MODERATE_LIMIT else "strong"
+        for n in range(1, k.SCORE_CAP + 1)
+    ]
+    return F.get(F.array(*[F.lit(x) for x in labels]), score - 1)
 
 
 def score(valid: DataFrame) -> DataFrame:

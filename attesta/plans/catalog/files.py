@@ -4,12 +4,13 @@ from pyspark.sql import functions as F
 
 from attesta import constants as k
 from attesta import schemas
-from attesta.operators import findings
+from attesta.operators import findings, validation
 from attesta.plans.catalog import register
 from attesta.plans.catalog.records import ASSESSMENT_SQL, BY_GOAL_SQL
 from attesta.plans.catalog.models import RESULTS_SQL
 from attesta.plans.driver_tables import ALL_SCORED_SQL, RUNS_SQL, SCORED_SQL
 from attesta.plans.report import report_findings
+from attesta.plans.staging import staged
 from attesta.sinks import documents, texts
 from attesta.sources import items, runs
 
@@ -152,16 +153,23 @@ def run_progress(t):
     return runs.run_progress(status(t))
 
 
-def run_documents(t):
-    records = t.all_scored()
+def stage_inputs(t):
+    """Records computed once for all tables of a report, reports and errors."""
+    records = staged(t.all_scored())
+    valid = validation.valid_only(records)
     reports = t.reports().join(
-        findings.overall_assessment(t.scored(), t.reports()), findings.REPORT
+        findings.overall_assessment(valid, t.reports()), findings.REPORT
     )
-    errors = t.rejected().filter(F.col("page_number") == 39).select(
+    errors = validation.rejected_only(records).filter(F.col("page_number") == 39).select(
         *findings.REPORT, F.concat(F.lit("chunk failed: "), F.col("evidence_id")).alias("message")
     )
+    return records, valid, reports, errors
+
+
+def run_documents(t):
+    records, valid, reports, errors = stage_inputs(t)
     return documents.run_documents(
-        reports, records, findings.goal_summaries(t.scored()), errors, "2024-01-01T12:00:00",
+        reports, records, findings.goal_summaries(valid), errors, "2024-01-01T12:00:00",
         per_part=50,
     )
 
@@ -262,13 +270,8 @@ def evaluation_flat(t):
 
 
 def report_lines(t):
-    reports = t.reports().join(
-        findings.overall_assessment(t.scored(), t.reports()), findings.REPORT
-    )
-    tables = report_findings(t.all_scored(), t.reports())
-    errors = t.rejected().filter(F.col("page_number") == 39).select(
-        *findings.REPORT, F.concat(F.lit("chunk failed: "), F.col("evidence_id")).alias("message")
-    )
+    records, _, reports, errors = stage_inputs(t)
+    tables = report_findings(records, t.reports())
     return texts.report_lines(
         reports, tables["summary"], tables["goals"], tables["strongest"], tables["moderate"],
         tables["reasons"], errors, "2024-01-01 12:00:00",

@@ -1,0 +1,25 @@
+"""Stage results that several later plans read."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Compute a frame once and cut its lineage.
+
+    The data goes to the shared checkpoint folder the session names, so it
+    outlives lost executors. Only a local session without that setting gets a
+    folder of its own; a cluster session without it recomputes instead.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="attesta-checkpoint-")
+        if folder is None:
+            return df
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
