@@ -237,7 +237,8 @@ def _number_of(kind, text, default: float) -> Column:
     number = F.when(kind == "BOOLEAN", (text == "true").cast("double")).when(
         text.rlike(plain), text.try_cast("double")
     )
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), number)), F.lit(default))
+    # greatest and least skip NULL, so the default must be chosen first.
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(number, F.lit(default))))
 
 
 def _list_of(item, name: str) -> Column:

@@ -148,9 +148,8 @@ def calibration(wide: DataFrame, keys: list[str] = ()) -> DataFrame:
         F.regr_sxy("computed_score", "confidence").alias("sxy"),
         F.regr_avgx("computed_score", "confidence").alias("mean_confidence"),
     )
-    residual = F.greatest(
-        F.lit(0.0), F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx"))
-    )
+    left = F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx"))
+    residual = F.when(left < 0, F.lit(0.0)).otherwise(left)
     return fit.withColumn("residual_se", F.sqrt(F.try_divide(residual, F.col("n") - 2)))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from attesta.functions.blocks import first_n
 from attesta.functions.numbers import round_binary
-from attesta.functions.text import any_match
+from attesta.functions.text import any_match, once
 from attesta.functions.vectors import blend, cosine, norm
 from attesta.params import RetrievalParams
 
@@ -27,7 +27,8 @@ def _hits(lowered: Column, keywords: list[str]) -> Column:
 
 def keyword_hits(text, lexicon: dict) -> Column:
     """Distinct lexicon entries contained in the text, in lexicon order."""
-    return _hits(F.lower(text), _distinct_keywords(lexicon))
+    keywords = _distinct_keywords(lexicon)
+    return once(F.lower(text), lambda lowered: _hits(lowered, keywords))
 
 
 def keyword_score(hits, full: int = 8) -> Column:
@@ -43,17 +44,21 @@ def keyword_profile(
     chunks: DataFrame, keys: list[str], params: RetrievalParams = RetrievalParams()
 ) -> DataFrame:
     """Number of distinct keywords per chunk and lexicon category, zeros left out."""
-    lowered = F.lower("text")
-    counts = F.array(
-        *[
-            F.struct(
-                F.lit(category).alias("category"),
-                F.size(_hits(lowered, list(dict.fromkeys(group)))).alias("n_hits"),
-            )
-            for category, group in params.lexicon.items()
-        ]
+
+    def counts(lowered: Column) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(category).alias("category"),
+                    F.size(_hits(lowered, list(dict.fromkeys(group)))).alias("n_hits"),
+                )
+                for category, group in params.lexicon.items()
+            ]
+        )
+
+    return chunks.select(*keys, F.inline(once(F.lower("text"), counts))).filter(
+        F.col("n_hits") > 0
     )
-    return chunks.select(*keys, F.inline(counts)).filter(F.col("n_hits") > 0)
 
 
 def embed_texts(
