@@ -127,8 +127,12 @@ def _single_value(text) -> Column:
 def _document(body) -> Column:
     """The body as one JSON value, else its part from the first { to the last }."""
     inner = F.regexp_substr(body, F.lit(r"(?s)\{.*\}"))
+    # Text without matching outer brackets is not worth a failing parse.
+    bracketed = (body.startswith("{") & body.endswith("}")) | (
+        body.startswith("[") & body.endswith("]")
+    )
     return once(
-        _single_value(body),
+        F.when(bracketed, _single_value(body)),
         lambda doc: F.when(doc.isNotNull(), doc).otherwise(_single_value(inner)),
     )
 
@@ -165,8 +169,17 @@ def parse_responses(
     too. An entry that is not an object makes the whole response fail. A
     response is parsed once: later filters see finished columns.
     """
-    opened = F.regexp_replace(strip("raw_response"), r"^```(?:json)?\s*", "")
-    body = F.regexp_replace(opened, r"\s*```$", "")
+
+    def unfenced(text) -> Column:
+        """Fences are looked for only where a response begins or ends with one."""
+        opened = F.when(
+            text.startswith("```"), F.regexp_replace(text, r"^```(?:json)?\s*", "")
+        ).otherwise(text)
+        return F.when(
+            text.endswith("```"), F.regexp_replace(opened, r"\s*```$", "")
+        ).otherwise(opened)
+
+    body = once(strip("raw_response"), unfenced)
     result = once(
         once(body, _document), lambda doc: _outcome(doc, params.items_per_chunk)
     )
@@ -178,23 +191,25 @@ _LISTS = ("candidate_sdgs", "evidence_tags")
 
 def _entry(item) -> Column:
     """Kind and text of every expected field of one list entry."""
-    kinds = {
-        name: F.schema_of_variant(F.try_variant_get(item, f"$.{name}", "variant"))
-        for name in k.RESPONSE_FIELDS
-    }
-    texts = {
-        name: F.try_variant_get(item, f"$.{name}", "string")
-        for name in k.RESPONSE_FIELDS
-        if name not in _LISTS
-    }
-    quote = strip(_text_of(kinds["evidence_text"], texts["evidence_text"]))
-    return F.struct(
-        F.concat(*kinds.values()).isNotNull().alias("complete"),
-        (F.coalesce(quote, F.lit("")) != "").alias("has_text"),
-        *[kind.alias(f"kind_{name}") for name, kind in kinds.items()],
-        *[text.alias(f"text_{name}") for name, text in texts.items()],
-        *[_list_of(item, name).alias(name) for name in _LISTS],
-    )
+    required = F.array(*[F.lit(name) for name in k.RESPONSE_FIELDS])
+
+    def parts(fields) -> Column:
+        kinds = {name: F.schema_of_variant(fields[name]) for name in k.RESPONSE_FIELDS}
+        texts = {
+            name: F.try_variant_get(fields[name], "$", "string")
+            for name in k.RESPONSE_FIELDS
+            if name not in _LISTS
+        }
+        quote = strip(_text_of(kinds["evidence_text"], texts["evidence_text"]))
+        return F.struct(
+            (F.size(F.array_except(required, F.map_keys(fields))) == 0).alias("complete"),
+            (F.coalesce(quote, F.lit("")) != "").alias("has_text"),
+            *[kinds[n].alias(f"kind_{n}") for n in k.RESPONSE_FIELDS if n not in _LISTS],
+            *[text.alias(f"text_{name}") for name, text in texts.items()],
+            *[_list_of(fields[name]).alias(name) for name in _LISTS],
+        )
+
+    return once(F.try_variant_get(item, "$", "map<string,variant>"), parts)
 
 
 def response_items(parsed: DataFrame) -> DataFrame:
@@ -241,8 +256,8 @@ def _number_of(kind, text, default: float) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(number, F.lit(default))))
 
 
-def _list_of(item, name: str) -> Column:
-    entries = F.try_variant_get(item, f"$.{name}", "array<string>")
+def _list_of(value) -> Column:
+    entries = F.try_variant_get(value, "$", "array<string>")
     named = F.transform(entries, lambda x: F.coalesce(x, F.lit("None")))
     return F.coalesce(named, F.array().cast("array<string>"))
 

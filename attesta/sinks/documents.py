@@ -79,7 +79,7 @@ def run_documents(
         _records_in_order(F.collect_list(F.when(valid, ordered))).alias("validated_evidence"),
         _records_in_order(F.collect_list(F.when(~valid, ordered))).alias("rejected_evidence"),
     )
-    messages = parted(errors, F.col("message")).groupBy(*REPORT, "part").agg(
+    messages = parted(errors, F.struct(*errors.columns)).groupBy(*REPORT, "part").agg(
         F.array_sort(F.collect_list("message")).alias("pipeline_errors")
     )
     goal_lists = summaries.groupBy(*REPORT).agg(
