@@ -1,13 +1,15 @@
 """Pages to overlapping text chunks, for many reports at once.
 
-The section logic runs on a narrow table (page number, heading, word count);
-page texts are read a second time and cut by word position. A section of any
-length is therefore never concatenated in one place, and a report of any length
-is spread over blocks of pages.
+The section logic runs on a narrow table (page number, heading, word count)
+that is computed once; page texts are then read a second time and cut by word
+position. A section of any length is therefore never concatenated in one place,
+and a report of any length is spread over blocks of pages.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from attesta.functions.blocks import running_before
 from attesta.functions.text import strip, token_estimate, word_count, words
 from attesta.params import ChunkParams
+from attesta.staging import staged
 
 DEFAULT_HEADING = "Unknown Section"
 
@@ -26,24 +29,28 @@ def word_stats(df: DataFrame, text: str = "text", params: ChunkParams = ChunkPar
     )
 
 
-def locate_sections(pages: DataFrame, params: ChunkParams = ChunkParams()) -> DataFrame:
-    """Assign every page to its section.
-
-    A page opens a section when it has a heading that differs from the last
-    heading before it; pages without one continue the running section. Result:
-    report_id, page_number, section_start, section_heading, n_words.
-    """
-    narrow = pages.select(
+def page_words(pages: DataFrame) -> DataFrame:
+    """Narrow page table: heading (NULL when empty) and word count, no text."""
+    return pages.select(
         "report_id",
         "page_number",
         F.nullif("section_heading", F.lit("")).alias("h"),
         word_count("text").alias("n_words"),
-        F.floor(F.col("page_number") / params.block_pages).alias("block"),
     )
+
+
+def locate_sections(narrow: DataFrame, params: ChunkParams = ChunkParams()) -> DataFrame:
+    """Assign every page of a narrow page table to its section.
+
+    A page opens a section when it has a heading that differs from the last
+    heading before it; pages without one continue the running section. Result:
+    report_id, page_number, section_start, section_heading, n_words.
+    """
+    blocked = narrow.withColumn("block", F.floor(F.col("page_number") / params.block_pages))
     in_block = W.partitionBy("report_id", "block").orderBy("page_number")
     before = in_block.rowsBetween(W.unboundedPreceding, -1)
     upto = in_block.rowsBetween(W.unboundedPreceding, 0)
-    seen = narrow.withColumn("prev_h", F.last("h", ignorenulls=True).over(before))
+    seen = blocked.withColumn("prev_h", F.last("h", ignorenulls=True).over(before))
 
     # What the rest of the report must know about a block.
     inner_break = F.when(F.col("h") != F.col("prev_h"), F.col("page_number"))
@@ -95,17 +102,16 @@ def locate_sections(pages: DataFrame, params: ChunkParams = ChunkParams()) -> Da
     )
 
 
-def pages_as_sections(pages: DataFrame) -> DataFrame:
+def pages_as_sections(narrow: DataFrame) -> DataFrame:
     """Every page is its own section, named after its number when unnamed."""
-    return pages.select(
+    return narrow.select(
         "report_id",
         "page_number",
         F.col("page_number").alias("section_start"),
         F.coalesce(
-            F.nullif("section_heading", F.lit("")),
-            F.concat(F.lit("Page "), F.col("page_number").cast("string")),
+            "h", F.concat(F.lit("Page "), F.col("page_number").cast("string"))
         ).alias("section_heading"),
-        word_count("text").alias("n_words"),
+        "n_words",
     )
 
 
@@ -179,14 +185,21 @@ def place_sections(sections: DataFrame, params: ChunkParams = ChunkParams()) ->
 
 
 def chunk_pages(
-    pages: DataFrame, params: ChunkParams = ChunkParams(), by_section: bool = True
+    pages: DataFrame,
+    params: ChunkParams = ChunkParams(),
+    by_section: bool = True,
+    stage: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
     """Chunks of at most ``max_tokens`` with overlap, undersized ones dropped.
 
     Input pages: report_id, page_number, text, section_heading. Output:
     report_id, chunk_no, chunk_id, page_number, section_heading, text.
+    ``stage`` keeps the narrow tables, which several later steps read.
     """
-    sections = locate_sections(pages, params) if by_section else pages_as_sections(pages)
+    narrow = stage(page_words(pages))
+    sections = (
+        stage(locate_sections(narrow, params)) if by_section else pages_as_sections(narrow)
+    )
     placed = place_sections(sections, params).filter((F.col("n_words") > 0) & (F.col("kept") > 0))
     texts = pages.select("report_id", "page_number", "text")
     whole = F.col("section_words") <= params.max_words

@@ -10,7 +10,7 @@ from attesta.plans.catalog.records import ASSESSMENT_SQL, BY_GOAL_SQL
 from attesta.plans.catalog.models import RESULTS_SQL
 from attesta.plans.driver_tables import ALL_SCORED_SQL, RUNS_SQL, SCORED_SQL
 from attesta.plans.report import report_findings
-from attesta.plans.staging import staged
+from attesta.staging import staged
 from attesta.sinks import documents, texts
 from attesta.sources import items, runs
 

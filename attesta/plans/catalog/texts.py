@@ -127,7 +127,7 @@ CHUNK_SQL = f""", sized AS (SELECT *, len(w) AS total, CASE WHEN len(w) <= {_MAX
     m.n_words FROM marked m JOIN sections s USING (report_id, g)""",
 )
 def chunk_sections(t):
-    return chunking.locate_sections(t.text_pages(), CHUNKS).withColumn(
+    return chunking.locate_sections(chunking.page_words(t.text_pages()), CHUNKS).withColumn(
         "n_words", F.col("n_words").cast("bigint")
     )
 

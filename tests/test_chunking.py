@@ -99,7 +99,7 @@ def test_sections_across_blocks(spark):
         for n, _ in s["pages"]
     }
     for block in (1, 4, 64):
-        got = chunking.locate_sections(df, ChunkParams(block_pages=block)).collect()
+        got = chunking.locate_sections(chunking.page_words(df), ChunkParams(block_pages=block)).collect()
         assert {r.page_number: (r.section_start, r.section_heading) for r in got} == expected
 
 
