@@ -290,25 +290,32 @@ def coerce_items(items: DataFrame, params: ExtractionParams = ExtractionParams()
 
 
 def to_records(
-    items: DataFrame, chunks: DataFrame, keys: list[str], params: ExtractionParams = ExtractionParams()
+    items: DataFrame,
+    chunks: DataFrame,
+    keys: list[str],
+    params: ExtractionParams = ExtractionParams(),
 ) -> DataFrame:
-    """Evidence records with provenance from the chunk table.
+    """Evidence records with provenance and order from the chunk table.
 
     Ids are a hash of chunk key and position, so a rerun gives the same ids.
+    ``seq`` is the order of extraction: best chunk first, then item position.
     """
-    records = coerce_items(items, params).join(
-        chunks.select(
-            *keys, "company", "report_name", "report_year", "page_number", "section_heading",
-            "chunk_id",
-        ),
-        keys,
+    provenance = chunks.select(
+        *keys, "company", "report_name", "report_year", "page_number", "section_heading",
+        "chunk_id", "chunk_rank",
+    )
+    parts = [F.col(c).cast("string") for c in (*keys, "chunk_id", "item_no")]
+    return (
+        coerce_items(items, params)
+        .join(provenance, keys)
+        .withColumns(
+            {
+                "evidence_id": F.md5(F.concat_ws("|", *parts)),
+                "validation_status": F.lit("pending"),
+                "seq": F.col("chunk_rank") * params.items_per_chunk + F.col("item_no"),
+            }
+        )
     )
-    return records.withColumn(
-        "evidence_id",
-        F.md5(
-            F.concat_ws("|", *[F.col(c).cast("string") for c in (*keys, "chunk_id", "item_no")])
-        ),
-    ).withColumn("validation_status", F.lit("pending"))
 
 
 def error_table(failures: DataFrame, keys: list[str], stage: str, message: str) -> DataFrame:

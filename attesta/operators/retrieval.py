@@ -15,6 +15,9 @@ from attesta.functions.vectors import blend, cosine, norm
 from attesta.params import RetrievalParams
 
 
+CHUNK_KEY = ["report_id", "chunk_no"]
+
+
 def _distinct_keywords(lexicon: dict) -> list[str]:
     return list(dict.fromkeys(word for group in lexicon.values() for word in group))
 
@@ -137,20 +140,23 @@ def pair_with_queries(
 def score_chunks(
     chunks: DataFrame,
     queries: DataFrame,
-    spread: Column,
     params: RetrievalParams = RetrievalParams(),
+    keys: list[str] = CHUNK_KEY,
 ) -> DataFrame:
     """Hybrid score of every chunk for every query.
 
-    Chunks need text and vector; queries need query_id and vector. Text work
-    is done once per chunk, before the pairing.
+    Chunks need the key, text and vector; queries need query_id and vector.
+    Text work is done once per chunk, and texts stay behind: only keys, flags
+    and vectors take part in the pairing.
     """
-    prepared = (
-        chunks.withColumn("keyword_hits", keyword_hits("text", params.lexicon))
-        .withColumn("rhetoric", is_rhetoric(F.col("text"), params))
-        .withColumn("chunk_norm", norm(F.col("vector")))
+    prepared = chunks.select(
+        *keys,
+        "vector",
+        keyword_hits("text", params.lexicon).alias("keyword_hits"),
+        is_rhetoric(F.col("text"), params).alias("rhetoric"),
+        norm(F.col("vector")).alias("chunk_norm"),
     )
-    paired = pair_with_queries(prepared, queries, spread)
+    paired = pair_with_queries(prepared, queries, F.struct(*keys))
     similarity = cosine(
         F.col("query_vector"), F.col("vector"), F.col("query_norm"), F.col("chunk_norm")
     )
@@ -185,10 +191,11 @@ def top_chunks(
 
 
 def retrieve(
-    chunks: DataFrame,
-    queries: DataFrame,
-    params: RetrievalParams = RetrievalParams(),
-    keys: list[str] = ("report_id", "query_id"),
+    chunks: DataFrame, queries: DataFrame, params: RetrievalParams = RetrievalParams()
 ) -> DataFrame:
-    spread = F.concat_ws("|", F.col("report_id").cast("string"), F.col("chunk_no").cast("string"))
-    return top_chunks(score_chunks(chunks, queries, spread, params), keys, params)
+    """Best chunks per report and query, with all their columns but the vector.
+
+    Texts are fetched for the winners only, by a join on the chunk key.
+    """
+    best = top_chunks(score_chunks(chunks, queries, params), params=params)
+    return best.join(chunks.drop("vector"), CHUNK_KEY)

@@ -4,10 +4,17 @@ from pyspark.sql import functions as F
 
 from attesta import constants as k
 from attesta import schemas
-from attesta.operators import findings, validation
-from attesta.plans.catalog import register
-from attesta.plans.catalog.records import ASSESSMENT_SQL, BY_GOAL_SQL
-from attesta.plans.catalog.models import RESULTS_SQL
+from attesta.operators import evaluation, findings, validation
+from attesta.plans.catalog import ORACLES, register
+from attesta.plans.catalog.models import AGGREGATE_SQL, RESULTS_SQL
+from attesta.plans.catalog.records import (
+    ASSESSMENT_SQL,
+    BY_GOAL_SQL,
+    GOAL_MEASURES_SQL,
+    KEY_PAGES_SQL,
+    LABEL_CASES,
+    TOP_TAGS_SQL,
+)
 from attesta.plans.driver_tables import ALL_SCORED_SQL, RUNS_SQL, SCORED_SQL
 from attesta.plans.report import report_findings
 from attesta.staging import staged
@@ -269,6 +276,117 @@ def evaluation_flat(t):
     )
 
 
+# --- report texts as lines ------------------------------------------------------------
+
+
+def _q(text):
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _lines_sql(source, keys, section, position, *lines):
+    """Lines of one section: NULL lines are left out before they are numbered."""
+    listed = f"list_filter([{', '.join(lines)}], lambda x: x IS NOT NULL)"
+    key_list = "".join(f"{key}, " for key in keys)
+    return (
+        f"SELECT {key_list}{section} AS section, CAST({position} AS BIGINT) AS position, "
+        f"unnest(range(len(l))) AS line_no, unnest(l) AS line "
+        f"FROM (SELECT *, {listed} AS l FROM {source})"
+    )
+
+
+def _count(condition, text):
+    return f"CASE WHEN {condition} THEN {text} END"
+
+
+_REPORT_PARTS = [
+    ("heads", 10, "0", (
+        "concat('# SDG Evidence Report: ', company)",
+        "concat('**Report:** ', report_name, ' (', report_year, ')')",
+        "'**Generated:** 2024-01-01 12:00:00'", "''", "'---'",
+        "'## Caveats and Methodology Notes'", "''", _q(texts.CAVEAT), "''", "'---'",
+        "'## Executive Summary'", "''", "concat('**Overall Assessment:** ', label)", "''",
+        "concat('- **SDGs covered:** ', n_goals)",
+        "concat('- **Valid evidence items:** ', n_valid)",
+        "concat('- **Rejected items:** ', n_rejected)",
+        _count("n_valid > 0", "concat('- **Average evidence score:** ', printf('%.1f', mean_score), ' / 12')"),
+        _count("n_valid > 0", "concat('- **Strength distribution:** strong=', n_strong, ', moderate=', "
+               "n_moderate, ', weak=', n_weak)"),
+        "''", "'---'", "'## SDG-by-SDG Summary'", "''",
+        _count("n_goals = 0", "'*No SDG evidence was extracted.*'"),
+    )),
+    ("goals", 20, "sdg_num", (
+        "concat('### ', sdg)", "concat('- **Evidence items:** ', evidence_count)",
+        "concat('- **Average score:** ', printf('%.1f', average_score))",
+        "concat('- **Implementation profile:** ', implementation_profile)",
+        _count("strongest_pages IS NOT NULL",
+               "concat('- **Key pages:** p.', replace(strongest_pages, ',', ', p.'))"),
+        "concat('- ', summary)", "''",
+    )),
+    ("heads", 30, "0", (
+        "'---'", "'## Strongest Evidence Items'", "''",
+        _count("n_strong = 0", "'*No item reached the strong threshold (score ≥ 6).*'"),
+    )),
+    ("strong", 31, "item_rank", (
+        "concat('**[p.', page_number, '] ', sdgs, '** — Score ', computed_score, '/12 | `', "
+        "implementation_stage, '` | ', tags)",
+        "'> '", """concat('> *"', substr(evidence_text, 1, 200), '…"*')""", "''",
+    )),
+    ("(SELECT * FROM heads WHERE n_moderate > 0)", 40, "0", (
+        "'---'", "concat('## Moderate Evidence (', n_moderate, ' items)')", "''",
+        "'| Page | SDGs | Tags | Stage | Score |'", "'|------|------|------|-------|-------|'",
+    )),
+    ("moderate", 41, "item_rank", (
+        "concat('| p.', page_number, ' | ', sdgs, ' | ', tags, ' | ', implementation_stage, ' | ', "
+        "computed_score, ' |')",
+    )),
+    ("heads", 50, "0", (
+        _count("n_moderate > 0", "''"), "'---'", "'## Rejected / Uncertain Evidence'", "''",
+        "CASE WHEN n_rejected = 0 THEN '*No evidence items were rejected.*' ELSE concat('**', "
+        "n_rejected, ' items were rejected** by fixed rules. Common reasons:') END",
+        _count("n_rejected > 0", "''"),
+    )),
+    ("reasons", 51, "rank", ("concat('- `', reason, '` (', n_items, '×)')",)),
+    ("(SELECT * FROM heads WHERE n_rejected > 0)", 52, "0", (
+        "''", "'*All rejected items are part of the run document.*'",
+    )),
+    ("failed", 60, "0", ("'---'", "'## Pipeline Errors'", "''")),
+    ("(SELECT * FROM rejected WHERE page_number = 39)", 61, "0", (
+        "concat('- `chunk failed: ', evidence_id, '`')",
+    )),
+    ("failed", 62, "0", ("''",)),
+    ("heads", 70, "0", ("'---'", _q(texts.FOOTER))),
+]
+
+
+def _ranked_sql(strength, n):
+    return f"""(SELECT *, array_to_string(candidate_sdgs, ', ') AS sdgs,
+      array_to_string(evidence_tags, ', ') AS tags, row_number() OVER (
+      PARTITION BY company, report_year ORDER BY computed_score DESC, evidence_id) AS item_rank
+      FROM scored WHERE computed_strength = '{strength}' QUALIFY item_rank <= {n})"""
+
+
+_GOALS_PREFIX = GOAL_MEASURES_SQL + KEY_PAGES_SQL + TOP_TAGS_SQL
+REPORT_LINES_SQL = (
+    _GOALS_PREFIX
+    + f""", goals AS ({ORACLES["findings_goal_summaries"].removeprefix(_GOALS_PREFIX)})"""
+    + ASSESSMENT_SQL.removeprefix(SCORED_SQL)
+    + f""", summary AS ({ORACLES["findings_executive_summary"].removeprefix(ALL_SCORED_SQL)}),
+    reasons AS ({ORACLES["findings_rejection_reasons"].removeprefix(SCORED_SQL)}),
+    strong AS {_ranked_sql("strong", 10)}, moderate AS {_ranked_sql("moderate", 20)},
+    failed AS (SELECT DISTINCT company, report_year FROM rejected WHERE page_number = 39),
+    heads AS (SELECT r.company, r.report_year, r.report_name,
+      CASE a.overall_assessment {LABEL_CASES} END AS label, s.mean_score,
+      {", ".join(f"coalesce(s.{c}, 0) AS {c}" for c in
+                 ("n_goals", "n_valid", "n_rejected", "n_strong", "n_moderate", "n_weak"))}
+      FROM reports r JOIN assessed a USING (company, report_year)
+      LEFT JOIN summary s USING (company, report_year)) """
+    + " UNION ALL ".join(
+        _lines_sql(source, findings.REPORT, section, position, *lines)
+        for source, section, position, lines in _REPORT_PARTS
+    )
+)
+
+
 def report_lines(t):
     records, _, reports, errors = stage_inputs(t)
     tables = report_findings(records, t.reports())
@@ -278,25 +396,93 @@ def report_lines(t):
     )
 
 
-@register("report_lines")
+@register("report_lines", REPORT_LINES_SQL)
 def report_lines_query(t):
-    return report_lines(t)
+    return report_lines(t).withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
-@register("scorecard_lines")
-def scorecard_lines(t):
-    from attesta.operators.evaluation import aggregate_metrics
+def _value(column, digits):
+    return f"CAST(printf('%.{digits}f', {column}) AS DOUBLE)"
+
+
+_METRICS = [
+    "sdg_jaccard_mean", "tag_jaccard_mean", "stage_exact_rate", "stage_overclaim_rate",
+    "quant_exact_rate", "oversight_exact_rate", "validation_accuracy", "over_claim_rate",
+]
 
+
+@register(
+    "scorecard_lines",
+    AGGREGATE_SQL
+    + " "
+    + _lines_sql(
+        "aggregates", ["model"], 10, "0", "'# SDG Extractor Evaluation Scorecard'",
+        "concat('**Chat model:** `', model, '`')", "'**Run at:** 2024-01-01 12:00:00'",
+        "concat('**Items evaluated:** ', n)", "''", "'## Aggregate Metrics'", "''",
+        "'| Metric | Value |'", "'|--------|-------|'",
+        *[f"concat('| {m} | ', {_value(m, 3)}, ' |')" for m in _METRICS],
+        "''", "'## Per-Item Results'", "''",
+        "'| Item | SDG Jaccard | Tag Jaccard | Stage Match | Over-claim |'",
+        "'|------|-------------|-------------|-------------|------------|'",
+    )
+    + " UNION ALL "
+    + _lines_sql(
+        "results", ["model"], 20, "0",
+        "concat('| ', item_id, ' | ', printf('%.2f', sdg_jaccard), ' | ', "
+        "printf('%.2f', tag_jaccard), ' | ', CASE WHEN stage_exact THEN '✓' ELSE '✗' END, ' | ', "
+        "CASE WHEN stage_overclaim OR quant_overclaim OR oversight_overclaim THEN '⚠ YES' "
+        "ELSE 'no' END, ' |')",
+    ),
+)
+def scorecard_lines(t):
     results = t.results()
-    return texts.scorecard_lines(aggregate_metrics(results), results, "2024-01-01 12:00:00")
+    lines = texts.scorecard_lines(
+        evaluation.aggregate_metrics(results), results, "2024-01-01 12:00:00"
+    )
+    return lines.withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
-@register("comparison_lines")
-def comparison_lines(t):
-    from attesta.operators import evaluation
+_RANKED_LINE = (
+    "concat('| ', rank, ' | ', combo_key, ' | ', "
+    + ", ' | ', ".join(
+        _value(c, d)
+        for c, d in (("selection_score", 4), ("over_claim_rate", 3), ("sdg_jaccard_mean", 3),
+                     ("stage_exact_rate", 3), ("seconds", 2))
+    )
+    + ", 's |')"
+)
 
+
+@register(
+    "comparison_lines",
+    AGGREGATE_SQL
+    + """, timed AS (SELECT model, avg(extracted_count * 2) AS seconds FROM results GROUP BY model),
+    combos AS (SELECT *, model || '+' || embedding_model AS combo_key, (1 - over_claim_rate) * 2
+      + sdg_jaccard_mean + tag_jaccard_mean + stage_exact_rate + quant_exact_rate
+      + oversight_exact_rate AS selection_score FROM aggregates JOIN timed USING (model),
+      (SELECT unnest(['e1', 'e2']) AS embedding_model, unnest([0, 1]) AS embedding_no)),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY selection_score DESC, model, embedding_no)
+      AS rank FROM combos) """
+    + _lines_sql(
+        "(SELECT * FROM ranked WHERE rank = 1)", [], 10, "0",
+        "'# SDG Extractor — Model Comparison Report'", "'**Run at:** 2024-01-01 12:00:00'",
+        "'**Benchmark:** items.jsonl'", "''", "'## Recommended Combination'", "''",
+        "concat('**', combo_key, '**')",
+        f"concat('- Selection score: ', {_value('selection_score', 4)})",
+        f"concat('- Over-claim rate: ', {_value('over_claim_rate', 3)})",
+        f"concat('- SDG Jaccard mean: ', {_value('sdg_jaccard_mean', 3)})",
+        f"concat('- Avg item runtime: ', {_value('seconds', 2)}, 's')",
+        "''", "'## All Combinations (ranked)'", "''",
+        "'| Rank | Combo | Select Score | Over-claim | SDG Jaccard | Stage Exact | Avg RT |'",
+        "'|------|-------|-------------|------------|-------------|-------------|--------|'",
+    )
+    + " UNION ALL "
+    + _lines_sql("ranked", [], 20, "rank", _RANKED_LINE),
+)
+def comparison_lines(t):
     results = t.results().withColumn("runtime_seconds", F.col("extracted_count") * 2)
     combos = evaluation.model_combinations(evaluation.aggregate_metrics(results), ["e1", "e2"])
     times = evaluation.runtime_totals(results).select("model", "avg_item_runtime_seconds")
     ranked = evaluation.rank_models(combos, ["model", "embedding_no"]).join(times, "model")
-    return texts.comparison_lines(ranked, "items.jsonl", "2024-01-01 12:00:00")
+    lines = texts.comparison_lines(ranked, "items.jsonl", "2024-01-01 12:00:00")
+    return lines.withColumn("line_no", F.col("line_no").cast("bigint"))

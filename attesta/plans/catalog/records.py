@@ -187,13 +187,13 @@ ASSESSMENT_SQL = (
       WHEN c THEN 'strategic_commitment_present' ELSE 'symbolic_alignment_only' END
       AS overall_assessment FROM reports LEFT JOIN tiers USING (company, report_year))"""
 )
-_LABEL_SQL = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in k.ASSESSMENT_LABELS.items())
+LABEL_CASES = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in k.ASSESSMENT_LABELS.items())
 
 
 @register(
     "findings_overall_assessment",
     ASSESSMENT_SQL
-    + f""" SELECT *, CASE overall_assessment {_LABEL_SQL} ELSE overall_assessment END AS label
+    + f""" SELECT *, CASE overall_assessment {LABEL_CASES} ELSE overall_assessment END AS label
     FROM assessed""",
 )
 def findings_overall_assessment(t):

@@ -149,11 +149,25 @@ def table_calibration(t):
     )
 
 
-@register("table_calibration_band")
+@register(
+    "table_calibration_band",
+    SCORED_SQL
+    + """, f AS (SELECT company, count(*) AS n, regr_slope(computed_score, confidence) AS b,
+      regr_intercept(computed_score, confidence) AS a, regr_sxx(computed_score, confidence) AS sxx,
+      regr_syy(computed_score, confidence) AS syy, regr_sxy(computed_score, confidence) AS sxy,
+      avg(confidence) AS mx FROM scored GROUP BY company),
+    x AS (SELECT *, sqrt((syy - sxy * sxy / sxx) / (n - 2)) AS se,
+      unnest([0.0, 0.25, 0.5, 0.75, 1.0]::DOUBLE[]) AS confidence FROM f)
+    SELECT company, confidence, round(a + b * confidence, 6) AS fitted,
+    round(a + b * confidence - 1.96 * se * sqrt(1.0 / n + (confidence - mx) ** 2 / sxx), 6) AS lower,
+    round(a + b * confidence + 1.96 * se * sqrt(1.0 / n + (confidence - mx) ** 2 / sxx), 6) AS upper
+    FROM x""",
+)
 def table_calibration_band(t):
     fit = observatory.calibration(t.wide(), ["company"])
-    return observatory.calibration_band(fit, [0.0, 0.25, 0.5, 0.75, 1.0]).select(
-        "company", "confidence", "fitted", "lower", "upper"
+    band = observatory.calibration_band(fit, [0.0, 0.25, 0.5, 0.75, 1.0])
+    return band.select(
+        "company", "confidence", *[F.round(c, 6).alias(c) for c in ("fitted", "lower", "upper")]
     )
 
 

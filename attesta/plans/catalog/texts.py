@@ -328,9 +328,7 @@ HYBRID_SQL = (
     round(raw_score, 6) AS raw_score FROM hybrid""",
 )
 def retrieval_hybrid_scores(t):
-    scored = retrieval.score_chunks(
-        t.document_chunks(), t.label_queries(), F.col("chunk_no"), SEARCH
-    )
+    scored = retrieval.score_chunks(t.document_chunks(), t.label_queries(), SEARCH)
     return scored.select(
         "report_id", "query_id", "chunk_no", "rhetoric", "keyword_score",
         F.round("raw_score", 6).alias("raw_score"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from attesta.operators import chunking, extraction, findings, retrieval, scoring, validation
 from attesta.params import ChunkParams, ExtractionParams, RetrievalParams
+from attesta.staging import staged
 
 
 def candidate_chunks(
@@ -17,10 +18,12 @@ def candidate_chunks(
     embed: Callable[[list[str]], list[list[float]]],
     chunk: ChunkParams = ChunkParams(),
     search: RetrievalParams = RetrievalParams(),
+    stage: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
-    """Best chunks per report for each query."""
-    chunks = retrieval.embed_texts(chunking.chunk_pages(pages, chunk), embed, search)
-    return retrieval.retrieve(chunks, queries, search)
+    """Best chunks per report for each query. Chunks are kept, because they are
+    read once for scoring and once to fetch the texts of the best."""
+    chunks = stage(chunking.chunk_pages(pages, chunk))
+    return retrieval.retrieve(retrieval.embed_texts(chunks, embed, search), queries, search)
 
 
 def evidence_from_responses(
@@ -36,19 +39,14 @@ def evidence_from_responses(
     """
     keys = ["report_id", "chunk_no"]
     parsed = extraction.parse_responses(responses, params)
-    records = extraction.to_records(
-        extraction.response_items(parsed), chunks, keys, params
-    ).join(chunks.select(*keys, "chunk_rank"), keys)
-    ordered = records.withColumn(
-        "seq", F.col("chunk_rank") * params.items_per_chunk + F.col("item_no")
-    )
+    records = extraction.to_records(extraction.response_items(parsed), chunks, keys, params)
     errors = extraction.error_table(
         parsed.withColumn("message", F.coalesce("error", "parse_error")),
         ["report_id"],
         "extraction",
         "message",
     )
-    return score_all(validation.validate(ordered)), errors
+    return score_all(validation.validate(records)), errors
 
 
 def score_all(validated: DataFrame) -> DataFrame:
