@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from attesta import constants as k
 from attesta import schemas
+from attesta.functions.text import is_blank
 from attesta.operators import evaluation, findings, validation
 from attesta.plans.catalog import ORACLES, register
 from attesta.plans.catalog.models import AGGREGATE_SQL, RESULTS_SQL
@@ -167,7 +168,8 @@ def stage_inputs(t):
     reports = t.reports().join(
         findings.overall_assessment(valid, t.reports()), findings.REPORT
     )
-    errors = validation.rejected_only(records).filter(F.col("page_number") == 39).select(
+    # A record without any text stands for an extraction that failed.
+    errors = records.filter(is_blank("evidence_text")).select(
         *findings.REPORT, F.concat(F.lit("chunk failed: "), F.col("evidence_id")).alias("message")
     )
     return records, valid, reports, errors
@@ -350,7 +352,7 @@ _REPORT_PARTS = [
         "''", "'*All rejected items are part of the run document.*'",
     )),
     ("failed", 60, "0", ("'---'", "'## Pipeline Errors'", "''")),
-    ("(SELECT * FROM rejected WHERE page_number = 39)", 61, "0", (
+    ("(SELECT * FROM rejected WHERE trim(evidence_text) = '')", 61, "0", (
         "concat('- `chunk failed: ', evidence_id, '`')",
     )),
     ("failed", 62, "0", ("''",)),
@@ -373,7 +375,7 @@ REPORT_LINES_SQL = (
     + f""", summary AS ({ORACLES["findings_executive_summary"].removeprefix(ALL_SCORED_SQL)}),
     reasons AS ({ORACLES["findings_rejection_reasons"].removeprefix(SCORED_SQL)}),
     strong AS {_ranked_sql("strong", 10)}, moderate AS {_ranked_sql("moderate", 20)},
-    failed AS (SELECT DISTINCT company, report_year FROM rejected WHERE page_number = 39),
+    failed AS (SELECT DISTINCT company, report_year FROM rejected WHERE trim(evidence_text) = ''),
     heads AS (SELECT r.company, r.report_year, r.report_name,
       CASE a.overall_assessment {LABEL_CASES} END AS label, s.mean_score,
       {", ".join(f"coalesce(s.{c}, 0) AS {c}" for c in
@@ -416,7 +418,7 @@ _METRICS = [
     AGGREGATE_SQL
     + " "
     + _lines_sql(
-        "aggregates", ["model"], 10, "0", "'# SDG Extractor Evaluation Scorecard'",
+        "aggregates", ["model"], 10, "0", "'# Evaluation Scorecard'",
         "concat('**Chat model:** `', model, '`')", "'**Run at:** 2024-01-01 12:00:00'",
         "concat('**Items evaluated:** ', n)", "''", "'## Aggregate Metrics'", "''",
         "'| Metric | Value |'", "'|--------|-------|'",
@@ -465,7 +467,7 @@ _RANKED_LINE = (
       AS rank FROM combos) """
     + _lines_sql(
         "(SELECT * FROM ranked WHERE rank = 1)", [], 10, "0",
-        "'# SDG Extractor — Model Comparison Report'", "'**Run at:** 2024-01-01 12:00:00'",
+        "'# Model Comparison Report'", "'**Run at:** 2024-01-01 12:00:00'",
         "'**Benchmark:** items.jsonl'", "''", "'## Recommended Combination'", "''",
         "concat('**', combo_key, '**')",
         f"concat('- Selection score: ', {_value('selection_score', 4)})",

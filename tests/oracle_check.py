@@ -57,6 +57,9 @@ def compare(spark, con, folder, name, build, sql):
     df = build(spark, folder)
     rows = [tuple(r) for r in df.collect()]
     spark_seconds = time.time() - started
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+        return "DIFF", len(rows), spark_seconds, "plan has a cross product"
     if sql is None:
         return "rows-only", len(rows), spark_seconds, ""
     rel = con.sql(sql)
