@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from attesta.llm import urlfilter
+from attesta.llm import simhash, urlfilter
 from attesta.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -64,3 +64,8 @@ FROM ruled
 def _url_filter(spark, folder):
     pages, labels = table(spark, folder, "pages"), table(spark, folder, "labels")
     return urlfilter.judge(pages, urlfilter.low_quality_keys(pages, labels), URL_RULES)
+
+
+@register("op7_simhash_groups")
+def _simhash_groups(spark, folder):
+    return simhash.near_duplicates(table(spark, folder, "documents"))
