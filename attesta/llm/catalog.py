@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from attesta.llm import simhash, urlfilter
+from attesta.llm import pii, simhash, urlfilter
 from attesta.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -69,3 +69,8 @@ def _url_filter(spark, folder):
 @register("op7_simhash_groups")
 def _simhash_groups(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@register("op1_personal_data")
+def _personal_data(spark, folder):
+    return pii.find_personal_data(table(spark, folder, "documents"))
