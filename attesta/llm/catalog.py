@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from attesta.llm import pii, simhash, urlfilter
+from attesta.llm import pii, secrets, simhash, urlfilter
 from attesta.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -74,3 +74,8 @@ def _simhash_groups(spark, folder):
 @register("op1_personal_data")
 def _personal_data(spark, folder):
     return pii.find_personal_data(table(spark, folder, "documents"))
+
+
+@register("op4_secrets")
+def _secrets(spark, folder):
+    return secrets.find_secrets(table(spark, folder, "documents"))
