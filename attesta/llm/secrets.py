@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from attesta.llm.common import text_of
 
-ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ASSIGN = r"""(?=[pstaPSTA])(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
-HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
+HEX = r"[0-9a-f]{24,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 KINDS = ("assign", "access", "hex", "markov")
 STATES = len(ALPHABET) + 1  # state 0: any other character
