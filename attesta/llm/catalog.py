@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from attesta.llm import pii, secrets, simhash, urlfilter
+from attesta.llm import idpack, pii, secrets, simhash, urlfilter
 from attesta.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -79,3 +79,9 @@ def _personal_data(spark, folder):
 @register("op4_secrets")
 def _secrets(spark, folder):
     return secrets.find_secrets(table(spark, folder, "documents"))
+
+
+@register("op6_packed_ids")
+def _packed_ids(spark, folder):
+    blocks = idpack.pack_documents(table(spark, folder, "documents"))
+    return idpack.read_documents(blocks)
