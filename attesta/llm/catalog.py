@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from attesta.llm import idpack, pii, secrets, simhash, urlfilter
+from attesta.llm import bpe, idpack, pii, secrets, simhash, urlfilter
 from attesta.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -85,3 +85,8 @@ def _secrets(spark, folder):
 def _packed_ids(spark, folder):
     blocks = idpack.pack_documents(table(spark, folder, "documents"))
     return idpack.read_documents(blocks)
+
+
+@register("op8_bpe_round_trip")
+def _bpe_round_trip(spark, folder):
+    return bpe.encode_documents(table(spark, folder, "documents"))
