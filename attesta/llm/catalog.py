@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from attesta.llm import bpe, idpack, pii, secrets, simhash, urlfilter
+from attesta.llm import bpe, hamming, idpack, pii, secrets, simhash, urlfilter
 from attesta.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -90,3 +90,27 @@ def _packed_ids(spark, folder):
 @register("op8_bpe_round_trip")
 def _bpe_round_trip(spark, folder):
     return bpe.encode_documents(table(spark, folder, "documents"))
+
+
+@register(
+    "op3_hamming_top_k",
+    """
+WITH codes AS (
+  SELECT DISTINCT vec_id AS id, [coalesce(x > 0, false) for x in embedding] AS bits
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+pairs AS (
+  SELECT q.id AS query_id, c.id AS neighbor_id,
+    list_sum([CAST(p[1] <> p[2] AS INTEGER) for p in list_zip(q.bits, c.bits)]) AS distance
+  FROM codes q JOIN codes c ON q.id <> c.id WHERE q.id % 100 = 0),
+ranked AS (
+  SELECT query_id, neighbor_id, CAST(distance AS INTEGER) AS distance,
+    CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank
+  FROM pairs)
+SELECT query_id, rank, neighbor_id, distance FROM ranked WHERE rank <= 10
+""",
+)
+def _hamming_top_k(spark, folder):
+    rows = table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), hamming.code_of(F.col("embedding")).alias("code")
+    )
+    return hamming.nearest(rows, rows.filter(F.col("id") % 100 == 0))
