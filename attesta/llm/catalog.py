@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from attesta.llm import bpe, hamming, idpack, pii, secrets, simhash, urlfilter
+from attesta.llm import bpe, hamming, idpack, langid, pii, quality, secrets, simhash, urlfilter
 from attesta.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -114,3 +114,13 @@ def _hamming_top_k(spark, folder):
         F.col("vec_id").alias("id"), hamming.code_of(F.col("embedding")).alias("code")
     )
     return hamming.nearest(rows, rows.filter(F.col("id") % 100 == 0))
+
+
+@register("op2_language")
+def _language(spark, folder):
+    return langid.predict(table(spark, folder, "documents"))
+
+
+@register("op9_quality")
+def _quality(spark, folder):
+    return quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
