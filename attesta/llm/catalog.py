@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from attesta.llm import bpe, hamming, idpack, langid, pii, quality, secrets, simhash, urlfilter
+from attesta.llm import bpe, decontam, hamming, idpack, langid, pii, quality, secrets, simhash, urlfilter
 from attesta.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -124,3 +124,8 @@ def _language(spark, folder):
 @register("op9_quality")
 def _quality(spark, folder):
     return quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@register("op5_leaks")
+def _leaks(spark, folder):
+    return decontam.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
