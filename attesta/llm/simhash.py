@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.llm import golay
@@ -142,7 +142,7 @@ def links(nodes: DataFrame, params: SimHashParams) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, params: SimHashParams | None = None) -> DataFrame:
-    """(doc_id, fingerprint, component_id, fp): the group of every document.
+    """(doc_id, fingerprint, component_id, group_fp): the group of every document.
 
     A null or blank text has the fingerprint zero and is linked like any other.
     Rows with a null id take part and get the smallest id of their group, null
@@ -157,7 +157,36 @@ def near_duplicates(docs: DataFrame, params: SimHashParams | None = None) -> Dat
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    names = staged(rooted.join(least, "root").select("fp", "component_id"), "names")
+    names = staged(rooted.join(least, "root").select("fp", "component_id", "root"), "names")
     return found.join(names, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id",
+        hex_digits(F.col("root")).alias("group_fp"),
     )
+
+
+def hex_digits(fp: Column) -> Column:
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def keep_first(docs: DataFrame, params: SimHashParams | None = None) -> DataFrame:
+    """One row of `docs`, all columns, per group: the one with the smallest id.
+
+    A null id is the last; of equal ids the smaller fingerprint stays, of equal
+    rows one.
+    """
+    params = params or SimHashParams()
+    shingle, seed = params.shingle, params.seed
+
+    @F.pandas_udf("bigint")
+    def marked(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: fingerprint(t, shingle, seed))
+
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fingerprint")
+    kept = near_duplicates(docs, params).groupBy("group_fp").agg(F.min(order).alias("k")).select(
+        F.col("k.doc_id").alias("_kept_id"), F.col("k.fingerprint").alias("_kept_fp")
+    )
+    rows = docs.withColumn("_fp", hex_digits(marked(text_of())))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept_id")) & (F.col("_fp") == F.col("_kept_fp"))
+    one = Window.partitionBy("doc_id", "_fp").orderBy(F.col("text").asc_nulls_first())
+    first = rows.join(kept, same, "left_semi").withColumn("_row", F.row_number().over(one))
+    return first.filter("_row = 1").select(*docs.columns)

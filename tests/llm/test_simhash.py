@@ -105,6 +105,13 @@ def test_query_equals_brute_force(spark):
     for g, r in zip(groups, rows):
         ids = [x for x in (least.get(g), r[0]) if x is not None]
         least[g] = min(ids) if ids else None
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    firsts = {}
+    for g, f, r in zip(groups, fps, rows):
+        best = (r[0] is None, r[0] or 0, f)
+        firsts[g] = min(firsts.get(g, best), best)
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted(f[1] for f in firsts.values())
     expected = sorted(
         (str(r[0]), f"{f:016x}", str(least[g])) for r, f, g in zip(rows, fps, groups)
     )
