@@ -153,8 +153,9 @@ class Scorer:
         words = WORD.findall(text.lower())
         if self.used > self.limit:
             self._reset()
-        self._learn(set(words) - self.place.keys())
-        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        place = self.place
+        self._learn({w for w in set(words) if w not in place})
+        places = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
         if not places.any() or not self.model.langs:
             return NONE, 0.0
         total = self.model.prior + self.rows[places].sum(axis=0)
