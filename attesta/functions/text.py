@@ -50,8 +50,15 @@ def tidy_page(col) -> Column:
     return strip(F.regexp_replace(flat, r" {2,}", " "))
 
 
-def preview(col, n: int) -> Column:
-    return F.substring(col, 1, n)
+def preview(col, n: int | None) -> Column:
+    """The first n characters, or all of them."""
+    return F.col(col) if isinstance(col, str) and n is None else col if n is None else F.substring(col, 1, n)
+
+
+def left_out(col, n: int | None) -> Column:
+    """Characters beyond the first n."""
+    column = F.col(col) if isinstance(col, str) else col
+    return F.lit(0) if n is None else F.greatest(F.length(column) - n, F.lit(0))
 
 
 def any_match(col, patterns) -> Column:
@@ -87,5 +94,6 @@ def lookup(col, mapping: dict, default=None) -> Column:
     return expr if default is None else expr.otherwise(default)
 
 
-def slug(col, length: int = 30) -> Column:
-    return F.substring(F.replace(F.lower(col), F.lit(" "), F.lit("_")), 1, length)
+def slug(col, length: int | None = None) -> Column:
+    """Name as a folder part. A cut can make two names equal, so none is the default."""
+    return preview(F.replace(F.lower(col), F.lit(" "), F.lit("_")), length)

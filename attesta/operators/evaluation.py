@@ -11,10 +11,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from attesta import constants as k
-from attesta.functions.numbers import share_of
+from attesta.functions.numbers import round_binary, share_of
 from attesta.functions.text import lookup
 from attesta.functions.vectors import jaccard
-from attesta.operators.findings import stage_rank  # noqa: F401  (re-exported)
 
 RECALL_CUTS = (1, 3, 5, 10)
 ITEM_DEFAULTS = {
@@ -172,8 +171,7 @@ def aggregate_metrics(results: DataFrame, keys: list[str] = ("model",)) -> DataF
 
 
 def rounded_metrics(aggregates: DataFrame, digits: int = 3) -> DataFrame:
-    from attesta.functions.numbers import round_binary
-
+    """The published metrics: every mean and rate rounded."""
     return aggregates.select(
         *[
             round_binary(F.col(f.name), digits).alias(f.name)
@@ -207,8 +205,15 @@ def model_combinations(chat_models: DataFrame, embedding_models: list[str]) -> D
 
 
 def rank_models(aggregates: DataFrame, tie_order: list[str]) -> DataFrame:
-    """Ranked groups, the first one recommended. Runs on one row per model."""
-    scored = aggregates.withColumn("selection_score", selection_score())
+    """Ranked groups, the first one recommended. Runs on one row per model.
+
+    The score is taken from the published (rounded) metrics and rounded to four
+    digits itself, so models that publish the same figures tie; ties keep the
+    order of the combinations.
+    """
+    scored = rounded_metrics(aggregates).withColumn(
+        "selection_score", round_binary(selection_score(), 4)
+    )
     order = W.orderBy(F.col("selection_score").desc(), *[F.col(c) for c in tie_order])
     return scored.withColumn("rank", F.row_number().over(order)).withColumn(
         "recommended", F.col("rank") == 1

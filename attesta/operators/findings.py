@@ -16,7 +16,6 @@ TOP_TAGS = 4
 STRONGEST_ITEMS = 10
 MODERATE_ITEMS = 20
 TOP_REASONS = 10
-REASON_CHARS = 60
 
 
 def stage_rank(stage="implementation_stage") -> Column:
@@ -251,9 +250,8 @@ def moderate_items(
 
 
 def reason_text(message) -> Column:
-    """Short form of a message: up to the first colon, then the first bracket."""
-    head = F.substring_index(F.substring_index(message, ":", 1), "(", 1)
-    return F.substring(strip(head), 1, REASON_CHARS)
+    """Kind of a message: up to the first colon, then the first bracket."""
+    return strip(F.substring_index(F.substring_index(message, ":", 1), "(", 1))
 
 
 def rejection_reasons(

@@ -329,6 +329,7 @@ def top_evidence(
         lookup(F.col("implementation_stage"), k.STAGE_SHORT_LABELS).alias("stage"),
         F.array_join("candidate_sdgs", ", ").alias("sdgs"),
         F.array_join("evidence_tags", ", ").alias("tags"),
+        *[c for c in ("evidence_summary",) if c in wide.columns],
         "evidence_text",
     )
 

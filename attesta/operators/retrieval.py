@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from attesta.functions.blocks import first_n
 from attesta.functions.numbers import round_binary
-from attesta.functions.text import any_match, once
+from attesta.functions.text import any_match, left_out, once, preview
 from attesta.functions.vectors import blend, cosine, norm
 from attesta.params import RetrievalParams
 
@@ -70,19 +70,32 @@ def embed_texts(
     params: RetrievalParams = RetrievalParams(),
     text: str = "text",
 ) -> DataFrame:
-    """Add vectors from a user function that maps a batch of texts to vectors."""
+    """Add vectors from a user function that maps a batch of texts to vectors.
+
+    With ``params.embed_chars`` set, ``chars_left_out`` tells what the limit cost.
+    """
 
     @F.pandas_udf("array<float>")
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([list(map(float, v)) for v in embed(batch.tolist())])
 
-    return chunks.withColumn("vector", vectors(F.substring(text, 1, params.embed_chars)))
+    embedded = chunks.withColumn("vector", vectors(preview(F.col(text), params.embed_chars)))
+    if params.embed_chars is None:
+        return embedded
+    return embedded.withColumn("chars_left_out", left_out(text, params.embed_chars))
 
 
 def attach_vectors(chunks: DataFrame, vectors: DataFrame, keys: list[str]) -> DataFrame:
-    """Add vectors from a table with one row per key."""
-    return chunks.join(vectors.select(*keys, "vector"), keys)
+    """Add vectors from a table with one row per key; a chunk without one keeps a
+    null vector (see ``missing_vectors``)."""
+    return chunks.join(vectors.select(*keys, "vector"), keys, "left")
+
+
+def missing_vectors(chunks: DataFrame, vectors: DataFrame, keys: list[str]) -> DataFrame:
+    """Chunks that have no vector and so cannot be ranked."""
+    known = vectors.filter(F.col("vector").isNotNull()).select(*keys)
+    return chunks.join(known, keys, "left_anti")
 
 
 def blend_queries(base: DataFrame, extra: DataFrame) -> DataFrame:

@@ -130,6 +130,7 @@ def confident_but_weak(wide: DataFrame, min_confidence: float = 0.8) -> DataFram
             "confidence",
             "implementation_stage",
             F.array_join("candidate_sdgs", ", ").alias("sdgs"),
+            *[c for c in ("evidence_summary",) if c in wide.columns],
         )
     )
 

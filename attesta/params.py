@@ -46,7 +46,9 @@ class RetrievalParams:
     lexicon: dict = field(default_factory=lambda: k.GOAL_KEYWORDS)
     rhetoric: tuple = tuple(k.RHETORIC_PATTERNS)
     action: tuple = tuple(k.ACTION_PATTERNS)
-    embed_chars: int = 8000
+    # Characters handed to the embedder; None is the whole text. With a limit,
+    # the characters left out are reported next to the vector.
+    embed_chars: int | None = None
 
 
 @dataclass(frozen=True)

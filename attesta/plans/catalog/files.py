@@ -7,7 +7,7 @@ from attesta import schemas
 from attesta.functions.text import is_blank
 from attesta.operators import evaluation, findings, validation
 from attesta.plans.catalog import ORACLES, register
-from attesta.plans.catalog.models import AGGREGATE_SQL, RESULTS_SQL
+from attesta.plans.catalog.models import AGGREGATE_SQL, PUBLISHED_SQL, RESULTS_SQL, SCORE_SQL
 from attesta.plans.catalog.records import (
     ASSESSMENT_SQL,
     BY_GOAL_SQL,
@@ -238,7 +238,6 @@ _CSV_SQL = {
     "candidate_sdgs": "array_to_string(candidate_sdgs, ' | ')",
     "evidence_tags": "array_to_string(evidence_tags, ' | ')",
     "validation_errors": "array_to_string(validation_errors, ' | ')",
-    "evidence_text": "substr(evidence_text, 1, 500)",
 }
 _NOT_HERE = ("report_name", "section_heading", "evidence_summary", "rationale")
 
@@ -457,11 +456,10 @@ _RANKED_LINE = (
 
 @register(
     "comparison_lines",
-    AGGREGATE_SQL
-    + """, timed AS (SELECT model, avg(extracted_count * 2) AS seconds FROM results GROUP BY model),
-    combos AS (SELECT *, model || '+' || embedding_model AS combo_key, (1 - over_claim_rate) * 2
-      + sdg_jaccard_mean + tag_jaccard_mean + stage_exact_rate + quant_exact_rate
-      + oversight_exact_rate AS selection_score FROM aggregates JOIN timed USING (model),
+    PUBLISHED_SQL
+    + f""", timed AS (SELECT model, avg(extracted_count * 2) AS seconds FROM results GROUP BY model),
+    combos AS (SELECT *, model || '+' || embedding_model AS combo_key,
+      {SCORE_SQL} AS selection_score FROM published JOIN timed USING (model),
       (SELECT unnest(['e1', 'e2']) AS embedding_model, unnest([0, 1]) AS embedding_no)),
     ranked AS (SELECT *, row_number() OVER (ORDER BY selection_score DESC, model, embedding_no)
       AS rank FROM combos) """

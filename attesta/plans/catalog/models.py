@@ -83,9 +83,15 @@ AGGREGATE_SQL = (
       avg(CAST(stage_overclaim OR quant_overclaim OR oversight_overclaim AS INT))
         AS over_claim_rate FROM results GROUP BY model)"""
 )
-_SCORE = (
-    "(1 - over_claim_rate) * 2 + sdg_jaccard_mean + tag_jaccard_mean + stage_exact_rate "
-    "+ quant_exact_rate + oversight_exact_rate"
+_METRICS = (
+    "sdg_jaccard_mean", "tag_jaccard_mean", "stage_exact_rate", "stage_overclaim_rate",
+    "quant_exact_rate", "oversight_exact_rate", "validation_accuracy", "over_claim_rate",
+)
+_ROUNDED = ", ".join(f"CAST(printf('%.3f', {c}) AS DOUBLE) AS {c}" for c in _METRICS)
+PUBLISHED_SQL = AGGREGATE_SQL + f", published AS (SELECT model, n, {_ROUNDED} FROM aggregates)"
+SCORE_SQL = (
+    "CAST(printf('%.4f', (1 - over_claim_rate) * 2 + sdg_jaccard_mean + tag_jaccard_mean "
+    "+ stage_exact_rate + quant_exact_rate + oversight_exact_rate) AS DOUBLE)"
 )
 
 
@@ -134,16 +140,7 @@ def models_aggregate(t):
 
 @register(
     "models_rounded_metrics",
-    AGGREGATE_SQL
-    + " SELECT model, n, "
-    + ", ".join(
-        f"CAST(printf('%.3f', {c}) AS DOUBLE) AS {c}"
-        for c in (
-            "sdg_jaccard_mean", "tag_jaccard_mean", "stage_exact_rate", "stage_overclaim_rate",
-            "quant_exact_rate", "oversight_exact_rate", "validation_accuracy", "over_claim_rate",
-        )
-    )
-    + " FROM aggregates",
+    PUBLISHED_SQL + " SELECT * FROM published",
 )
 def models_rounded_metrics(t):
     return evaluation.rounded_metrics(aggregates(t))
@@ -151,20 +148,17 @@ def models_rounded_metrics(t):
 
 @register(
     "models_ranking",
-    AGGREGATE_SQL
-    + f""" SELECT combo_key, round(selection_score, 6) AS selection_score, rank, rank = 1 AS recommended
+    PUBLISHED_SQL
+    + f""" SELECT combo_key, selection_score, rank, rank = 1 AS recommended
     FROM (SELECT *, row_number() OVER (ORDER BY selection_score DESC, model, embedding_no) AS rank
-      FROM (SELECT *, model || '+' || embedding_model AS combo_key, {_SCORE} AS selection_score
-        FROM aggregates, (SELECT unnest(['e1', 'e2']) AS embedding_model,
+      FROM (SELECT *, model || '+' || embedding_model AS combo_key, {SCORE_SQL} AS selection_score
+        FROM published, (SELECT unnest(['e1', 'e2']) AS embedding_model,
           unnest([0, 1]) AS embedding_no)))""",
 )
 def models_ranking(t):
     combos = evaluation.model_combinations(aggregates(t), ["e1", "e2"])
     return evaluation.rank_models(combos, ["model", "embedding_no"]).select(
-        "combo_key",
-        F.round("selection_score", 6).alias("selection_score"),
-        F.col("rank").cast("bigint").alias("rank"),
-        "recommended",
+        "combo_key", "selection_score", F.col("rank").cast("bigint").alias("rank"), "recommended"
     )
 
 

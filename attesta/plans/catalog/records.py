@@ -275,8 +275,7 @@ def findings_moderate_items(t):
     SCORED_SQL
     + """ SELECT company, report_year, reason, n_items, rank FROM (SELECT *, row_number() OVER (
       PARTITION BY company, report_year ORDER BY n_items DESC, seen) AS rank FROM (
-      SELECT company, report_year, substr(trim(split_part(split_part(message, ':', 1), '(', 1)),
-        1, 60) AS reason, count(*) AS n_items,
+      SELECT company, report_year, trim(split_part(split_part(message, ':', 1), '(', 1)) AS reason, count(*) AS n_items,
         min(evidence_id || '|' || lpad(CAST(pos AS VARCHAR), 2, '0')) AS seen FROM (
         SELECT company, report_year, evidence_id, unnest(validation_errors) AS message,
           generate_subscripts(validation_errors, 1) AS pos FROM rejected) GROUP BY 1, 2, 3))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from attesta import constants as k
-from attesta.functions.text import preview
+from attesta.functions.text import left_out, preview
 from attesta.functions.vectors import cosine, norm
 from attesta.operators import chunking, extraction, pages, retrieval
 from attesta.plans.catalog import register
@@ -161,13 +161,14 @@ def chunk_word_stats(t):
 
 @register(
     "text_truncation",
-    "SELECT doc_id, md5(substr(text, 1, 8000)) AS embed_text, substr(text, 1, 100) AS preview "
-    "FROM documents",
+    "SELECT doc_id, md5(text) AS embed_text, greatest(len(text) - 8000, 0) AS left_out_of_8000, "
+    "substr(text, 1, 100) AS preview FROM documents",
 )
 def text_truncation(t):
     return t.read("documents").select(
         "doc_id",
-        F.md5(F.substring("text", 1, SEARCH.embed_chars)).alias("embed_text"),
+        F.md5(preview(F.col("text"), SEARCH.embed_chars)).alias("embed_text"),
+        left_out("text", 8000).cast("bigint").alias("left_out_of_8000"),
         preview("text", 100).alias("preview"),
     )
 
@@ -359,7 +360,7 @@ def letter_vectors(texts: list[str]) -> list[list[float]]:
     "retrieval_embed_function",
     "SELECT doc_id, "
     + ", ".join(
-        f"CAST(len(substr(text, 1, 8000)) - len(replace(substr(text, 1, 8000), '{c}', '')) AS DOUBLE)"
+        f"CAST(len(text) - len(replace(text, '{c}', '')) AS DOUBLE)"
         f" AS n_{c}"
         for c in "aeiounrst"
     )

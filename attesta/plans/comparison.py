@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from attesta.operators import evaluation
 
@@ -19,9 +20,12 @@ def compare(
     best = evaluation.best_predictions(predictions, order=list(order))
     results = evaluation.evaluate_items(items, best, list(models))
     aggregates = evaluation.aggregate_metrics(results)
-    combos = evaluation.model_combinations(aggregates, list(embedding_models))
+    listed = F.array(*[F.lit(m) for m in models])
+    combos = evaluation.model_combinations(aggregates, list(embedding_models)).withColumn(
+        "model_no", F.array_position(listed, F.col("model"))
+    )
     return {
         "results": results,
         "aggregates": aggregates,
-        "ranking": evaluation.rank_models(combos, ["model", "embedding_no"]),
+        "ranking": evaluation.rank_models(combos, ["model_no", "embedding_no"]),
     }

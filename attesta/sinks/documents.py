@@ -174,9 +174,11 @@ def write_run_documents(documents: DataFrame, root: str, run_time: str) -> None:
     )
 
 
-def flat_evidence(validated_scored: DataFrame) -> DataFrame:
-    """Fixed column order, lists joined by " | ", long texts cut; valid records
-    come first through the sort column ``row_group``."""
+def flat_evidence(
+    validated_scored: DataFrame, text_chars: int | None = None, rationale_chars: int | None = None
+) -> DataFrame:
+    """Fixed column order, lists joined by " | "; valid records come first through
+    the sort column ``row_group``. Texts are whole unless a limit is given."""
     have = set(validated_scored.columns)
 
     def col(name: str) -> Column:
@@ -185,9 +187,9 @@ def flat_evidence(validated_scored: DataFrame) -> DataFrame:
         if isinstance(validated_scored.schema[name].dataType, ArrayType):
             return F.coalesce(F.array_join(name, " | "), F.lit("")).alias(name)
         if name == "evidence_text":
-            return preview(F.coalesce(name, F.lit("")), 500).alias(name)
+            return preview(F.coalesce(name, F.lit("")), text_chars).alias(name)
         if name == "rationale":
-            return preview(F.coalesce(name, F.lit("")), 300).alias(name)
+            return preview(F.coalesce(name, F.lit("")), rationale_chars).alias(name)
         return F.col(name)
 
     group = F.when(F.col("validation_status") == "valid", 0).otherwise(1).alias("row_group")
@@ -195,7 +197,8 @@ def flat_evidence(validated_scored: DataFrame) -> DataFrame:
 
 
 def write_flat_evidence(validated_scored: DataFrame, path: str) -> None:
-    """CSV per company and year; range partitioning keeps the valid-first order
+    """CSV per company and year; only the written companies and years are replaced.
+    Range partitioning keeps the valid-first order
     across the files of a large report."""
     (
         flat_evidence(validated_scored)
@@ -205,6 +208,7 @@ def write_flat_evidence(validated_scored: DataFrame, path: str) -> None:
         .sortWithinPartitions("c", "y", "row_group", "page_number", "evidence_id")
         .select(*k.CSV_COLUMNS, "c", "y")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("c", "y")
         .option("header", True)
         .option("escape", '"')
@@ -233,14 +237,32 @@ def evaluation_flat(results: DataFrame) -> DataFrame:
 
 
 def write_evaluation(results: DataFrame, aggregates: DataFrame, path: str) -> None:
-    results.write.mode("overwrite").partitionBy("model").json(f"{path}/results")
-    aggregates.write.mode("overwrite").json(f"{path}/aggregate")
-    evaluation_flat(results).write.mode("overwrite").partitionBy("model").option(
-        "header", True
-    ).option("escape", '"').csv(f"{path}/results_csv")
+    """JSON and CSV per model. Only the written models are replaced; a hot model's
+    items are range-partitioned, so no task holds a whole model."""
+
+    def per_model(df: DataFrame, order: list[str]):
+        placed = df.repartitionByRange("model", *order)
+        return (
+            placed.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("model")
+        )
+
+    per_model(results, ["item_id"]).json(f"{path}/results")
+    per_model(aggregates, []).json(f"{path}/aggregate")
+    per_model(evaluation_flat(results), ["item_id"]).option("header", True).option(
+        "escape", '"'
+    ).csv(f"{path}/results_csv")
 
 
 def write_records(records: DataFrame, path: str) -> None:
     """Record store: Parquet by company and year, the layout that lets
-    company and year filters skip files."""
-    records.write.mode("overwrite").partitionBy("company", "report_year").parquet(path)
+    company and year filters skip files. Only the written companies and years
+    are replaced."""
+    (
+        records.repartitionByRange(*REPORT, "evidence_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*REPORT)
+        .parquet(path)
+    )

@@ -3,23 +3,36 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Compute a frame once and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which driver and executors share.
 
-    The data goes to the shared checkpoint folder the session names, so it
-    outlives lost executors. Only a local session without that setting gets a
-    folder of its own; a cluster session without it recomputes instead.
+    A local session without the setting gets a temporary folder; on a cluster
+    the setting is required.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="attesta-checkpoint-")
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="attesta-")
+    context.setCheckpointDir(folder)
+    return folder
+
+
+def staged(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write a frame once as Parquet and read it back.
+
+    Later plans read only the columns they need, know the table's size, and do
+    not depend on the executors that computed it. `path` is a shared folder of
+    the caller's choice; without it a new one below the shared folder is taken.
+    """
+    spark = df.sparkSession
+    path = path or f"{shared_folder(spark)}/attesta-staged-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -311,3 +311,13 @@ def test_sample_is_repeatable(spark):
     one = sorted(r.id for r in panel.sample_entities(df, "entity", 6, 1).collect())
     two = sorted(r.id for r in panel.sample_entities(df.repartition(9), "entity", 6, 1).collect())
     assert one == two and len({i % 50 for i in one}) == 6 and len(one) == 36
+
+
+def test_ranking_ties_after_rounding(spark):
+    names = ["model", "n", "sdg_jaccard_mean", "tag_jaccard_mean", "stage_exact_rate", "stage_overclaim_rate",
+             "quant_exact_rate", "oversight_exact_rate", "validation_accuracy", "over_claim_rate"]
+    rows = [("b", 10, 0.5004, *[0.5] * 7), ("a", 10, 0.5001, *[0.5] * 7), ("c", 10, 0.51, *[0.5] * 7)]
+    schema = ", ".join(f"{n} {'string' if n == 'model' else 'bigint' if n == 'n' else 'double'}" for n in names)
+    ranked = evaluation.rank_models(spark.createDataFrame(rows, schema), ["model"]).orderBy("rank").collect()
+    assert [(r.model, r.selection_score, r.recommended) for r in ranked] == [
+        ("c", 3.51, True), ("a", 3.5, False), ("b", 3.5, False)]

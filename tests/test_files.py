@@ -115,7 +115,7 @@ def test_flat_csv(spark, tables, tmp_path):
     documents.write_flat_evidence(tricky, path)
     back = spark.read.option("header", True).option("escape", '"').csv(path)
     assert back.count() == records.count()
-    assert {len(r.evidence_text) for r in back.select("evidence_text").collect()} == {500}
+    assert {len(r.evidence_text) for r in back.select("evidence_text").collect()} == {609}  # whole texts
     folder = next(p for p, _, files in os.walk(path) if any(f.startswith("part") for f in files))
     status = [
         r.validation_status
@@ -175,3 +175,46 @@ def test_page_reader(spark, tmp_path):
         [("r", 1, None)], "report_id string, page_number int, text string"
     ).write.json(str(tmp_path / "pages"))
     assert reports.read_pages(spark, str(tmp_path / "pages"), "json").first().text == ""
+
+
+def test_writers_leave_other_partitions(spark, tmp_path, make_records):
+    from attesta.sinks import documents
+
+    first = make_records({"a": {"company": "a", "evidence_id": "x"}}).drop("case")
+    second = make_records({"b": {"company": "b", "evidence_id": "y"}}).drop("case")
+    for write, name in ((documents.write_records, "records"), (documents.write_flat_evidence, "flat")):
+        path = str(tmp_path / name)
+        for part in (first, second, second):
+            write(part, path)
+        read = spark.read.parquet(path) if name == "records" else spark.read.option("header", True).csv(path)
+        assert sorted(r.evidence_id for r in read.collect()) == ["x", "y"]
+    results = lambda m: spark.createDataFrame([(m, "i1", ["a", "b"])], "model string, item_id string, tags array<string>")
+    totals = lambda m: spark.createDataFrame([(m, 1)], "model string, n bigint")
+    path = str(tmp_path / "evaluation")
+    for model in ("m1", "m2", "m1"):
+        documents.write_evaluation(results(model), totals(model), path)
+    for part in ("results", "aggregate"):
+        assert sorted(r.model for r in spark.read.json(f"{path}/{part}").collect()) == ["m1", "m2"]
+    assert spark.read.option("header", True).csv(f"{path}/results_csv").count() == 2
+
+
+def test_whole_texts_and_names(spark, make_records):
+    from attesta.functions.text import slug
+    from attesta.sinks import documents
+
+    long = "w" * 900
+    flat = documents.flat_evidence(make_records({"a": {"evidence_text": long, "rationale": long}})).first()
+    assert flat.evidence_text == long and flat.rationale == long
+    names = spark.createDataFrame([("x" * 40 + " one",), ("x" * 40 + " two",)], "n string")
+    assert names.select(slug(F.col("n"))).distinct().count() == 2
+
+
+def test_missing_vectors(spark):
+    from attesta.operators import retrieval
+
+    chunks = spark.createDataFrame([(1, 1), (1, 2), (1, 3)], "report_id int, chunk_no int")
+    vectors = spark.createDataFrame([(1, 1, [1.0]), (1, 3, None)], "report_id int, chunk_no int, vector array<float>")
+    joined = retrieval.attach_vectors(chunks, vectors, retrieval.CHUNK_KEY)
+    assert joined.count() == 3
+    missing = retrieval.missing_vectors(chunks, vectors, retrieval.CHUNK_KEY)
+    assert sorted(r.chunk_no for r in missing.collect()) == [2, 3]
