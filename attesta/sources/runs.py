@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from attesta import schemas
 from attesta.functions.blocks import first_n
 
+CORRUPT = "corrupt_text"
 RUN_NAME = r"(?i)^(.+)_(\d{4})_(\d{8}_\d{6})$"
 
 
@@ -38,18 +40,42 @@ def run_name_of(path):
     return F.regexp_extract(path, r"/(?:run=)?([^/=]+_\d{4}_\d{8}_\d{6})/", 1)
 
 
-def read_run_documents(spark: SparkSession, root: str, document: str = "evidence.json") -> DataFrame:
-    """All run documents under a folder, in one job.
+def document_paths(spark: SparkSession, root: str, document: str) -> DataFrame:
+    """(path, run_name) of the files of a document; contents are not read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(f"{root}/*/*{document}")
+        .select("path")
+    )
+    return files.withColumn("run_name", run_name_of(F.col("path")))
+
+
+def _latest_paths(
+    paths: DataFrame, companies: list[str] | None, without: list[str] = ()
+) -> list[str]:
+    """Files of the latest runs. A list on the driver, as any file listing is."""
+    usable = paths.filter(~F.col("run_name").isin(list(without))) if without else paths
+    latest = latest_runs(usable.select("run_name").distinct(), companies)
+    return [r["path"] for r in usable.join(latest, "run_name", "left_semi").select("path").collect()]
+
+
+def read_run_documents(
+    spark: SparkSession, root: str, document: str = "evidence.json", paths: list[str] | None = None
+) -> DataFrame:
+    """All run documents under a folder, or those of the given files, in one job.
 
     A document is one file, or a folder of part files that carry the same
     header and disjoint lists. A corrupt file gives a row without company; see
     ``unreadable_documents``.
     """
+    layout = StructType([*schemas.RUN_DOCUMENT.fields, StructField(CORRUPT, StringType())])
     docs = (
-        spark.read.schema(schemas.RUN_DOCUMENT)
+        spark.read.schema(layout)
         .option("multiLine", True)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
-        .json(f"{root}/*/*{document}")
+        .json(f"{root}/*/*{document}" if paths is None else paths)
     )
     return docs.withColumn("path", F.col("_metadata.file_path")).withColumn(
         "run_name", run_name_of(F.col("path"))
@@ -128,22 +154,44 @@ def run_goal_summaries(documents: DataFrame) -> DataFrame:
 
 
 def unreadable_documents(documents: DataFrame) -> DataFrame:
-    bad = F.col("company").isNull() & F.col("metadata").isNull()
+    bad = F.col("company").isNull() & F.col(CORRUPT).isNotNull()
     return documents.filter(bad).select("run_name", "path")
 
 
+def latest_documents(
+    spark: SparkSession, root: str, companies: list[str] | None = None
+) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Documents of the latest readable run per company and year, and the
+    (run, file) pairs that could not be read.
+
+    The latest runs are chosen from the file names, so superseded runs are not
+    opened. A run with an unreadable file gives way to the one before it.
+    """
+    paths = document_paths(spark, root, "evidence.json")
+    unreadable: dict[str, str] = {}
+    while True:
+        chosen = _latest_paths(paths, companies, list(unreadable))
+        if not chosen:
+            raise FileNotFoundError(f"no readable runs under {root}")
+        documents = read_run_documents(spark, root, paths=chosen)
+        bad = unreadable_documents(documents).collect()
+        if not bad:
+            return pick_latest(documents, companies), sorted(unreadable.items())
+        unreadable |= {r["run_name"]: r["path"] for r in bad}
+
+
 def load_runs(
     spark: SparkSession, root: str, companies: list[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Tables of all latest runs; an error when there is nothing to load."""
-    documents = pick_latest(read_run_documents(spark, root), companies)
-    if documents.select("run_name").isEmpty():
-        raise FileNotFoundError(f"no readable runs under {root}")
+    """Tables of all latest readable runs, and of the files that could not be
+    read; an error when there is nothing to load."""
+    documents, bad = latest_documents(spark, root, companies)
     return {
         "runs": run_metadata(documents),
         "valid": run_valid(documents),
         "rejected": run_rejected(documents),
         "summaries": run_goal_summaries(documents),
+        "unreadable": spark.createDataFrame(bad, "run_name string, path string"),
     }
 
 
@@ -151,34 +199,32 @@ def read_report_texts(
     spark: SparkSession, root: str, companies: list[str] | None = None, document: str = "report.md"
 ) -> DataFrame:
     """Report texts of the latest runs that have one, one row per text file."""
+    paths = document_paths(spark, root, document)
+    chosen = _latest_paths(paths, companies)
+    if not chosen:
+        return spark.createDataFrame(
+            [], "run_name string, report_file string, text string, company string, "
+            "report_year int, run_time string"
+        )
     texts = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(f"{root}/*/*{document}", wholetext=True)
+        spark.read.text(chosen, wholetext=True)
         .select(F.col("_metadata.file_path").alias("report_file"), F.col("value").alias("text"))
         .withColumn("run_name", run_name_of(F.col("report_file")))
     )
-    latest = latest_runs(texts.select("run_name").distinct(), companies)
-    return texts.join(latest, "run_name").orderBy("company", "report_year", "report_file")
+    return parse_run_names(texts).select(
+        "run_name", "report_file", "text", "company", "report_year", "run_time"
+    )
 
 
 def latest_report_files(
     spark: SparkSession, root: str, companies: list[str] | None = None, document: str = "report.md"
 ) -> DataFrame:
-    """Path of the report text per latest run, where it exists; contents are
-    not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(f"{root}/*/*{document}")
-        .select(F.col("path").alias("report_file"))
-        .withColumn("run_name", run_name_of(F.col("report_file")))
-    )
+    """Report text files of the latest run, where it has one; contents are not
+    read. A report written in several files has a row for each."""
+    files = document_paths(spark, root, document)
     latest = latest_runs(files.select("run_name").distinct(), companies)
-    return (
-        files.join(latest, "run_name")
-        .groupBy("company", "report_year")
-        .agg(F.min("report_file").alias("report_file"))
-        .orderBy("company", "report_year")
+    return files.join(latest, "run_name").select(
+        "company", "report_year", F.col("path").alias("report_file")
     )
 
 
@@ -219,5 +265,5 @@ def read_plot_inputs(
 
 def read_flat_evidence(spark: SparkSession, root: str) -> DataFrame:
     """Run documents flattened to one row per record, lists kept as arrays."""
-    documents = pick_latest(read_run_documents(spark, root))
+    documents, _ = latest_documents(spark, root)
     return run_valid(documents).unionByName(run_rejected(documents))

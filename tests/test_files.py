@@ -63,7 +63,8 @@ def test_plain_documents_are_read(spark, tmp_path):
     put("notes", json.dumps({"company": "no run"}))
     loaded = runs.load_runs(spark, str(tmp_path))
     meta = {(r.company, r.report_year): r.report_name for r in loaded["runs"].collect()}
-    assert meta == {("acme", 2020): "New", ("acme", 2021): None, ("beta", 2020): None}
+    assert meta == {("acme", 2020): "New", ("acme", 2021): None}
+    assert [r.run_name for r in loaded["unreadable"].collect()] == ["beta_2020_20240101_000000"]
     valid = loaded["valid"].collect()
     assert len(valid) == 2
     row = valid[0]
@@ -73,8 +74,12 @@ def test_plain_documents_are_read(spark, tmp_path):
     assert loaded["summaries"].count() == 0
     bad = runs.unreadable_documents(runs.read_run_documents(spark, str(tmp_path))).collect()
     assert "beta_2020_20240101_000000" in {r.run_name for r in bad}
+    with pytest.raises(FileNotFoundError):  # its only run is broken
+        runs.load_runs(spark, str(tmp_path), companies=["beta"])
+    put("beta_2020_20230101_000000", json.dumps({"company": "beta", "report_name": "Older"}))
     only = runs.load_runs(spark, str(tmp_path), companies=["beta"])
-    assert {r.company for r in only["runs"].collect()} == {"beta"}
+    assert [r.report_name for r in only["runs"].collect()] == ["Older"]
+    assert only["unreadable"].count() == 1
 
 
 def test_no_runs_is_an_error(spark, tmp_path):
@@ -218,3 +223,13 @@ def test_missing_vectors(spark):
     assert joined.count() == 3
     missing = retrieval.missing_vectors(chunks, vectors, retrieval.CHUNK_KEY)
     assert sorted(r.chunk_no for r in missing.collect()) == [2, 3]
+
+
+def test_superseded_runs_are_not_opened(spark, tmp_path):
+    for day, name in ((1, "old"), (2, "new")):
+        folder = tmp_path / f"acme_2020_2024010{day}_000000"
+        folder.mkdir()
+        (folder / "evidence.json").write_text(json.dumps({"company": "acme", "report_name": name}))
+    docs, bad = runs.latest_documents(spark, str(tmp_path))
+    files = docs.inputFiles()
+    assert bad == [] and len(files) == 1 and "20240102" in files[0]
