@@ -54,13 +54,16 @@ def _is_json_object(raw: str) -> bool:
     body = raw.strip().removeprefix("```json").removeprefix("```").removesuffix("```").strip()
     for candidate in (body, body[body.find("{") : body.rfind("}") + 1]):
         try:
-            json.loads(candidate)
-            return True
+            return isinstance(json.loads(candidate, parse_constant=_not_json), dict)
         except ValueError:
             continue
     return False
 
 
+def _not_json(name: str):
+    raise ValueError(name)
+
+
 def call_model(
     prompts: DataFrame,
     answer: Callable[[str], str],
@@ -109,6 +112,33 @@ def call_model(
     return source.mapInPandas(run, f"{layout}, raw_response string, attempts int, error string")
 
 
+def store_responses(
+    prompts: DataFrame,
+    answer: Callable[[str], str],
+    keys: list[str],
+    path: str,
+    params: ExtractionParams = ExtractionParams(),
+    rounds: int = 1,
+    **options,
+) -> DataFrame:
+    """Ask for the prompts that ``path`` has no answer to, store the answers, and
+    return the stored table.
+
+    Later plans read the table, so each prompt is asked once however many tables
+    are built from it. ``rounds`` splits the prompts by a hash of the keys; each
+    round is committed on its own, so a failure costs one round.
+    """
+    spark = prompts.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    for number in range(rounds):
+        part = prompts.filter(F.pmod(F.xxhash64(*keys), F.lit(rounds)) == number)
+        if store.exists(hadoop):
+            part = part.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
+        call_model(part, answer, keys, params, **options).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 # --- responses -----------------------------------------------------------------
 
 
@@ -137,19 +167,26 @@ def _document(body) -> Column:
     )
 
 
-def _outcome(doc, limit: int) -> Column:
-    """Error and usable entries of a parsed response."""
+def _outcome(doc, limit: int | None) -> Column:
+    """Error, usable entries, and number of all entries of a parsed response."""
     kind = F.schema_of_variant(doc)
-    entries = F.slice(F.try_variant_get(doc, "$.evidence_items", "array<variant>"), 1, limit)
+    entries = F.try_variant_get(doc, "$.evidence_items", "array<variant>")
     none = F.lit(None).cast("array<variant>")
 
     def failed(message: str) -> Column:
-        return F.struct(F.lit(message).alias("parse_error"), none.alias("items"))
+        return F.struct(
+            F.lit(message).alias("parse_error"), none.alias("items"),
+            F.lit(None).cast("int").alias("n_entries"),
+        )
 
-    def checked(items) -> Column:
+    def checked(every) -> Column:
+        items = every if limit is None else F.slice(every, 1, limit)
         broken = F.exists(items, lambda item: ~F.schema_of_variant(item).startswith("OBJECT"))
         return F.when(F.coalesce(broken, F.lit(False)), failed("entry is not an object")).otherwise(
-            F.struct(F.lit(None).cast("string").alias("parse_error"), items.alias("items"))
+            F.struct(
+                F.lit(None).cast("string").alias("parse_error"), items.alias("items"),
+                F.when(every.isNotNull(), F.size(every)).alias("n_entries"),
+            )
         )
 
     return (
@@ -162,7 +199,8 @@ def _outcome(doc, limit: int) -> Column:
 def parse_responses(
     responses: DataFrame, params: ExtractionParams = ExtractionParams()
 ) -> DataFrame:
-    """Add ``items`` (the first few list entries) and ``parse_error``.
+    """Add ``items`` (the first few list entries), ``parse_error``, and ``n_entries``,
+    the number of all list entries (null where there is no list).
 
     Code fences are removed; text that is not one JSON value is cut from its
     first { to its last } and tried again. The cap counts malformed entries
@@ -186,6 +224,8 @@ def parse_responses(
     return responses.select("*", F.inline(F.array(result)))
 
 
+UNLIMITED = 1_000_000  # entries per chunk that keep the order of ``seq``
+
 _LISTS = ("candidate_sdgs", "evidence_tags")
 
 
@@ -218,7 +258,7 @@ def response_items(parsed: DataFrame) -> DataFrame:
     Fields are taken apart inside the list, before it is expanded: rules on the
     rows then refer to plain columns, which keeps the plan small.
     """
-    others = [c for c in parsed.columns if c not in ("items", "raw_response", "parse_error")]
+    others = [c for c in parsed.columns if c not in ("items", "raw_response", "parse_error", "n_entries")]
     return parsed.select(
         *others, F.posexplode(F.transform("items", _entry)).alias("item_no", "item")
     )
@@ -312,12 +352,40 @@ def to_records(
             {
                 "evidence_id": F.md5(F.concat_ws("|", *parts)),
                 "validation_status": F.lit("pending"),
-                "seq": F.col("chunk_rank") * params.items_per_chunk + F.col("item_no"),
+                "seq": F.col("chunk_rank") * (params.items_per_chunk or UNLIMITED) + F.col("item_no"),
             }
         )
     )
 
 
+def dropped_entries(
+    parsed: DataFrame, keys: list[str], params: ExtractionParams = ExtractionParams()
+) -> DataFrame:
+    """What a parsed response lost, as rows (keys, item_no, reason).
+
+    Every entry of a list is a record or a row here; a response without a list
+    has one row with a null position. Unparsable responses are in ``parse_error``.
+    """
+    fine = parsed.filter(F.col("parse_error").isNull())
+    no_list = fine.filter(F.col("n_entries").isNull()).select(
+        *keys, F.lit(None).cast("int").alias("item_no"), F.lit("entries are not a list").alias("reason")
+    )
+    entries = response_items(fine)
+    incomplete = entries.filter(~F.col("item.complete") | ~F.col("item.has_text")).select(
+        *keys, "item_no",
+        F.when(~F.col("item.complete"), "field missing").otherwise("no evidence text").alias("reason"),
+    )
+    lost = no_list.union(incomplete)
+    if params.items_per_chunk is None:
+        return lost
+    limit = F.lit(params.items_per_chunk)
+    cut = fine.filter(F.col("n_entries") > limit).select(
+        *keys, F.explode(F.sequence(limit, F.col("n_entries") - 1)).alias("item_no"),
+        F.lit("beyond the entry limit").alias("reason"),
+    )
+    return lost.union(cut)
+
+
 def error_table(failures: DataFrame, keys: list[str], stage: str, message: str) -> DataFrame:
     """Failures as rows (keys, stage, message), to be united across stages."""
     return failures.filter(F.col(message).isNotNull()).select(

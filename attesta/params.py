@@ -53,7 +53,9 @@ class RetrievalParams:
 
 @dataclass(frozen=True)
 class ExtractionParams:
-    items_per_chunk: int = 5
+    # Entries read per response; None reads all. Cut entries are in
+    # ``extraction.dropped_entries``.
+    items_per_chunk: int | None = 5
     max_attempts: int = 3
     default_confidence: float = 0.5
     # Only real JSON booleans switch a support flag on. Off by default: any

@@ -455,6 +455,57 @@ def response_errors(t):
     return extraction.error_table(parsed, ["evidence_id"], "extraction", "parse_error")
 
 
+def repeated_entries(t):
+    """Answers with zero to seven entries, by page; some have no list at all."""
+    item = F.to_json(
+        F.struct(
+            "evidence_text", F.col("evidence_text").alias("evidence_summary"), "candidate_sdgs",
+            "evidence_tags", "implementation_stage", "quantitative_support", "oversight_support",
+            "confidence", F.lit("because").alias("rationale"),
+        )
+    )
+    page = F.col("page_number")
+    copies = F.array_join(F.array_repeat(item, (page % 8).cast("int")), ",")
+    partial = F.lit('{"evidence_text":"x"}')
+    listed = F.when(page % 8 > 6, F.concat(partial, F.lit(","), copies)).otherwise(copies)
+    raw = F.when(page % 11 == 0, F.lit('{"evidence_items":"none"}')).otherwise(
+        F.concat(F.lit('{"evidence_items":['), listed, F.lit("]}"))
+    )
+    return t.evidence().select("evidence_id", raw.alias("raw_response"))
+
+
+@register(
+    "response_dropped_entries",
+    f"""WITH {EVIDENCE_SQL}, sized AS (SELECT evidence_id, trim(evidence_text) = '' AS blank,
+      page_number % 11 = 0 AS no_list, page_number % 8 > 6 AS extra,
+      page_number % 8 + CASE WHEN page_number % 8 > 6 THEN 1 ELSE 0 END AS n FROM evidence),
+    listed AS (SELECT *, unnest(range(n)) AS item_no FROM sized WHERE NOT no_list)
+    SELECT evidence_id, CAST(NULL AS INT) AS item_no, 'entries are not a list' AS reason
+    FROM sized WHERE no_list
+    UNION ALL SELECT evidence_id, CAST(item_no AS INT), CASE WHEN item_no >= 5
+      THEN 'beyond the entry limit' WHEN extra AND item_no = 0 THEN 'field missing'
+      ELSE 'no evidence text' END FROM listed
+    WHERE item_no >= 5 OR (extra AND item_no = 0) OR blank""",
+)
+def response_dropped_entries(t):
+    parsed = extraction.parse_responses(repeated_entries(t))
+    return extraction.dropped_entries(parsed, ["evidence_id"])
+
+
+@register(
+    "retrieval_missing_vectors",
+    """SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings
+    WHERE embedding[1] > 0)""",
+)
+def retrieval_missing_vectors(t):
+    # A null vector counts as missing; here vectors with a negative first entry are.
+    vectors = t.read("embeddings").select(
+        F.col("vec_id").alias("doc_id"),
+        F.when(F.col("embedding")[0] > 0, F.col("embedding")).alias("vector"),
+    )
+    return retrieval.missing_vectors(t.read("documents").select("doc_id"), vectors, ["doc_id"])
+
+
 @register(
     "prompt_column",
     """SELECT doc_id, md5('Company: ' || source || chr(10) || 'Page: ' || doc_id || chr(10) || text
@@ -480,10 +531,16 @@ def rule_answer(prompt: str) -> str:
 
 @register(
     "response_from_function",
-    "SELECT doc_id, 1 AS attempts, CAST(NULL AS VARCHAR) AS error FROM documents",
+    """SELECT doc_id, 1 AS attempts, CAST(NULL AS VARCHAR) AS error, md5(
+      '{"evidence_items": [{"evidence_text": "' || replace(replace(split_part(text, chr(10), 1),
+      chr(92), ' '), '"', ' ') || '", "evidence_summary": "",'
+      || '"candidate_sdgs": ["SDG 13"], "evidence_tags": ["policy"],'
+      || '"implementation_stage": "planned_action", "quantitative_support": false,'
+      || '"oversight_support": false, "confidence": 0.5, "rationale": ""}]}') AS answer
+    FROM documents""",
 )
 def response_from_function(t):
     prompts = t.read("documents").select("doc_id", F.col("text").alias("prompt"))
     return extraction.call_model(prompts, rule_answer, ["doc_id"]).select(
-        "doc_id", "attempts", "error"
+        "doc_id", "attempts", "error", F.md5("raw_response").alias("answer")
     )

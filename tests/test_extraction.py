@@ -224,3 +224,45 @@ def test_ties_keep_chunk_order_and_floor_uses_raw_score(spark):
     )
     top = retrieval.top_chunks(scored, params=RetrievalParams(top_k=3)).orderBy("chunk_rank").collect()
     assert [(r.chunk_no, r.retrieval_score) for r in top] == [(1, 0.5), (2, 0.5), (3, 0.15)]
+
+
+def test_each_prompt_is_asked_once(spark, tmp_path):
+    import uuid
+
+    calls, path = tmp_path / "calls", str(tmp_path / "answers")
+    calls.mkdir()
+
+    def answer(prompt):
+        (calls / uuid.uuid4().hex).touch()
+        return wrap(ITEM)
+
+    prompts = spark.createDataFrame([(i, f"p{i}") for i in range(20)], "k int, prompt string")
+    first = extraction.store_responses(prompts.filter("k < 12"), answer, ["k"], path)
+    for _ in range(3):
+        assert extraction.parse_responses(first).count() == 12
+    assert len(list(calls.iterdir())) == 12
+    everything = extraction.store_responses(prompts, answer, ["k"], path, rounds=3)
+    assert everything.count() == 20 and len(list(calls.iterdir())) == 20
+
+
+def test_nothing_is_lost_silently(spark):
+    cases = {"cut": wrap(*[ITEM] * 7), "late_text": wrap(*[ITEM] * 5, "text"), "no_list": '{"x": 1}',
+             "text_list": '{"evidence_items": "a"}', "fine": wrap(ITEM, ITEM),
+             "partial": wrap({"evidence_text": "x"}, ITEM), "blank": wrap({**ITEM, "evidence_text": " "})}
+    df = spark.createDataFrame(list(cases.items()), "case string, raw_response string")
+    for limit in (5, None):
+        params = ExtractionParams(items_per_chunk=limit)
+        parsed = extraction.parse_responses(df, params)
+        kept = extraction.coerce_items(extraction.response_items(parsed), params).count()
+        lost = extraction.dropped_entries(parsed, ["case"], params).collect()
+        entries = sum(r.n_entries or 0 for r in parsed.collect())
+        assert kept + sum(r.item_no is not None for r in lost) == entries
+        assert {r["case"] for r in lost if r.item_no is None} == {"no_list", "text_list"}
+        assert sum(r.reason == "beyond the entry limit" for r in lost) == (3 if limit else 0)
+
+
+def test_accepted_answers_parse(spark):
+    cases = [wrap(ITEM), f"```json\n{wrap(ITEM)}\n```", "[1]", "5", '{"a": NaN}', "text", "NaN", f"x {wrap()} y"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "k int, raw_response string")
+    for r in extraction.parse_responses(df).collect():
+        assert extraction._is_json_object(cases[r.k]) == (r.parse_error is None), cases[r.k]
