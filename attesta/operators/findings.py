@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from attesta import constants as k
 from attesta.functions.blocks import first_n
@@ -18,6 +19,25 @@ MODERATE_ITEMS = 20
 TOP_REASONS = 10
 
 
+POSITIONS = 1000  # list positions packed behind an order number
+
+
+def record_order(records: DataFrame, order: list[str] | None = None) -> list[str]:
+    """Columns that order ties: as given, else the order of extraction (``seq``),
+    else the id for records without one."""
+    if order is not None:
+        return list(order)
+    return ["seq"] if "seq" in records.columns else ["evidence_id"]
+
+
+def _first_seen(listed: DataFrame, order: list[str]) -> Column:
+    """Place of the first appearance of a list entry. With one whole-number order
+    column it is one number, so the grouping can hash instead of sort."""
+    if len(order) == 1 and isinstance(listed.schema[order[0]].dataType, IntegralType):
+        return F.min(F.col(order[0]).cast("bigint") * POSITIONS + F.col("pos"))
+    return F.min(F.struct(*order, "pos"))
+
+
 def stage_rank(stage="implementation_stage") -> Column:
     """1 to 4 by maturity, NULL for anything else."""
     return lookup(F.col(stage), {s: i for i, s in enumerate(k.STAGES, 1)})
@@ -80,9 +100,10 @@ def goal_measures(scored: DataFrame, keys: list[str] = REPORT) -> DataFrame:
 
 
 def key_pages(
-    scored: DataFrame, keys: list[str] = REPORT, order: list[str] = ("evidence_id",)
+    scored: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
 ) -> DataFrame:
     """Pages of the five best records per goal, best first, each once."""
+    order = record_order(scored, order)
     group = [*keys, "sdg"]
     best = first_n(
         by_goal(scored).select(*group, "computed_score", "page_number", *order),
@@ -102,15 +123,16 @@ def key_pages(
 
 
 def top_tags(
-    scored: DataFrame, keys: list[str] = REPORT, order: list[str] = ("evidence_id",)
+    scored: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
 ) -> DataFrame:
     """Four most frequent tags per goal, ties by first appearance."""
+    order = record_order(scored, order)
     group = [*keys, "sdg"]
     tagged = by_goal(scored).select(
         *group, *order, F.posexplode("evidence_tags").alias("pos", "tag")
     )
     counted = tagged.groupBy(*group, "tag").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(*order, "pos")).alias("first_seen")
+        F.count(F.lit(1)).alias("n"), _first_seen(tagged, order).alias("first_seen")
     )
     best = first_n(counted, group, [F.col("n").desc(), F.col("first_seen")], TOP_TAGS, "rn")
     return best.groupBy(*group).agg(
@@ -129,9 +151,10 @@ def _score_text() -> Column:
 
 
 def goal_summaries(
-    scored: DataFrame, keys: list[str] = REPORT, order: list[str] = ("evidence_id",)
+    scored: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
 ) -> DataFrame:
     """Complete summary per report and goal, with the summary sentence."""
+    order = record_order(scored, order)
     group = [*keys, "sdg"]
     joined = (
         goal_measures(scored, keys)
@@ -222,21 +245,27 @@ def executive_summary(validated_scored: DataFrame, keys: list[str] = REPORT) ->
 
 
 def strongest_items(
-    scored: DataFrame, keys: list[str] = REPORT, order: list[str] = ("evidence_id",)
+    scored: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
 ) -> DataFrame:
-    return first_n(
-        scored.filter(F.col("computed_strength") == "strong"),
+    """First ten strong records per report, with the report's total."""
+    order = record_order(scored, order)
+    strong = scored.filter(F.col("computed_strength") == "strong")
+    totals = strong.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_strong"))
+    best = first_n(
+        strong,
         list(keys),
         [F.col("computed_score").desc(), *[F.col(c) for c in order]],
         STRONGEST_ITEMS,
         "item_rank",
     )
+    return best.join(totals, list(keys))
 
 
 def moderate_items(
-    scored: DataFrame, keys: list[str] = REPORT, order: list[str] = ("evidence_id",)
+    scored: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
 ) -> DataFrame:
     """First twenty moderate records per report, with the report's total."""
+    order = record_order(scored, order)
     moderate = scored.filter(F.col("computed_strength") == "moderate")
     totals = moderate.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_moderate"))
     best = first_n(
@@ -255,18 +284,22 @@ def reason_text(message) -> Column:
 
 
 def rejection_reasons(
-    rejected: DataFrame, keys: list[str] = REPORT, order: list[str] = ("evidence_id",)
+    rejected: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
 ) -> DataFrame:
-    """Ten most frequent reasons per report, ties by first appearance."""
+    """Ten most frequent reasons per report, ties by first appearance, with the
+    report's number of different reasons."""
+    order = record_order(rejected, order)
     reasons = rejected.select(
         *keys, *order, F.posexplode("validation_errors").alias("pos", "message")
     ).withColumn("reason", reason_text(F.col("message")))
     counted = reasons.groupBy(*keys, "reason").agg(
-        F.count(F.lit(1)).alias("n_items"), F.min(F.struct(*order, "pos")).alias("first_seen")
+        F.count(F.lit(1)).alias("n_items"), _first_seen(reasons, order).alias("first_seen")
     )
-    return first_n(
+    best = first_n(
         counted, list(keys), [F.col("n_items").desc(), F.col("first_seen")], TOP_REASONS, "rank"
     ).drop("first_seen")
+    totals = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_reasons"))
+    return best.join(totals, list(keys))
 
 
 def page_references(pages="strongest_pages") -> Column:

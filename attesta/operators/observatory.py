@@ -14,7 +14,7 @@ from attesta import constants as k
 from attesta.functions.blocks import first_n
 from attesta.functions.numbers import percent_text, round_binary, share_of
 from attesta.functions.text import lookup
-from attesta.operators.findings import goal_number, stage_rank, strength_rank
+from attesta.operators.findings import goal_number, record_order, stage_rank, strength_rank
 from attesta.params import MaturityParams, PeriodParams
 
 COMPANY_YEAR = ["company", "report_year"]
@@ -305,7 +305,7 @@ def goal_totals(long: DataFrame, keys: list[str] = ("company",)) -> DataFrame:
 
 def top_evidence(
     wide: DataFrame, n: int = 30, keys: list[str] = ("company",),
-    order: list[str] = ("evidence_id",),
+    order: list[str] | None = None,
 ) -> DataFrame:
     """Best records per company by score, then confidence."""
     best = first_n(
@@ -314,7 +314,7 @@ def top_evidence(
         [
             F.col("computed_score").desc(),
             F.col("confidence").desc_nulls_last(),
-            *[F.col(c) for c in order],
+            *[F.col(c) for c in record_order(wide, order)],
         ],
         n,
         "rank",
@@ -334,11 +334,11 @@ def top_evidence(
     )
 
 
-def full_table(wide: DataFrame, order: list[str] = ("evidence_id",)) -> DataFrame:
+def full_table(wide: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Every record for display, sorted by year and falling score."""
     tick = "✓"
     return wide.orderBy(
-        "report_year", F.col("computed_score").desc(), *[F.col(c) for c in order]
+        "report_year", F.col("computed_score").desc(), *[F.col(c) for c in record_order(wide, order)]
     ).select(
         "evidence_id",
         "company",

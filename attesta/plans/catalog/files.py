@@ -362,7 +362,7 @@ _REPORT_PARTS = [
 def _ranked_sql(strength, n):
     return f"""(SELECT *, array_to_string(candidate_sdgs, ', ') AS sdgs,
       array_to_string(evidence_tags, ', ') AS tags, row_number() OVER (
-      PARTITION BY company, report_year ORDER BY computed_score DESC, evidence_id) AS item_rank
+      PARTITION BY company, report_year ORDER BY computed_score DESC, seq) AS item_rank
       FROM scored WHERE computed_strength = '{strength}' QUALIFY item_rank <= {n})"""
 
 

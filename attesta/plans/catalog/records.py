@@ -123,16 +123,16 @@ def findings_goal_measures(t):
 
 
 KEY_PAGES_SQL = """, best AS (SELECT company, report_year, sdg, page_number, row_number() OVER (
-      PARTITION BY company, report_year, sdg ORDER BY computed_score DESC, evidence_id) AS rn FROM g),
+      PARTITION BY company, report_year, sdg ORDER BY computed_score DESC, seq) AS rn FROM g),
     firsts AS (SELECT company, report_year, sdg, page_number, min(rn) AS rn FROM best
       WHERE rn <= 5 AND page_number <> 0 GROUP BY ALL),
     pages AS (SELECT company, report_year, sdg,
       string_agg(CAST(page_number AS VARCHAR), ',' ORDER BY rn) AS strongest_pages
       FROM firsts GROUP BY ALL)"""
-TOP_TAGS_SQL = """, tagged AS (SELECT company, report_year, sdg, evidence_id,
+TOP_TAGS_SQL = """, tagged AS (SELECT company, report_year, sdg, seq,
       unnest(evidence_tags) AS tag, generate_subscripts(evidence_tags, 1) AS pos FROM g),
     tag_counts AS (SELECT company, report_year, sdg, tag, count(*) AS n,
-      min(evidence_id || '|' || pos) AS seen FROM tagged GROUP BY ALL),
+      min(seq * 1000 + pos) AS seen FROM tagged GROUP BY ALL),
     tag_ranks AS (SELECT *, row_number() OVER (PARTITION BY company, report_year, sdg
       ORDER BY n DESC, seen) AS rn FROM tag_counts),
     tags AS (SELECT company, report_year, sdg, string_agg(tag, ', ' ORDER BY rn) AS top_tags
@@ -242,15 +242,17 @@ def findings_executive_summary(t):
 @register(
     "findings_strongest_items",
     SCORED_SQL
-    + """ SELECT company, report_year, item_rank, evidence_id, computed_score,
-    evidence_text AS preview FROM (SELECT *, row_number() OVER (PARTITION BY company, report_year
-      ORDER BY computed_score DESC, evidence_id) AS item_rank FROM scored
+    + """ SELECT company, report_year, item_rank, evidence_id, computed_score, n_strong,
+    evidence_text AS preview FROM (SELECT *,
+      count(*) OVER (PARTITION BY company, report_year) AS n_strong, row_number() OVER (PARTITION BY company, report_year
+      ORDER BY computed_score DESC, seq) AS item_rank FROM scored
       WHERE computed_strength = 'strong') WHERE item_rank <= 10""",
 )
 def findings_strongest_items(t):
     return findings.strongest_items(t.scored()).select(
         "company", "report_year", F.col("item_rank").cast("bigint").alias("item_rank"),
-        "evidence_id", "computed_score", preview("evidence_text", 200).alias("preview"),
+        "evidence_id", "computed_score", "n_strong",
+        preview("evidence_text", 200).alias("preview"),
     )
 
 
@@ -259,7 +261,7 @@ def findings_strongest_items(t):
     SCORED_SQL
     + """ SELECT company, report_year, item_rank, evidence_id, computed_score, n_moderate
     FROM (SELECT *, row_number() OVER (PARTITION BY company, report_year
-      ORDER BY computed_score DESC, evidence_id) AS item_rank,
+      ORDER BY computed_score DESC, seq) AS item_rank,
       count(*) OVER (PARTITION BY company, report_year) AS n_moderate FROM scored
       WHERE computed_strength = 'moderate') WHERE item_rank <= 20""",
 )
@@ -273,11 +275,12 @@ def findings_moderate_items(t):
 @register(
     "findings_rejection_reasons",
     SCORED_SQL
-    + """ SELECT company, report_year, reason, n_items, rank FROM (SELECT *, row_number() OVER (
+    + """ SELECT company, report_year, reason, n_items, rank, n_reasons FROM (SELECT *,
+      count(*) OVER (PARTITION BY company, report_year) AS n_reasons, row_number() OVER (
       PARTITION BY company, report_year ORDER BY n_items DESC, seen) AS rank FROM (
       SELECT company, report_year, trim(split_part(split_part(message, ':', 1), '(', 1)) AS reason, count(*) AS n_items,
-        min(evidence_id || '|' || lpad(CAST(pos AS VARCHAR), 2, '0')) AS seen FROM (
-        SELECT company, report_year, evidence_id, unnest(validation_errors) AS message,
+        min(seq * 1000 + pos) AS seen FROM (
+        SELECT company, report_year, seq, unnest(validation_errors) AS message,
           generate_subscripts(validation_errors, 1) AS pos FROM rejected) GROUP BY 1, 2, 3))
     WHERE rank <= 10""",
 )

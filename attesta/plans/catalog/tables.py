@@ -326,7 +326,7 @@ def table_goal_totals(t):
       END AS stage, array_to_string(candidate_sdgs, ', ') AS sdgs,
     array_to_string(evidence_tags, ', ') AS tags, evidence_text FROM (
     SELECT *, row_number() OVER (PARTITION BY company ORDER BY computed_score DESC,
-      confidence DESC, evidence_id) AS rank FROM scored) WHERE rank <= 30""",
+      confidence DESC, seq) AS rank FROM scored) WHERE rank <= 30""",
 )
 def table_top_evidence(t):
     return observatory.top_evidence(t.wide()).withColumn("rank", F.col("rank").cast("bigint"))

@@ -236,6 +236,8 @@ _LINE_ID = (
     "md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INT), "
     "CAST(round(l_extendedprice * 100) AS BIGINT), CAST(l_shipdate AS DATE)))"
 )
+# An order of extraction that does not follow the ids: a hash of its own.
+_SEQ_DIGITS = _LINE_ID.replace("concat_ws('|', ", "concat_ws('|', 'seq', ")
 _TEXT = (
     "CASE WHEN l_partkey % 97 = 0 THEN '   ' "
     "WHEN CAST(l_quantity AS INT) % 2 = 0 "
@@ -244,6 +246,7 @@ _TEXT = (
 )
 EVIDENCE_COLUMNS = [
     f"{_LINE_ID} AS evidence_id",
+    f"CAST(conv(substr({_SEQ_DIGITS}, 1, 12), 16, 10) AS BIGINT) AS seq",
     "n_name AS company",
     "CAST(year(o_orderdate) AS INT) AS report_year",
     "CAST(l_partkey % 40 AS INT) AS page_number",
@@ -280,6 +283,7 @@ EVIDENCE_COLUMNS = [
 
 _SQL_FIELDS = f"""
   {_LINE_ID} AS evidence_id,
+  CAST('0x' || substr({_SEQ_DIGITS}, 1, 12) AS BIGINT) AS seq,
   n_name AS company,
   CAST(year(o_orderdate) AS INT) AS report_year,
   CAST(l_partkey % 40 AS INT) AS page_number,

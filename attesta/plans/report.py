@@ -63,7 +63,7 @@ def report_findings(
     records: DataFrame,
     reports: DataFrame,
     keys: list[str] = findings.REPORT,
-    order: list[str] = ("evidence_id",),
+    order: list[str] | None = None,
 ) -> dict[str, DataFrame]:
     """All finding tables of the reports."""
     valid = validation.valid_only(records)
