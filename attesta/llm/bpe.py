@@ -151,9 +151,7 @@ def encode_words(lists: DataFrame, params: BpeParams) -> DataFrame:
 
 def pieces(tokenizer) -> list[bytes]:
     """Bytes of each id: the piece's characters stand for bytes, or for themselves."""
-    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in visible]
-    byte = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    byte = {c: b for b, c in enumerate(words.byte_characters())}
     table = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
     for piece, number in tokenizer.get_vocab(with_added_tokens=True).items():
         mapped = [byte.get(c) for c in piece]

@@ -17,7 +17,9 @@ the ones before it; a block is unpacked with numpy operations.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import accumulate
@@ -65,25 +67,49 @@ def unpack(payload: bytes, width: int, first: int, last: int) -> np.ndarray:
     return (bits.astype(np.int64) << np.arange(width - 1, -1, -1)).sum(axis=1).astype(np.uint32)
 
 
+PLAIN = re.compile("[a-zàâäéèêëíîïóôöúûüçñß]+", re.I | re.A)
+
+
 class _Encoder:
-    """Encodes whole texts through a bounded table of already encoded words."""
+    """Encodes whole texts through a bounded table of already encoded words.
+
+    A word of plain letters is one unit for the tokenizer, so it goes straight to
+    the tokenizer's BPE model in lower case; other words take the whole tokenizer.
+    """
 
     def __init__(self, path: str, limit: int):
-        self.state = words.worker_state("idpack")
-        if self.state.get("path") != path:
-            self.state.update(path=path, tokenizer=words.load_tokenizer(path), known={"": b""})
-        self.tokenizer, self.known, self.limit = self.state["tokenizer"], self.state["known"], limit
+        from tokenizers import Tokenizer
+
+        state = words.worker_state("idpack")
+        if state.get("path") != path:
+            tokenizer = words.load_tokenizer(path)
+            state.update(path=path, tokenizer=tokenizer, model=Tokenizer(tokenizer.model), known={"": b""})
+        self.tokenizer, self.model, self.known = state["tokenizer"], state["model"], state["known"]
+        self.limit = limit
+        coded = words.byte_characters()
+        self.bytes = {c: "".join(coded[b] for b in chr(c).encode()) for c in range(128, 256)}
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def learn(self, unknown: set[str]) -> None:
-        bare = {words.without_tail(w) for w in unknown} | {w[-1] for w in unknown}
-        new = [w for w in bare if w not in self.known]
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
+        known, tails = self.known, []
+        bare = set()
         for word in unknown:
-            base = words.without_tail(word)
-            if base != word:
-                self.known[word] = self.known[base] + self.known[word[-1]]
+            if len(word) > 1 and word[-1] in ".," and word[-2] in words.LETTERS:
+                tails.append(word)
+                bare.add(word[:-1])
+            else:
+                bare.add(word)
+        bare.update(".,")
+        new = [w for w in bare if w not in known]
+        plain = [w for w in new if PLAIN.fullmatch(w)]
+        other = [w for w in new if not PLAIN.fullmatch(w)]
+        lower = [w.lower() for w in plain]
+        lower = [w if w.isascii() else w.translate(self.bytes) for w in lower]
+        for source, own, shown in ((self.model, plain, lower), (self.tokenizer, other, other)):
+            for word, found in zip(own, source.encode_batch_fast(shown, add_special_tokens=False)):
+                known[word] = array("I", found.ids).tobytes()
+        for word in tails:
+            known[word] = known[word[:-1]] + known[word[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
@@ -91,8 +117,9 @@ class _Encoder:
         if len(self.known) > self.limit:
             self.known.clear()
             self.known[""] = b""
-        self.learn(set().union(*split) - self.known.keys())
-        get = self.known.__getitem__
+        known = self.known
+        self.learn({w for w in set().union(*split) if w not in known})
+        get = known.__getitem__
         return [b"".join(map(get, pieces)) for pieces in split]
 
 

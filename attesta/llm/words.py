@@ -30,6 +30,14 @@ def load_tokenizer(path: str):
     return found
 
 
+def byte_characters() -> list[str]:
+    """The visible character that stands for each byte in byte-level vocabularies."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    place = {b: i for i, b in enumerate(hidden)}
+    return [chr(256 + place[b]) if b in place else chr(b) for b in range(256)]
+
+
 def worker_state(name: str) -> dict:
     """A dict that lives as long as the Python worker process, for caches."""
     return sys.modules.setdefault(f"_attesta_{name}", types.ModuleType(name)).__dict__
