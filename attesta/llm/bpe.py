@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm import words
-from attesta.llm.common import text_of
+from attesta.llm.common import small_batches, text_of
 
 
 @dataclass(frozen=True)
@@ -182,7 +182,7 @@ def encode_documents(docs: DataFrame, params: BpeParams | None = None, keep_ids:
     params = params or BpeParams()
     spark = docs.sparkSession
     buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     lists = block_words(rows, buckets, params).repartition("bucket")
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>, decoded string" if keep_ids else ""

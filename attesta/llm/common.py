@@ -57,6 +57,17 @@ def unstage(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(df: DataFrame, megabytes: int = 4) -> DataFrame:
+    """`df`, with the session's Arrow batches bounded in bytes.
+
+    Texts vary from a few characters to many megabytes, so a batch of a fixed
+    number of rows may take any amount of a Python worker's memory.
+    """
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    conf.set(key, f"{megabytes << 20}b")
+    return df
+
+
 def text_of(column: str = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import text_of
+from attesta.llm.common import small_batches, text_of
 
 WORD = re.compile(r"\w+")
 
@@ -283,7 +283,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, params: LeakParams | None = No
                 found = pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "last_word"])
                 yield found.astype({"doc_id": "Int64"})
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     return rows.mapInPandas(run, "doc_id bigint, item_id bigint, edits int, last_word int").distinct()
 
 
@@ -299,4 +299,4 @@ def drop_leaks(docs: DataFrame, items: DataFrame, params: LeakParams | None = No
             keep[number] = False
         return pd.Series(keep)
 
-    return docs.filter(clean(text_of()))
+    return small_batches(docs).filter(clean(text_of()))

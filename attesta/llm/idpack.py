@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm import words
-from attesta.llm.common import staged, text_of
+from attesta.llm.common import small_batches, staged, text_of
 
 
 @dataclass(frozen=True)
@@ -174,7 +174,7 @@ def pack_documents(docs: DataFrame, params: PackParams | None = None) -> DataFra
             yield flush()
 
     names = [part.split()[0] for part in BLOCK_SCHEMA.split(", ")]
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return staged(ordered.mapInPandas(run, BLOCK_SCHEMA), "token-ids")
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import text_of
+from attesta.llm.common import small_batches, text_of
 
 WORD = re.compile(r"[^\W\d_]+")
 NONE = "und"
@@ -171,7 +171,7 @@ def predict(docs: DataFrame, params: LangParams | None = None) -> DataFrame:
     the posterior. Ties go to the first language by name. Repeated rows keep a
     row each.
     """
-    params = params or LangParams()
+    params, docs = params or LangParams(), small_batches(docs)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, params))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

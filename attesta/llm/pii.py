@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import text_of
+from attesta.llm.common import small_batches, text_of
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("url", "account")
@@ -183,5 +183,5 @@ def find_personal_data(docs: DataFrame, params: PiiParams | None = None) -> Data
         "base_sha256 string, spans string, n_url bigint, n_account bigint"
     )
     names = [part.split()[0] for part in schema.split(", ")]
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     return rows.mapInPandas(run, schema)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import text_of
+from attesta.llm.common import small_batches, text_of
 
 MARKS = re.compile(r"[#$%&*^~<>=@\\{}\[\]]")
 LETTERS = re.compile(r"[^\W\d_]")
@@ -176,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, params: QualityParams) -> QualityM
 
     A document with several labels counts as good if most of them are 1.
     """
-    total = docs.count()
+    total = small_batches(docs).count()
     share = min(1.0, params.sample_rows / max(1, total))
     key = F.pmod(F.xxhash64(F.lit("quality"), F.col("doc_id")), F.lit(1_000_000))
     chosen = key < F.lit(math.ceil(share * 1_000_000))
