@@ -330,7 +330,7 @@ _REPORT_PARTS = [
     ("strong", 31, "item_rank", (
         "concat('**[p.', page_number, '] ', sdgs, '** — Score ', computed_score, '/12 | `', "
         "implementation_stage, '` | ', tags)",
-        "'> '", """concat('> *"', substr(evidence_text, 1, 200), '…"*')""", "''",
+        "'> '", """concat('> *"', evidence_text, '"*')""", "''",
     )),
     ("(SELECT * FROM heads WHERE n_moderate > 0)", 40, "0", (
         "'---'", "concat('## Moderate Evidence (', n_moderate, ' items)')", "''",
