@@ -35,7 +35,7 @@ from attesta.llm.common import small_batches, text_of
 @dataclass(frozen=True)
 class BpeParams:
     tokenizer: str | None = None  # file; by default the public byte-level BPE
-    block_chars: int = 32_000_000  # texts of a block
+    block_chars: int = 8_000_000  # texts of a block
     cached_words: int = 2_000_000  # bound of a task's word table
 
 
