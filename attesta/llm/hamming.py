@@ -114,7 +114,8 @@ def nearest(codes: DataFrame, queries: DataFrame, params: HammingParams | None =
         )
         # a pair counts in the round and segment that reach it first
         first = _nearest_segment(F.col("query"), F.col("code"), params.segments)
-        hits = probes.join(lookup, ["segment", "value"]).filter(
+        # merged, not broadcast: a probe table grows with queries and radius
+        hits = probes.hint("merge").join(lookup, ["segment", "value"]).filter(
             first == F.lit(radius * params.segments) + F.col("segment")
         )
         found = hits.select(
