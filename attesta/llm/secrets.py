@@ -14,6 +14,7 @@ expression.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 KINDS = ("assign", "access", "hex", "markov")
 STATES = len(ALPHABET) + 1  # state 0: any other character
 BLOCK = 128
+SLICES = 1 << 40  # of the hash that chooses the training sample
 
 
 @dataclass(frozen=True)
@@ -107,16 +109,21 @@ def _cells(token: Column) -> Column:
     )
 
 
+def sample_slices(train_rows: int, rows: int) -> int:
+    """Slices of the hash that hold about `train_rows` of the rows, rounded up."""
+    return math.ceil(min(1.0, train_rows / max(1, rows)) * SLICES)
+
+
 def train(docs: DataFrame, params: SecretParams) -> Column:
     """Constant array: log-likelihood ratio of every step, by cell.
 
-    Fitted on at most about `train_rows` documents, chosen by a hash of text and
-    id; both models use add-one counts, so an empty table gives equal models.
+    Fitted on at most about `train_rows` documents, chosen by a hash of id and
+    text length; both models use add-one counts, so an empty table gives equal
+    models. A table with rows whose sample is empty is an error.
     """
     rows = docs.count()
-    share = min(1.0, params.train_rows / max(1, rows))
-    key = F.pmod(F.xxhash64(F.lit("train"), "doc_id", F.length("text")), F.lit(1_000_000))
-    sample = docs.filter(key < F.lit(int(share * 1_000_000)))
+    key = F.pmod(F.xxhash64(F.lit("train"), "doc_id", F.length("text")), F.lit(SLICES))
+    sample = docs.filter(key < F.lit(sample_slices(params.train_rows, rows)))
     letters = F.explode(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{6,}(?![A-Za-z0-9+/_=-])"), F.lit(0)))
     words = sample.select(letters.alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     ordinary = words.select(
@@ -141,10 +148,13 @@ def train(docs: DataFrame, params: SecretParams) -> Column:
     )
     totals = filled.groupBy("previous").agg(F.sum("r").alias("tr"), F.sum("o").alias("to"))
     ratio = F.log(F.col("r") / F.col("tr")) - F.log(F.col("o") / F.col("to"))
-    table = filled.join(totals, "previous").agg(
-        F.array_sort(F.collect_list(F.struct("cell", ratio.alias("ratio"))))["ratio"].alias("all")
-    )
-    return F.split(F.lit(",".join(repr(x) for x in table.first()["all"])), ",").cast("array<double>")
+    found = filled.join(totals, "previous").agg(
+        F.array_sort(F.collect_list(F.struct("cell", ratio.alias("ratio"))))["ratio"].alias("all"),
+        (F.sum("r") - STATES * STATES).alias("steps"),
+    ).first()
+    if rows and not found["steps"]:
+        raise ValueError(f"no training sample for the character models: {rows} rows, train_rows={params.train_rows}")
+    return F.split(F.lit(",".join(repr(x) for x in found["all"])), ",").cast("array<double>")
 
 
 def _scored(docs: DataFrame, ratios: Column, params: SecretParams) -> DataFrame:

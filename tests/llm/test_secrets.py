@@ -90,3 +90,13 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert secrets.find_secrets(docs).collect() == []
     assert secrets.redact(docs).collect() == []
+
+
+def test_sample_is_never_silently_empty(spark):
+    for rows in (10**10, 10**13):  # more than a million slices can tell apart
+        share = secrets.sample_slices(5_000, rows) / secrets.SLICES
+        assert 5_000 <= share * rows < 5_100
+    assert secrets.sample_slices(5_000, 10) == secrets.SLICES
+    docs = spark.createDataFrame([(1, "some text here")], "doc_id bigint, text string")
+    with pytest.raises(ValueError, match="no training sample"):
+        secrets.find_secrets(docs, secrets.SecretParams(train_rows=0))
