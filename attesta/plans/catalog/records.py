@@ -12,7 +12,6 @@ from attesta.plans.driver_tables import (
     RULES_SQL,
     SCORED_SQL,
 )
-from attesta.functions.text import preview
 
 _RANKED = " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(k.STAGES, 1))
 BY_GOAL_SQL = SCORED_SQL + ", g AS (SELECT *, unnest(candidate_sdgs) AS sdg FROM scored)"
@@ -252,7 +251,7 @@ def findings_strongest_items(t):
     return findings.strongest_items(t.scored()).select(
         "company", "report_year", F.col("item_rank").cast("bigint").alias("item_rank"),
         "evidence_id", "computed_score", "n_strong",
-        preview("evidence_text", 200).alias("preview"),
+        F.col("evidence_text").alias("preview"),
     )
 
 
