@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from attesta.llm import bpe, decontam, hamming, idpack, langid, pii, quality, secrets, simhash, urlfilter
+from attesta.llm import bpe, decontam, exactdedup, hamming, idpack, langid, pii, quality, secrets, simhash, urlfilter
 from attesta.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -129,3 +129,20 @@ def _quality(spark, folder):
 @register("op5_leaks")
 def _leaks(spark, folder):
     return decontam.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@register(
+    "op13_exact_copies",
+    """
+WITH rows AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
+  count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
+FROM rows
+""",
+)
+def _exact_copies(spark, folder):
+    return exactdedup.find_copies(table(spark, folder, "documents"))
