@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from attesta.llm import bpe, decontam, exactdedup, hamming, idpack, langid, pii, quality, secrets, simhash, urlfilter
+from attesta.llm import alignment, bpe, decontam, exactdedup, hamming, idpack, langid, pii, quality, secrets, simhash, urlfilter
 from attesta.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -146,3 +146,8 @@ FROM rows
 )
 def _exact_copies(spark, folder):
     return exactdedup.find_copies(table(spark, folder, "documents"))
+
+
+@register("op12_token_alignment")
+def _token_alignment(spark, folder):
+    return alignment.align_documents(table(spark, folder, "documents"))
