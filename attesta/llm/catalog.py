@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from attesta.llm import alignment, bpe, decontam, exactdedup, hamming, idpack, langid, pii, quality, secrets, simhash, urlfilter
+from attesta.llm import alignment, bpe, decontam, exactdedup, hamming, idpack, langid, periodic, pii, quality, secrets, simhash, urlfilter
 from attesta.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -151,3 +151,17 @@ def _exact_copies(spark, folder):
 @register("op12_token_alignment")
 def _token_alignment(spark, folder):
     return alignment.align_documents(table(spark, folder, "documents"))
+
+
+@register("op11_periodic_runs")
+def _periodic_runs(spark, folder):
+    found = periodic.find_runs(periodic.with_planted_runs(table(spark, folder, "documents")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    best = F.col("best")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.start.alias("start"),
+        best.length.alias("length"), best.period.alias("period"),
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
