@@ -1,7 +1,7 @@
 """Alignment of two tokenizers' tokens over the same bytes.
 
 1. Every text is encoded by tokenizer A (byte-level BPE) and B (pieces with byte
-   fallback). The byte offsets at which tokens end are two ascending lists.
+   fallback), through tables of already encoded words. The byte offsets at which tokens end are two ascending lists.
 2. Galloping intersection: each end of the shorter list is searched in the longer
    one by doubling steps from a place known to lie before it, then by bisection in
    the bracket. Offsets in both lists cut the tokens into groups; the difference of
@@ -21,8 +21,10 @@ documents, and texts are not shuffled.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -39,12 +41,56 @@ from attesta.llm.common import id_text, ids_of, small_batches, staged, text_of
 class AlignParams:
     byte_level: str | None = None  # tokenizer file A; by default the public byte-level BPE
     piece_model: str | None = None  # model file B; by default the public piece model
-    anchor: int = 32  # every such end of the shorter list is searched from the document's start
+    cached_chars: int = 16_000_000  # bound of a worker's tables of encoded words
+    anchors: tuple[int, ...] = (1024, 64, 8)  # strides of the ends that are searched first
     batch_mb: int = 4  # texts of a batch
 
 
+class WordIds:
+    """Ids of the words met so far, as one flat array, and whether they spell the word."""
+
+    def __init__(self, space: str, table: list[bytes]):
+        self.space, self.table = space, table  # what the tokenizer puts before a word; bytes of the ids
+        self.place: dict[str, int] = {}
+        self.chars = 0
+        self.ids, self.ends, self.spelled = array("i"), array("q", [0]), bytearray()
+
+    def unknown(self, split: list[list[str]]) -> list[str]:
+        return [w for w in set().union(*split) if w not in self.place]
+
+    def learn(self, new: list[str], coded: list[list[int]]) -> None:
+        first = self.ends[-1]
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        self.chars += sum(map(len, new))
+        self.ids.extend(chain.from_iterable(coded))
+        self.ends.extend(accumulate(map(len, coded), initial=first))
+        self.ends.pop(len(self.ends) - len(new) - 1)  # the initial value is there already
+        self.spelled.extend(
+            b"".join(map(self.table.__getitem__, ids)) == (self.space + word).encode("utf-8", "replace")
+            for word, ids in zip(new, coded)
+        )
+
+    def look_up(self, split: list[list[str]]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids per text, and whether all its words are spelled."""
+        n = np.array([len(part) for part in split], np.int64)
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
+        ends = np.array(self.ends, np.int64)
+        size = (ends[1:] - ends[:-1])[at]
+        stop = np.cumsum(size)
+        flat = np.array(self.ids, np.int64)[np.arange(size.sum()) + np.repeat(ends[at] - (stop - size), size)]
+        wrong = np.concatenate([[0], np.cumsum(np.frombuffer(bytes(self.spelled), np.uint8)[at] == 0)])
+        last = np.cumsum(n)
+        cuts = np.concatenate([[0], stop])[last]
+        return np.split(flat, cuts[:-1]), wrong[last] == wrong[last - n]
+
+
 class Encoders:
-    """Both tokenizers with the bytes of their ids."""
+    """Both tokenizers with the bytes of their ids; every word is encoded once per table.
+
+    A never joins letters across a cut of `words.spaced`. B has no piece with a space
+    after its first character, but for runs of spaces, so it cuts before every single
+    space; its first space is its own.
+    """
 
     def __init__(self, params: AlignParams):
         import public_tokenizers
@@ -62,25 +108,44 @@ class Encoders:
         numbers = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         # Rows: an id followed by a comma, by the mark after A's ids, by the mark after a group.
         self.written = np.array([[f"{n}{mark}".encode() for n in numbers] for mark in ",|;"])
+        self.limit = params.cached_chars
+        self._forget()
+
+    def _forget(self) -> None:
+        self.a_words, self.b_words = WordIds("", self.a_bytes), WordIds(" ", self.b_bytes)
 
     def _piece(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace("▁", " ").encode()
 
+    @staticmethod
+    def _cut_a(text: str) -> list[str]:
+        if not text or text[0].isspace():
+            return words.BEFORE_SPACE.split(" " + text)
+        first, *rest = words.spaced(text)
+        return [" " + first, *rest]
+
+    @staticmethod
+    def _cut_b(text: str) -> list[str]:
+        parts = text.split(" ")
+        if "" in parts:
+            first, *rest = words.BEFORE_SPACE.split(text)
+            parts = [first, *(part[1:] for part in rest)]
+        return parts
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and B per text; none if the tokens do not spell the text."""
-        found_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        found_b = self.b.encode(texts, num_threads=1)
+        split_a, split_b = [self._cut_a(t) for t in texts], [self._cut_b(t) for t in texts]
+        if self.a_words.chars + self.b_words.chars > self.limit:
+            self._forget()
+        new = self.a_words.unknown(split_a)
+        self.a_words.learn(new, [found.ids for found in self.a.encode_batch_fast(new, add_special_tokens=False)])
+        new = self.b_words.unknown(split_b)
+        self.b_words.learn(new, self.b.encode(new, num_threads=1))
+        (a, a_same), (b, b_same) = self.a_words.look_up(split_a), self.b_words.look_up(split_b)
         none = np.zeros(0, np.int64)
-        out = []
-        for text, a, b in zip(texts, found_a, found_b):
-            a = a.ids
-            spelled = (" " + text).encode("utf-8", "replace")
-            same = text and (
-                b"".join(map(self.a_bytes.__getitem__, a)) == spelled == b"".join(map(self.b_bytes.__getitem__, b))
-            )
-            out.append((np.array(a, np.int64), np.array(b, np.int64)) if same else (none, none))
-        return out
+        same = a_same & b_same & np.array([t != "" for t in texts])
+        return [(x, y) if ok else (none, none) for x, y, ok in zip(a, b, same.tolist())]
 
 
 def gallop(ends: np.ndarray, wanted: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -118,15 +183,23 @@ class Aligned:
     link_long: np.ndarray
 
 
-def intersect(short: np.ndarray, long: np.ndarray, n_short: np.ndarray, n_long: np.ndarray, anchor: int) -> Aligned:
-    """Shared ends and overlaps of token sizes `short` and `long`, document by document."""
+def intersect(
+    short: np.ndarray, long: np.ndarray, n_short: np.ndarray, n_long: np.ndarray, anchors: tuple[int, ...]
+) -> Aligned:
+    """Shared ends and overlaps of token sizes `short` and `long`, document by document.
+
+    Every `anchors[0]`-th end is searched from its document's start, the ends of the
+    next stride from the one found before them, and so on down to every end.
+    """
     ends, wanted = np.cumsum(long), np.cumsum(short)
     doc = np.repeat(np.arange(len(n_short)), n_short)
-    place = np.zeros(len(wanted), np.int64)
-    at = np.arange(0, len(wanted), anchor)
-    place[at] = gallop(ends, wanted[at], (np.cumsum(n_long) - n_long)[doc[at]])
-    rest = np.flatnonzero(np.arange(len(wanted)) % anchor)
-    place[rest] = gallop(ends, wanted[rest], place[rest - rest % anchor])
+    place = (np.cumsum(n_long) - n_long)[doc]
+    for stride, above in zip((*anchors, 1), (0, *anchors)):
+        at = np.arange(0, len(wanted), stride)
+        if above:
+            at = at[at % above != 0]
+            place[at] = np.maximum(place[at], place[at - at % above])
+        place[at] = gallop(ends, wanted[at], place[at])
     shared = ends[place] == wanted if len(wanted) else np.zeros(0, bool)
     long_shared = np.zeros(len(ends), bool)
     long_shared[place[shared]] = True
@@ -160,7 +233,7 @@ BLOCK_SCHEMA = (
 )
 
 
-def align(texts: list[str], encoders: Encoders, anchor: int, keep_groups: bool) -> dict:
+def align(texts: list[str], encoders: Encoders, anchors: tuple[int, ...], keep_groups: bool) -> dict:
     """One block: counts and groups per document, distinct pairs, places of each document's pairs."""
     coded = encoders.encode(texts)
     n_a = np.array([len(a) for a, _ in coded], np.int64)
@@ -177,7 +250,7 @@ def align(texts: list[str], encoders: Encoders, anchor: int, keep_groups: bool)
     long_size = np.where(
         flipped, encoders.a_size[np.where(flipped, long, 0)], encoders.b_size[np.where(flipped, 0, long)]
     )
-    found = intersect(short_size, long_size, n_short, n_long, anchor)
+    found = intersect(short_size, long_size, n_short, n_long, anchors)
 
     written = _written(found, [short, long], swapped, long_doc, encoders)
     bounds = np.concatenate([[0], np.cumsum(n_a + n_b)])
@@ -211,7 +284,7 @@ def aligned_blocks(docs: DataFrame, params: AlignParams, keep_groups: bool) -> D
         encoders = Encoders(params)
         for batch in batches:
             if len(batch):
-                block = align(batch["text"].tolist(), encoders, params.anchor, keep_groups)
+                block = align(batch["text"].tolist(), encoders, params.anchors, keep_groups)
                 row = {"doc_ids": list(ids_of(batch["doc_id"])), **block}
                 yield pd.DataFrame({name: [value] for name, value in row.items()})
 

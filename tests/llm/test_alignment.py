@@ -112,15 +112,15 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("anchor", [1, 3, 32])
-def test_equals_plain(spark, plain, anchor):
-    rng = random.Random(anchor)
+@pytest.mark.parametrize("anchors, chars", [((), 16_000_000), ((6, 3), 100), ((1024, 64, 8), 16_000_000)])
+def test_equals_plain(spark, plain, anchors, chars):
+    rng = random.Random(chars)
     rows = [(i, t) for i, t in enumerate(TEXTS)]
     rows += [(100 + i, " ".join(rng.choice(["the", "of", "Energie", "naïveté", "x9", "über"]) for _ in range(rng.randrange(40))))
              for i in range(40)]
     rows += [(BIG, "above the doubles"), (None, "no id"), (BIG, "above the doubles")]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    assert rows_of(align_documents(docs, AlignParams(anchor=anchor))) == plain(rows)
+    assert rows_of(align_documents(docs, AlignParams(anchors=anchors, cached_chars=chars))) == plain(rows)
 
 
 def test_empty_and_clashing_columns(spark, plain):
