@@ -1,26 +1,29 @@
 """BPE encoding and decoding through a table of distinct words.
 
-1. Split: documents are cut into words in blocks of consecutive documents. A
-   block is kept as one compressed row, and its distinct words leave as one list
-   per word bucket (a hash of the word).
-2. Word table: the lists of a bucket meet in one partition, where every distinct
-   word is encoded once; each list goes back as ids in the order of its words.
-3. Join by position: block and id lists meet by block; word numbers become ids.
-4. Decode: ids are joined with the table of pieces (id, bytes), a table of the
-   vocabulary's size.
-
-Only distinct words of blocks and compressed texts are shuffled. A frequent word
-occurs once per block, so no word is a hot key; the number of buckets follows
-the shuffle partitions, so a bucket's table fits into a task.
+1. Split: documents are taken in blocks of consecutive documents, and every text is
+   split once. A block keeps the word numbers of its documents by position; its
+   distinct words leave as one list per word bucket (a hash of the word).
+2. Word table: the lists of a bucket meet in one partition, bucket after bucket,
+   where every distinct word is encoded once; each list goes back as ids in the
+   order of its words.
+3. Decode: the distinct ids of every block are joined with the table of pieces
+   (id, bytes), which has the vocabulary's size.
+4. Join by position: a block's word numbers, the ids of its words and the pieces of
+   its ids meet by block; ids and decoded bytes of a document follow by position.
+
+Only word numbers and distinct words of blocks are shuffled. A frequent word occurs
+once per block, so no word is a hot key; the number of buckets follows the shuffle
+partitions, so a bucket's table fits into a task.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import defaultdict
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,14 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm import words
-from attesta.llm.common import small_batches, text_of
+from attesta.llm.common import id_text, ids_of, small_batches, staged, text_of
 
 
 @dataclass(frozen=True)
 class BpeParams:
     tokenizer: str | None = None  # file; by default the public byte-level BPE
-    block_chars: int = 8_000_000  # texts of a block
-    cached_words: int = 2_000_000  # bound of a task's word table
+    block_chars: int = 4_000_000  # texts of a block
+    buckets: int = 64  # least number of word buckets
 
 
 def tokenizer_path(params: BpeParams) -> str:
@@ -60,93 +63,95 @@ def _from_text_list(payload: bytes) -> list[str]:
     return [raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())]
 
 
-def _blocks(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[tuple[int, list, list[str]]]:
-    """(block key, ids, texts): consecutive documents up to `limit` characters.
+def _numbers(values: np.ndarray) -> bytes:
+    """Numbers below 2^32 compressed byte plane by byte plane, as small ones are frequent."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.compress(planes.tobytes(), 3)
 
-    The key is a hash of the content, so any repetition of the work that forms
-    the same block gives the same key.
-    """
+
+def _from_numbers(payload: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(payload), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+def _blocks(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts): consecutive documents up to `limit` characters."""
     ids: list = []
     texts: list[str] = []
     size = 0
-
-    def block() -> tuple[int, list, list[str]]:
-        digest = hashlib.blake2b(repr(ids).encode(), digest_size=8)
-        for text in texts:
-            digest.update(f"{len(text)}:".encode() + text.encode("utf-8", "replace"))
-        return int.from_bytes(digest.digest(), "little", signed=True), ids, texts
-
     for batch in batches:
-        for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
+        for doc_id, text in zip(ids_of(batch["doc_id"]), batch["text"].tolist()):
             if size and size + len(text) > limit:
-                yield block()
+                yield ids, texts
                 ids, texts, size = [], [], 0
-            ids.append(None if pd.isna(doc_id) else int(doc_id))
+            ids.append(None if doc_id is pd.NA else int(doc_id))
             texts.append(text)
             size += len(text)
     if ids:
-        yield block()
-
-
-def _word_lists(texts: list[str], buckets: int) -> dict[int, list[str]]:
-    """Distinct words of a block by bucket, each list in a fixed order."""
-    seen: dict[str, None] = {}
-    for text in texts:
-        seen.update(dict.fromkeys(words.spaced(text)))
-    bare = dict.fromkeys(map(words.without_tail, seen))
-    bare.update(dict.fromkeys(w[-1:] for w in seen))
-    bare.pop("", None)
-    lists: dict[int, list[str]] = defaultdict(list)
-    for word in bare:
-        lists[zlib.crc32(word.encode("utf-8", "replace")) % buckets].append(word)
-    return lists
+        yield ids, texts
 
 
-def block_texts(docs: DataFrame, params: BpeParams) -> DataFrame:
-    """(block, doc_ids, texts): compressed blocks of documents."""
+def split_blocks(docs: DataFrame, buckets: int, params: BpeParams) -> DataFrame:
+    """One row per block, staged: word numbers by position, and distinct words by bucket.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for key, ids, texts in _blocks(batches, params.block_chars):
-            yield pd.DataFrame([(key, ids, _text_list(texts))], columns=["block", "doc_ids", "texts"])
-
-    return docs.mapInPandas(run, "block bigint, doc_ids array<bigint>, texts binary")
-
-
-def block_words(docs: DataFrame, buckets: int, params: BpeParams) -> DataFrame:
-    """(bucket, block, words): the distinct words of every block."""
+    `n_words` counts the words of each document; `places` holds the numbers of all
+    words, in order of first appearance; `of_bucket` the bucket of each number.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for key, _, texts in _blocks(batches, params.block_chars):
-            lists = _word_lists(texts, buckets)
-            yield pd.DataFrame({
-                "bucket": list(lists), "block": key, "words": [_text_list(w) for w in lists.values()],
-            })
-
-    return docs.mapInPandas(run, "bucket int, block bigint, words binary")
+        for ids, texts in _blocks(batches, params.block_chars):
+            number: dict[str, int] = {}
+            places, n_words = array("I"), []
+            for text in texts:
+                split = words.spaced(text) if text else []
+                for word in split:
+                    if word not in number:
+                        number[word] = len(number)
+                places.extend(map(number.__getitem__, split))
+                n_words.append(len(split))
+            of_bucket = np.array([zlib.crc32(w.encode("utf-8", "replace")) % buckets for w in number], np.int64)
+            lists: dict[int, list[str]] = {}
+            for word, bucket in zip(number, of_bucket.tolist()):
+                lists.setdefault(bucket, []).append(word)
+            row = {
+                "doc_ids": ids, "n_words": n_words, "places": _numbers(np.array(places, np.int64)),
+                "of_bucket": _numbers(of_bucket), "buckets": list(lists),
+                "words": [_text_list(part) for part in lists.values()],
+            }
+            yield pd.DataFrame({name: [value] for name, value in row.items()})
+
+    schema = (
+        "doc_ids array<bigint>, n_words array<int>, places binary, of_bucket binary, "
+        "buckets array<int>, words array<binary>"
+    )
+    return staged(docs.mapInPandas(run, schema).withColumn("block", F.monotonically_increasing_id()), "bpe-blocks")
 
 
 def encode_words(lists: DataFrame, params: BpeParams) -> DataFrame:
-    """(block, bucket, ids): each distinct word of a bucket is encoded once."""
+    """(block, bucket, ids, used) of lists sorted by bucket: each distinct word is encoded once.
+
+    `ids` holds the number of ids of each word, then all ids; `used` the distinct ids.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = words.load_tokenizer(tokenizer_path(params))
-        known: dict[str, list[int]] = {}
+        tokenizer = words.worker_tokenizer(tokenizer_path(params))
+        bucket, known = None, {}
         for batch in batches:
-            coded = []
-            for payload in batch["words"]:
+            coded, used = [], []
+            for number, payload in zip(batch["bucket"].tolist(), batch["words"]):
+                if number != bucket:
+                    bucket, known = number, {}
                 wanted = _from_text_list(payload)
-                if len(known) > params.cached_words:
-                    known.clear()
                 new = [w for w in wanted if w not in known]
                 for word, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                    known[word] = found.ids
+                    known[word] = array("I", found.ids)
                 ids = [known[w] for w in wanted]
-                sizes = np.array([len(i) for i in ids], "<u4").tobytes()
-                flat = np.array([x for i in ids for x in i], "<u4").tobytes()
-                coded.append(zstandard.compress(sizes + flat, 3))
-            yield pd.DataFrame({"block": batch["block"], "bucket": batch["bucket"], "ids": coded})
+                sizes, flat = np.array([len(i) for i in ids]), np.array(array("I", chain.from_iterable(ids)))
+                coded.append(_numbers(np.concatenate([sizes, flat])))
+                used.append(np.unique(flat).astype(np.int32))
+            yield pd.DataFrame({"block": batch["block"], "bucket": batch["bucket"], "ids": coded, "used": used})
 
-    return lists.mapInPandas(run, "block bigint, bucket int, ids binary")
+    return lists.mapInPandas(run, "block bigint, bucket int, ids binary, used array<int>")
 
 
 def pieces(tokenizer) -> list[bytes]:
@@ -159,16 +164,50 @@ def pieces(tokenizer) -> list[bytes]:
     return table
 
 
-def _ids_by_word(lists: dict[int, list[str]], found: pd.DataFrame) -> dict[str, bytes]:
-    known = {"": b""}
-    payloads = dict(zip(found["bucket"].tolist(), found["ids"]))
-    for bucket, wanted in lists.items():
-        raw = zstandard.decompress(payloads[bucket])
-        sizes = np.frombuffer(raw, "<u4", len(wanted)).astype(np.int64) * 4
-        ends = 4 * len(wanted) + np.cumsum(sizes)
-        for word, a, b in zip(wanted, (ends - sizes).tolist(), ends.tolist()):
-            known[word] = raw[a:b]
-    return known
+def piece_table(spark, params: BpeParams) -> DataFrame:
+    """(id, piece): as many rows as the vocabulary."""
+    table = pieces(words.load_tokenizer(tokenizer_path(params)))
+    return spark.createDataFrame(pd.DataFrame({"id": range(len(table)), "piece": table}), "id int, piece binary")
+
+
+def block_pieces(found: DataFrame, table: DataFrame) -> DataFrame:
+    """(block, piece_ids, pieces): the pieces of the distinct ids of every block."""
+    used = found.select("block", F.explode("used").alias("id")).distinct()
+    joined = used.join(F.broadcast(table), "id")  # the vocabulary bounds the table
+    each = F.array_sort(F.collect_list(F.struct("id", "piece")))
+    return joined.groupBy("block").agg(each.alias("all")).select(
+        "block", F.col("all.id").alias("piece_ids"), F.col("all.piece").alias("pieces")
+    )
+
+
+def _by_position(block: pd.Series, found: pd.DataFrame) -> Iterator[tuple]:
+    """(doc_id, ids, decoded bytes) of a block's documents."""
+    lists = found[found["bucket"].notna()].sort_values("bucket")
+    of_bucket, n_words = _from_numbers(block["of_bucket"]), np.asarray(block["n_words"], np.int64)
+    sizes, flat = [], []
+    counts = np.bincount(of_bucket)[lists["bucket"].astype(np.int64)] if len(lists) else []
+    for payload, n in zip(lists["ids"], counts):
+        raw = _from_numbers(payload)
+        sizes.append(raw[:n])
+        flat.append(raw[n:])
+    none = np.zeros(0, np.int64)
+    sizes, flat = np.concatenate([none, *sizes]), np.concatenate([none, *flat])
+    ends = np.cumsum(sizes)
+    # Lists hold the words of a bucket in the order of their numbers.
+    order = np.argsort(of_bucket, kind="stable")
+    start, size = np.empty_like(order), np.empty_like(order)
+    start[order], size[order] = ends - sizes, sizes
+    joined = found[found["bucket"].isna()]
+    names, table = (joined["piece_ids"].iloc[0], joined["pieces"].iloc[0]) if len(joined) else (none, [])
+    spelled = [table[i] for i in np.searchsorted(names, flat).tolist()]
+    decoded = [b"".join(spelled[a : a + n]) for a, n in zip(start.tolist(), size.tolist())]
+    places, first = _from_numbers(block["places"]), 0
+    for doc_id, n in zip(block["doc_ids"], n_words.tolist()):
+        at = places[first : first + n]
+        first += n
+        count = size[at]
+        ids = flat[np.arange(count.sum()) + np.repeat(start[at] - (np.cumsum(count) - count), count)]
+        yield doc_id, ids.astype("<u4"), b"".join(map(decoded.__getitem__, at.tolist()))
 
 
 def encode_documents(docs: DataFrame, params: BpeParams | None = None, keep_ids: bool = False) -> DataFrame:
@@ -176,46 +215,36 @@ def encode_documents(docs: DataFrame, params: BpeParams | None = None, keep_ids:
 
     Columns doc_id, n_tokens, ids_sha256 (ids as little-endian 32-bit numbers),
     decoded_sha256 (UTF-8); with `keep_ids` also ids and decoded. A null text
-    counts as empty; repeated rows keep a row each; ids may be null; other
-    columns are not read; an empty table gives no rows.
+    counts as empty; texts have any length; repeated rows keep a row each; ids may be
+    null; other columns are not read; an empty table gives no rows.
     """
     params = params or BpeParams()
     spark = docs.sparkSession
-    buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    lists = block_words(rows, buckets, params).repartition("bucket")
+    buckets = max(params.buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = small_batches(docs).select(id_text("doc_id").alias("doc_id"), text_of().alias("text"))
+    blocks = split_blocks(rows, buckets, params)
+    lists = blocks.select("block", F.inline(F.arrays_zip(F.col("buckets").alias("bucket"), "words")))
+    found = staged(encode_words(lists.repartition("bucket").sortWithinPartitions("bucket"), params), "bpe-ids")
+    met = found.drop("used").withColumnRenamed("block", "of_block").unionByName(
+        block_pieces(found, piece_table(spark, params)).withColumnRenamed("block", "of_block"),
+        allowMissingColumns=True,
+    )
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>, decoded string" if keep_ids else ""
     names = [part.split()[0] for part in schema.split(", ")]
 
-    def join(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        table = pieces(words.load_tokenizer(tokenizer_path(params)))
+    def join(block: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
         out = []
-        seen = set()
-        for doc_ids, payload in zip(texts["doc_ids"], texts["texts"]):
-            block = _from_text_list(payload)
-            if not seen:
-                known = _ids_by_word(_word_lists(block, buckets), found)
-                seen.add(True)
-            for doc_id, text in zip(doc_ids, block):
-                coded = []
-                for word in words.spaced(text):
-                    ids = known.get(word)
-                    if ids is None:
-                        base = words.without_tail(word)
-                        ids = known[word] = known[base] + known[word[len(base):]]
-                    coded.append(ids)
-                raw = b"".join(coded)
-                ids = np.frombuffer(raw, "<u4")
-                decoded = b"".join([table[i] for i in ids.tolist()]).decode("utf-8", "replace")
-                row = (
-                    doc_id, len(ids), hashlib.sha256(raw).hexdigest(),
-                    hashlib.sha256(decoded.encode()).hexdigest(),
-                )
-                out.append(row + ((ids.astype(np.int32).tolist(), decoded) if keep_ids else ()))
+        for doc_id, ids, raw in _by_position(block.iloc[0], parts):
+            decoded = raw.decode("utf-8", "replace")
+            row = (
+                None if pd.isna(doc_id) else str(int(doc_id)), len(ids), hashlib.sha256(ids.tobytes()).hexdigest(),
+                hashlib.sha256(decoded.encode()).hexdigest(),
+            )
+            out.append(row + ((ids.astype(np.int32).tolist(), decoded) if keep_ids else ()))
         result = pd.DataFrame(out, columns=names)
-        return result.astype({"doc_id": "Int64"})
+        result["doc_id"] = ids_of(result["doc_id"])
+        return result
 
-    blocks = block_texts(rows, params)
-    found = encode_words(lists, params)
-    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(join, schema)
+    kept = blocks.select("block", F.col("doc_ids").cast("array<string>").alias("doc_ids"), "n_words", "places", "of_bucket")
+    return kept.groupBy("block").cogroup(met.groupBy("of_block")).applyInPandas(join, schema)

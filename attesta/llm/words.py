@@ -43,6 +43,14 @@ def worker_state(name: str) -> dict:
     return sys.modules.setdefault(f"_attesta_{name}", types.ModuleType(name)).__dict__
 
 
+def worker_tokenizer(path: str):
+    """The tokenizer of a file, loaded once per Python worker."""
+    state = worker_state("tokenizers")
+    if path not in state:
+        state[path] = load_tokenizer(path)
+    return state[path]
+
+
 def without_tail(word: str) -> str:
     """The word without a final comma or full stop that follows a letter or digit."""
     return word[:-1] if len(word) > 1 and word[-1] in ".," and word[-2] in LETTERS else word
