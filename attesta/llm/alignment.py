@@ -41,9 +41,9 @@ from attesta.llm.common import id_text, ids_of, small_batches, staged, text_of
 class AlignParams:
     byte_level: str | None = None  # tokenizer file A; by default the public byte-level BPE
     piece_model: str | None = None  # model file B; by default the public piece model
-    cached_chars: int = 16_000_000  # bound of a worker's tables of encoded words
+    cached_chars: int = 8_000_000  # bound of a worker's tables of encoded words
     anchors: tuple[int, ...] = (1024, 64, 8)  # strides of the ends that are searched first
-    batch_mb: int = 4  # texts of a batch
+    batch_mb: int = 2  # texts of a batch
 
 
 class WordIds:
