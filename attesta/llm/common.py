@@ -47,15 +47,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/attesta-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     result = spark.read.schema(df.schema).parquet(path)
-    result.staged_path = path
+    result.staged_paths = [path]
     return result
 
 
 def unstage(df: DataFrame) -> None:
-    """Delete the files of a staged table that nothing reads any more."""
+    """Delete the files of a staged table, or of all that `staged_paths` names."""
     jvm = df.sparkSession._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df.staged_path)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    for name in df.staged_paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(df: DataFrame, megabytes: int = 4) -> DataFrame:

@@ -33,7 +33,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node with an edge; the root is the smallest node.
 
     `edges` has columns u and v of one orderable type; loops and repeats are
-    allowed, rows with a null are not edges.
+    allowed, rows with a null are not edges. The result reads a staged table, which
+    `unstage` of it deletes.
     """
     current = staged(
         edges.filter("u is not null and v is not null and u <> v")
@@ -50,8 +51,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         unstage(current)
         current = after
         if now == state:
-            return current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
+            result = current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
                 current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
+            result.staged_paths = current.staged_paths
+            return result
         state = now
     raise RuntimeError("components did not settle")
