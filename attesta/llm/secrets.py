@@ -2,29 +2,37 @@
 
 Everything is a DataFrame or SQL expression. Spans of a pattern follow from the
 lengths of the matches and of the pieces between them. Long character runs that
-touch no pattern span are scored by two first-order Markov models over
-characters, one of random strings and one of ordinary identifiers; a run whose
+touch no pattern span and do not have the shape of a UUID are scored by two Markov
+models, one of random strings and one of ordinary identifiers; a run whose
 log-likelihood ratio per step exceeds a threshold is a span of kind `markov`.
 
-The models are counted from labelled samples: hashes in several alphabets are
-random, letter runs of documents are ordinary (as written and in upper case).
-They form one array of a fixed size (alphabet squared), a constant in the scoring
-expression.
+A model has two parts: the class of a character (upper case, lower case, digit, sign)
+given the classes of the two before it, and the character given its class and the
+character before it, smoothed towards the character's share of its class.
+
+The models are counted from labelled samples. Random: digests in several alphabets.
+Ordinary: the letter runs of documents, their other runs that occur in several
+documents, and identifiers composed of neighbouring words in the usual styles (camel
+case, snake case, upper case, with numbers). Half of the strings fit the models, the
+other half the threshold: the highest that still finds a share `recall` of the random
+strings, cut to the least length that is scored. Both models are arrays of a fixed size, constants in the
+scoring expression.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import text_of
+from attesta.llm.common import staged, text_of, unstage
 
 ASSIGN = r"""(?=[pstaPSTA])(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
+UUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 KINDS = ("assign", "access", "hex", "markov")
 STATES = len(ALPHABET) + 1  # state 0: any other character
@@ -37,32 +45,48 @@ class SecretParams:
     min_value: int = 6  # characters of an assigned value
     min_run: int = 16  # characters of a scored run
     train_rows: int = 5_000  # bound of the documents that the models are counted on
-    threshold: float = 0.5  # log-likelihood ratio per step
+    threshold: float | None = None  # log-likelihood ratio per step; by default fitted
+    recall: float = 0.97  # of random strings of the least length, when the threshold is fitted
+    smoothing: float = 20.0  # weight of a character's share of its class
+    seen_in: int = 3  # documents that hold an identifier with digits
 
 
 def _run_pattern(least: int) -> str:
     return rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{least},}}"
 
 
-def _before(lengths: Column) -> Column:
-    """Sum of the elements before each element, in blocks to stay near linear."""
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.ceil(F.size(lengths) / F.lit(BLOCK)).cast("int") - 1),
-        lambda k: F.slice(lengths, k * BLOCK + 1, BLOCK),
-    )
+def _bound(value: Column, use) -> Column:
+    """`use` of a value that is computed once, however often it is named in lambdas."""
+    return F.transform(F.array(value), use)[0]
 
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
-    sums = F.transform(blocks, total)
-    return F.flatten(
-        F.transform(
-            blocks,
-            lambda block, k: F.transform(
-                block, lambda _, i: total(F.slice(sums, 1, k)) + total(F.slice(block, 1, i))
-            ),
+def _running(values: Column, start: int, join) -> Column:
+    """`join` of the elements before each element, in blocks to stay near linear."""
+
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(start), join)
+
+    def within(block: Column, before: Column) -> Column:
+        return F.transform(block, lambda _, i: join(before, total(F.slice(block, 1, i))))
+
+    def over(blocks: Column, totals: Column) -> Column:
+        return F.flatten(F.transform(
+            blocks, lambda block, k: _bound(total(F.slice(totals, 1, k)), lambda before: within(block, before))
+        ))
+
+    def cut(all_values: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.ceil(F.size(all_values) / F.lit(BLOCK)).cast("int") - 1),
+            lambda k: F.slice(all_values, k * BLOCK + 1, BLOCK),
         )
-    )
+
+    return _bound(values, lambda v: _bound(cut(v), lambda blocks: _bound(
+        F.transform(blocks, total), lambda totals: over(blocks, totals))))
+
+
+def _before(lengths: Column) -> Column:
+    """Sum of the elements before each element."""
+    return _running(lengths, 0, lambda a, x: a + x)
 
 
 def _spans(df: DataFrame, kind: str, pattern: str) -> DataFrame:
@@ -101,11 +125,29 @@ def _base_spans(docs: DataFrame, params: SecretParams) -> DataFrame:
     return _spans(_spans(df, "access", ACCESS), "hex", HEX)
 
 
-def _cells(token: Column) -> Column:
-    """Cell number (previous state, next state) of each step of a token."""
-    state = lambda i: F.call_function("locate", F.substring(token, i, F.lit(1)), F.lit(ALPHABET))
+def _states(token: Column) -> Column:
+    """Place of each character in the alphabet, from 1; 0 for any other character."""
     return F.transform(
-        F.sequence(F.lit(1), F.length(token) - 1), lambda i: state(i) * STATES + state(i + 1)
+        F.regexp_extract_all(token, F.lit("(?s)."), F.lit(0)), lambda c: F.call_function("locate", c, F.lit(ALPHABET))
+    )
+
+
+def _class(state: Column) -> Column:
+    """0 no character of the alphabet, 1 upper case, 2 lower case, 3 digit, 4 sign."""
+    return (
+        F.when(state <= 0, 0).when(state <= 26, 1).when(state <= 52, 2).when(state <= 62, 3).otherwise(4)
+    )
+
+
+def _steps(states: Column) -> Column:
+    """(class cell, character cell) of each step: three classes, two characters."""
+    at = lambda i: F.coalesce(F.get(states, i), F.lit(0))
+    return F.transform(
+        F.sequence(F.lit(1), F.size(states) - 1),
+        lambda i: F.struct(
+            ((F.when(i > 1, _class(at(i - 2))).otherwise(0) * 5 + _class(at(i - 1))) * 5 + _class(at(i))).alias("classes"),
+            (at(i - 1) * STATES + at(i)).alias("characters"),
+        ),
     )
 
 
@@ -114,62 +156,216 @@ def sample_slices(train_rows: int, rows: int) -> int:
     return math.ceil(min(1.0, train_rows / max(1, rows)) * SLICES)
 
 
-def train(docs: DataFrame, params: SecretParams) -> Column:
-    """Constant array: log-likelihood ratio of every step, by cell.
+def _number(key: Column, most: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(most)), F.lit(most)).cast("string")
+
+
+def composed(words: Column) -> Column:
+    """Identifiers made of each three neighbouring words, in one of eight styles."""
+
+    def styled(i: Column) -> Column:
+        a, b, c = (F.get(words, i + k) for k in range(3))
+        big_a, big_b, big_c = F.initcap(a), F.initcap(b), F.initcap(c)
+        key = F.concat(a, b, c)
+        small, large = _number(key, 20), _number(key, 2100)
+        styles = [
+            F.concat(a, big_b, big_c),
+            F.concat(a, big_b, small, big_c, F.upper(F.substring(b, 1, 2))),
+            F.concat(a, big_b, big_c, large),
+            F.concat_ws("_", a, b, c),
+            F.concat_ws("_", a, b, large),
+            F.concat(F.upper(a), small, F.upper(b), large),
+            F.concat_ws("-", F.upper(a), F.upper(b), F.upper(c)),
+            F.concat(F.substring(a, 1, 1), big_a, small, big_b, big_c, large, F.upper(F.substring(c, 1, 2))),
+        ]
+        pick = F.pmod(F.xxhash64(key), F.lit(len(styles)))
+        chosen = styles[-1]
+        for number, style in enumerate(styles[:-1]):
+            chosen = F.when(pick == number, style).otherwise(chosen)
+        return chosen
+
+    last = F.size(words) - 3
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last, F.lit(3)), styled)).otherwise(
+        F.array().cast("array<string>")
+    )
+
+
+def training_strings(docs: DataFrame, params: SecretParams) -> DataFrame:
+    """(token, random, fit): distinct labelled strings; half of them fit the models.
 
-    Fitted on at most about `train_rows` documents, chosen by a hash of id and
-    text length; both models use add-one counts, so an empty table gives equal
-    models. A table with rows whose sample is empty is an error.
+    From about `train_rows` documents, chosen by a hash of id and text length.
     """
-    rows = docs.count()
     key = F.pmod(F.xxhash64(F.lit("train"), "doc_id", F.length("text")), F.lit(SLICES))
-    sample = docs.filter(key < F.lit(sample_slices(params.train_rows, rows)))
-    letters = F.explode(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{6,}(?![A-Za-z0-9+/_=-])"), F.lit(0)))
-    words = sample.select(letters.alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    ordinary = words.select(
-        F.explode(F.array("w", F.upper("w"))).alias("token"), F.lit(0).alias("random"), "n"
-    )
-    digest = F.sha2(F.concat_ws(":", F.coalesce("doc_id", F.lit(0)), F.length("text")), 256)
-    packed = F.base64(F.unhex(digest))
-    random = sample.select(
-        F.explode(F.array(digest, packed, F.upper(F.regexp_replace(packed, "[^A-Za-z0-9]", "")))).alias("token"),
-        F.lit(1).alias("random"), F.lit(1).cast("bigint").alias("n"),
-    )
-    steps = ordinary.unionByName(random).select("random", "n", F.explode(_cells(F.col("token"))).alias("cell"))
-    counts = steps.groupBy("cell").agg(
-        F.sum(F.col("random") * F.col("n")).alias("r"),
-        F.sum((1 - F.col("random")) * F.col("n")).alias("o"),
-    )
-    spark = docs.sparkSession
-    cells = spark.range(STATES * STATES).select(F.col("id").alias("cell"))
+    sample = docs.filter(key < F.lit(sample_slices(params.train_rows, docs.count())))
+    runs = sample.select(
+        "doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_run_pattern(6)), F.lit(0)))).alias("token")
+    )
+    seen = runs.groupBy("token").agg(F.count("*").alias("n")).filter(
+        F.col("token").rlike("^[A-Za-z_-]+$")
+        | ((F.col("n") >= params.seen_in) & F.col("token").rlike("[A-Za-z]") & (F.length("token") < params.min_run))
+    )
+    words = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9])[A-Za-z]{2,12}(?![A-Za-z0-9])"), F.lit(0))
+    named = sample.select(F.transform(words, F.lower).alias("words")).select(
+        F.explode(composed(F.col("words"))).alias("token")
+    )
+    ordinary = seen.select("token").union(named).union(seen.select(F.upper("token")))
+    digest = lambda salt: F.base64(F.unhex(F.sha2(F.concat_ws(":", F.lit(salt), F.coalesce("doc_id", F.lit(0)), F.length("text")), 256)))
+    plain = lambda salt: F.regexp_replace(digest(salt), "[^A-Za-z0-9]", "")
+    random = sample.select(F.explode(F.array(
+        F.regexp_replace(digest("a"), "=", ""), F.translate(F.regexp_replace(digest("b"), "=", ""), "+/", "-_"),
+        plain("c"), plain("d"), F.upper(plain("e")), F.lower(plain("f")),
+    )).alias("token"))
+    both = ordinary.select("token", F.lit(0).alias("random")).union(random.select("token", F.lit(1).alias("random")))
+    fit = F.pmod(F.xxhash64(F.lit("fit"), "token"), F.lit(2)) == 0
+    return both.filter(F.length("token") > 1).distinct().withColumn("fit", fit)
+
+
+def _log_ratio() -> Column:
+    return F.array_sort(F.collect_list(F.struct("cell", (F.log("p1") - F.log("p0")).alias("ratio"))))["ratio"]
+
+
+def _class_ratios(steps: DataFrame) -> DataFrame:
+    """One row: log ratios of the class cells, with add-one counts."""
+    cells = steps.sparkSession.range(125).select(F.col("id").alias("cell"))
+    counts = steps.groupBy(F.col("step.classes").cast("bigint").alias("cell")).agg(
+        *[F.sum(F.when(F.col("random") == r, 1).otherwise(0)).alias(f"n{r}") for r in (0, 1)]
+    )
+    filled = cells.join(counts, "cell", "left").select(
+        "cell", F.floor(F.col("cell") / 5).alias("before"), *[(F.coalesce(f"n{r}", F.lit(0)) + 1.0).alias(f"n{r}") for r in (0, 1)]
+    )
+    totals = filled.groupBy("before").agg(*[F.sum(f"n{r}").alias(f"t{r}") for r in (0, 1)])
+    shares = filled.join(totals, "before").select("cell", *[(F.col(f"n{r}") / F.col(f"t{r}")).alias(f"p{r}") for r in (0, 1)])
+    return shares.agg(_log_ratio().alias("classes"))
+
+
+def _character_ratios(steps: DataFrame, params: SecretParams) -> DataFrame:
+    """One row: log ratios of the character cells, given the next character's class."""
+    cells = steps.sparkSession.range(STATES * STATES).select(F.col("id").alias("cell"))
+    counts = steps.groupBy(F.col("step.characters").cast("bigint").alias("cell")).agg(
+        *[F.sum(F.when(F.col("random") == r, 1).otherwise(0)).alias(f"n{r}") for r in (0, 1)]
+    )
+    state = F.col("cell") % STATES
     filled = cells.join(counts, "cell", "left").select(
-        "cell", F.floor(F.col("cell") / STATES).alias("previous"),
-        (F.coalesce("r", F.lit(0)) + 1.0).alias("r"), (F.coalesce("o", F.lit(0)) + 1.0).alias("o"),
-    )
-    totals = filled.groupBy("previous").agg(F.sum("r").alias("tr"), F.sum("o").alias("to"))
-    ratio = F.log(F.col("r") / F.col("tr")) - F.log(F.col("o") / F.col("to"))
-    found = filled.join(totals, "previous").agg(
-        F.array_sort(F.collect_list(F.struct("cell", ratio.alias("ratio"))))["ratio"].alias("all"),
-        (F.sum("r") - STATES * STATES).alias("steps"),
+        "cell", F.floor(F.col("cell") / STATES).alias("previous"), state.alias("state"), _class(state).alias("class"),
+        *[F.coalesce(f"n{r}", F.lit(0)).cast("double").alias(f"n{r}") for r in (0, 1)],
+    )
+    alone = filled.groupBy("class", "state").agg(*[(F.sum(f"n{r}") + 1).alias(f"s{r}") for r in (0, 1)])
+    of_class = alone.groupBy("class").agg(*[F.sum(f"s{r}").alias(f"c{r}") for r in (0, 1)])
+    after = filled.groupBy("previous", "class").agg(*[F.sum(f"n{r}").alias(f"t{r}") for r in (0, 1)])
+    k = params.smoothing
+    joined = filled.join(alone, ["class", "state"]).join(of_class, "class").join(after, ["previous", "class"])
+    shares = joined.select("cell", *[
+        ((F.col(f"n{r}") + k * F.col(f"s{r}") / F.col(f"c{r}")) / (F.col(f"t{r}") + k)).alias(f"p{r}") for r in (0, 1)
+    ])
+    return shares.agg(_log_ratio().alias("characters"))
+
+
+@dataclass(frozen=True)
+class SecretModel:
+    classes: Column  # constant arrays: log-likelihood ratio of every cell
+    characters: Column
+    threshold: float
+
+    def score(self, states: Column) -> Column:
+        """Log-likelihood ratio per step of a string given by its states."""
+        total = F.aggregate(
+            _steps(states), F.lit(0.0),
+            lambda a, s: a + F.get(self.classes, s["classes"]) + F.get(self.characters, s["characters"]),
+        )
+        return total / F.greatest(F.size(states) - 1, F.lit(1))
+
+
+def _constant(values: list[float]) -> Column:
+    return F.split(F.lit(",".join(repr(x) for x in values)), ",").cast("array<double>")
+
+
+def held_out(strings: DataFrame, model: SecretModel, params: SecretParams) -> DataFrame:
+    """(random, score) of the strings kept apart that are long enough to be scored.
+
+    Random strings are cut to the least length, which is the hardest case.
+    """
+    least = F.lit(params.min_run)
+    token = F.when(F.col("random") == 1, F.substring("token", F.lit(1), least)).otherwise(F.col("token"))
+    rows = strings.filter(~F.col("fit")).select("random", token.alias("token")).filter(F.length("token") >= least)
+    return rows.select("random", _bound(_states(F.col("token")), model.score).alias("score"))
+
+
+def train(docs: DataFrame, params: SecretParams) -> SecretModel:
+    """Models and threshold from labelled strings.
+
+    An empty table gives equal models. A table with rows whose sample is empty is an
+    error.
+    """
+    strings = staged(training_strings(docs, params), "strings")
+    steps = staged(
+        strings.filter("fit").select(
+            "random", F.explode(_bound(_states(F.col("token")), _steps)).alias("step")
+        ),
+        "steps",
+    )
+    if steps.isEmpty() and not docs.isEmpty():
+        raise ValueError(f"no training sample for the character models: train_rows={params.train_rows}")
+    model = SecretModel(
+        _constant(_class_ratios(steps).first()["classes"]),
+        _constant(_character_ratios(steps, params).first()["characters"]),
+        0.5 if params.threshold is None else params.threshold,
+    )
+    if params.threshold is None:
+        random = held_out(strings, model, params).filter("random = 1")
+        found = random.agg(F.percentile("score", F.lit(1 - params.recall)).alias("at")).first()["at"]
+        model = replace(model, threshold=0.5 if found is None else found)
+    unstage(strings)
+    unstage(steps)
+    return model
+
+
+def precision_and_recall(docs: DataFrame, params: SecretParams | None = None) -> tuple[float, float]:
+    """Of the model on labelled strings kept apart, random strings at the least length."""
+    params = params or SecretParams()
+    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    model = train(plain, params)
+    flagged = F.col("score") > model.threshold
+    found = held_out(training_strings(plain, params), model, params).agg(
+        F.count_if(flagged & (F.col("random") == 1)).alias("right"), F.count_if(flagged).alias("all"),
+        F.count_if(F.col("random") == 1).alias("random"),
     ).first()
-    if rows and not found["steps"]:
-        raise ValueError(f"no training sample for the character models: {rows} rows, train_rows={params.train_rows}")
-    return F.split(F.lit(",".join(repr(x) for x in found["all"])), ",").cast("array<double>")
+    return found["right"] / max(1, found["all"]), found["right"] / max(1, found["random"])
+
+
+def _apart(base: Column, runs: Column) -> Column:
+    """The runs that overlap no base span, by one sorted pass over both.
+
+    Base spans are placed by their start, runs by their end and before base spans that
+    start there; a run is apart if no base span placed before it ends after its start.
+    """
+
+    def events(spans: Column, all_runs: Column) -> Column:
+        return F.array_sort(F.concat(
+            F.transform(spans, lambda b: F.struct(
+                b["start"].alias("at"), F.lit(1).alias("is_base"), b["end"].alias("end"), F.lit(-1).alias("run"))),
+            F.transform(all_runs, lambda r, i: F.struct(
+                r["end"].alias("at"), F.lit(0).alias("is_base"), F.lit(-1).alias("end"), i.alias("run"))),
+        ))
+
+    def clear(placed: Column, all_runs: Column) -> Column:
+        reach = _running(F.transform(placed, lambda e: e["end"]), -1, lambda a, x: F.greatest(a, x))
+        met = F.zip_with(placed, reach, lambda e, m: F.struct(e["run"].alias("run"), m.alias("reach")))
+        kept = F.filter(met, lambda e: (e["run"] >= 0) & (e["reach"] <= F.get(all_runs, e["run"])["start"]))
+        return F.transform(kept, lambda e: F.get(all_runs, e["run"]))
+
+    found = _bound(runs, lambda r: _bound(events(base, r), lambda placed: clear(placed, r)))
+    return F.when((F.size(base) == 0) | (F.size(runs) == 0), runs).otherwise(found)
 
 
-def _scored(docs: DataFrame, ratios: Column, params: SecretParams) -> DataFrame:
+def _scored(docs: DataFrame, model: SecretModel, params: SecretParams) -> DataFrame:
     """Adds column `markov`: runs outside the base spans that look random."""
     df = _spans(docs, "markov", _run_pattern(params.min_run))
-    base = F.concat("assign", "access", "hex")
-    apart = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
-    runs = F.filter(
-        F.filter("markov", lambda s: s["hit"].rlike("[A-Za-z]") & s["hit"].rlike("[^0-9=/_-]")), apart
-    )
-    total = lambda hit: F.aggregate(
-        _cells(hit), F.lit(0.0), lambda a, c: a + F.get(ratios, c)
-    )
-    wanted = lambda s: total(s["hit"]) > (F.length(s["hit"]) - 1) * params.threshold
-    return df.withColumn("markov", F.filter(runs, wanted))
+    wanted = lambda s: s["hit"].rlike("[A-Za-z]") & s["hit"].rlike("[^0-9=/_-]") & ~s["hit"].rlike(UUID)
+    df = df.withColumn("markov", F.filter("markov", wanted)).withColumn("_base", F.concat("assign", "access", "hex"))
+    df = df.withColumn("markov", _apart(F.col("_base"), F.col("markov")))
+    with_states = F.transform("markov", lambda s: F.struct(s.alias("span"), _states(s["hit"]).alias("states")))
+    random = F.filter(with_states, lambda s: model.score(s["states"]) > model.threshold)
+    return df.withColumn("markov", F.transform(random, lambda s: s["span"])).drop("_base")
 
 
 def scan(docs: DataFrame, params: SecretParams | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -205,7 +401,12 @@ def _listed(kinds: tuple[str, ...]) -> Column:
 
 
 def find_secrets(docs: DataFrame, params: SecretParams | None = None) -> DataFrame:
-    """Counts and spans of secrets per document, over whole texts."""
+    """Counts and spans of secrets per document, over whole texts.
+
+    A null text counts as empty and has no spans. Repeated rows keep a row each, null
+    ids stay null, texts have any length, other columns are not read, an empty table
+    gives no rows.
+    """
     return scan(docs, params).select(
         "doc_id",
         *[F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in KINDS[:3]],

@@ -100,3 +100,86 @@ def test_sample_is_never_silently_empty(spark):
     docs = spark.createDataFrame([(1, "some text here")], "doc_id bigint, text string")
     with pytest.raises(ValueError, match="no training sample"):
         secrets.find_secrets(docs, secrets.SecretParams(train_rows=0))
+
+
+def plain_apart(base, runs):
+    return [r for r in runs if not any(b[0] < r[1] and b[1] > r[0] for b in base)]
+
+
+def test_runs_apart_from_base_spans(spark):
+    """The sorted pass against all comparisons, beyond one block of elements."""
+    from pyspark.sql import functions as F
+
+    rng, rows = random.Random(5), []
+    for i in range(30):
+        cuts = sorted(rng.sample(range(5000), rng.choice((0, 4, 300))))
+        runs = list(zip(cuts[::2], cuts[1::2]))
+        base = [(a, a + rng.randrange(1, 40)) for a in rng.sample(range(5000), rng.choice((0, 3, 400)))]
+        rows.append((i, base, runs))
+    span = "array<struct<start:int,end:int>>"
+    df = spark.createDataFrame(rows, f"id int, base {span}, runs {span}")
+    got = {r.id: [tuple(x) for x in r.found] for r in df.select("id", secrets._apart(F.col("base"), F.col("runs")).alias("found")).collect()}
+    for i, base, runs in rows:
+        assert sorted(got[i]) == sorted(plain_apart(base, runs))
+
+
+def test_identifiers_with_digits_are_ordinary(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    names = ["iPhone15ProMax256GB", "getUserById2FromCache", "backgroundColorPrimary500", "COVID19VACCINATION2021",
+             "550e8400-e29b-41d4-a716-446655440000", "MAX_RETRY_COUNT_2024", "transformation-2021-identifier"]
+    rng = random.Random(17)
+    alphabets = [string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_uppercase + string.digits]
+    made = ["".join(rng.choices(rng.choice(alphabets), k=rng.randrange(20, 45))) for _ in range(300)]
+    rows = [(-1 - i, f"see {n} there") for i, n in enumerate(names)]
+    rows += [(-1000 - i, f"see {m} there") for i, m in enumerate(made)]
+    both = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    spans = {r.doc_id: r.spans for r in secrets.find_secrets(both).filter("doc_id < 0").collect()}
+    assert [spans[-1 - i] for i in range(len(names))] == [""] * len(names)
+    assert sum(spans[-1000 - i] != "" for i in range(len(made))) / len(made) >= 0.95
+
+
+def plain_ratio(strings, token, smoothing):
+    """Log-likelihood ratio per step, from plain counts."""
+    import math
+    from collections import Counter
+
+    kind = lambda c: next((i for i, a in enumerate((string.ascii_uppercase, string.ascii_lowercase, string.digits, "+/_=-"), 1) if c in a), 0)
+    total = 0.0
+    parts = []
+    for label in (0, 1):
+        classes, context, pairs, after, alone = Counter(), Counter(), Counter(), Counter(), Counter()
+        for t, r in strings:
+            if r == label:
+                for i in range(1, len(t)):
+                    c = (kind(t[i - 2]) if i > 1 else 0, kind(t[i - 1]), kind(t[i]))
+                    classes[c] += 1
+                    context[c[:2]] += 1
+                    pairs[t[i - 1], t[i]] += 1
+                    after[t[i - 1], c[2]] += 1
+                    alone[t[i]] += 1
+        sizes = {1: 26, 2: 26, 3: 10, 4: 5}
+        of_class = {k: sum(n for c, n in alone.items() if kind(c) == k) + sizes[k] for k in sizes}
+        parts.append((classes, context, pairs, after, alone, of_class))
+    for i in range(1, len(token)):
+        c = (kind(token[i - 2]) if i > 1 else 0, kind(token[i - 1]), kind(token[i]))
+        for sign, (classes, context, pairs, after, alone, of_class) in zip((-1, 1), parts):
+            share = (alone[token[i]] + 1) / of_class[c[2]]
+            p = (classes[c] + 1) / (context[c[:2]] + 5)
+            p *= (pairs[token[i - 1], token[i]] + smoothing * share) / (after[token[i - 1], c[2]] + smoothing)
+            total += sign * math.log(p)
+    return total / (len(token) - 1)
+
+
+def test_ratio_equals_plain_counts(spark, prose):
+    docs = spark.createDataFrame(list(enumerate(prose)), "doc_id bigint, text string")
+    params = secrets.SecretParams()
+    strings = secrets.training_strings(docs, params)
+    fit = [(r.token, r.random) for r in strings.filter("fit").collect()]
+    model = secrets.train(docs, params)
+    from pyspark.sql import functions as F
+
+    tested = ["aB3dE+fG7hIjKlMnOp", "configurationManager", "x_y-z=0", "AAAA1111bbbb"]
+    rows = spark.createDataFrame([(t,) for t in tested], "token string").select(
+        "token", secrets._bound(secrets._states(F.col("token")), model.score).alias("score"))
+    for r in rows.collect():
+        assert abs(r.score - plain_ratio(fit, r.token, params.smoothing)) < 1e-9
