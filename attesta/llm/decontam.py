@@ -14,8 +14,9 @@ floor(rate * n) word edits of it (words in lower case, without punctuation).
    are repeated until the wanted recall is reached (see the tests).
 4. Candidates are verified by their exact edit distance.
 
-Items are read in blocks of bounded size and sent to the tasks; every document is
-matched against every block. Documents are never shuffled.
+Items are read in blocks of bounded size. Each block is sent to the tasks, matched
+against every document and released before the next one is read; a worker builds the
+index of the block it is at. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -30,9 +31,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import small_batches, text_of
+from attesta.llm import words as shared
+from attesta.llm.common import id_text, ids_of, small_batches, staged, text_of, unstage
 
 WORD = re.compile(r"\w+")
+MIXING = ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))  # fixed values: shift, factor
 
 
 @dataclass(frozen=True)
@@ -77,11 +80,11 @@ def edit_distance_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 class Items:
     """Index of a block of items: shared runs, and LSH keys of their walks."""
 
-    def __init__(self, rows: list[tuple[int, str]], params: LeakParams):
+    def __init__(self, rows: list[tuple[int | None, str]], params: LeakParams):
         self.params = p = params
         split = [(item_id, words_of(text)) for item_id, text in rows]
         split = [(item_id, words) for item_id, words in split if words]
-        self.ids = np.array([i for i, _ in split], np.int64)
+        self.ids = [i for i, _ in split]
         self.vocabulary: dict[str, int] = {}
         for _, words in split:
             for word in words:
@@ -91,8 +94,7 @@ class Items:
         self.edits = np.array([allowed(n, p.rate) for n in self.sizes], np.int64)
         self.longest = int(self.sizes.max(initial=0))
         rng = np.random.default_rng(p.seed)
-        lanes = -(-2 * self.longest // 64) or 1
-        self.bits = rng.integers(0, 1 << 64, (p.walks, lanes, len(self.vocabulary) + 1), np.uint64)
+        self.salts = rng.integers(0, 1 << 64, p.walks, np.uint64)
         self.places = rng.random((p.walks, p.tables, p.samples))
         self.mix = rng.integers(1, 1 << 62, (p.walks, p.tables, p.samples + 1), np.int64) | 1
         self._index_runs()
@@ -127,6 +129,14 @@ class Items:
             keys = keys * base + words[i : i + len(keys)]
         return keys
 
+    def walk_bits(self, walk: int, lane: int) -> np.ndarray:
+        """64 random bits per word of the vocabulary, for the steps of one lane of a walk."""
+        x = np.arange(len(self.vocabulary) + 1, dtype=np.uint64)
+        x += np.uint64((int(self.salts[walk]) + lane * 0x9E3779B97F4A7C15) % (1 << 64))
+        for shift, factor in MIXING:
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        return x ^ (x >> np.uint64(31))
+
     def walk_keys(self, words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """LSH keys (walk * table, window) of the windows of `words`."""
         p = self.params
@@ -140,12 +150,14 @@ class Items:
                 keys[table] = sizes * self.mix[walk, table, -1]
             wanted = (self.places[walk][:, :, None] * (2 * sizes)).astype(np.int64)
             for step in range(last):
+                if step % 64 == 0:
+                    bits = self.walk_bits(walk, step // 64)
                 word = np.where(at < ends, words[np.minimum(at, len(words) - 1)], 0)
                 for table in range(p.tables):
                     for sample in range(p.samples):
                         hit = np.flatnonzero(wanted[table, sample] == step)
                         keys[table, hit] += (word[hit] + 1) * self.mix[walk, table, sample]
-                at += ((self.bits[walk, step // 64][word] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
+                at += ((bits[word] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
             out[walk * p.tables : (walk + 1) * p.tables] = keys
         return out
 
@@ -188,11 +200,16 @@ class Items:
         same = self.sizes[item] == sizes[window]
         return window[same], item[same]
 
+    @property
+    def gap(self) -> int:
+        """Words between two texts that no window can bridge."""
+        return self.longest + int(self.edits.max(initial=0))
+
     def find(self, texts: list[list[str]]) -> list[tuple[int, int, int, int]]:
         """(text number, item number, edits, last word) of the items in the texts."""
         if not len(self.ids):
             return []
-        gap = self.longest + int(self.edits.max())
+        gap = self.gap
         get = self.vocabulary.get
         parts, starts, at = [np.zeros(gap, np.int64)], [], gap
         for words in texts:
@@ -231,72 +248,106 @@ def _within(counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
-def item_blocks(items: DataFrame, params: LeakParams) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of bounded text, streamed through the driver by id."""
+def item_blocks(items: DataFrame, params: LeakParams) -> Iterator[list[tuple[int | None, str]]]:
+    """Items in blocks of bounded text, streamed through the driver by id, null ids first."""
     rows, size = [], 0
     wanted = items.select(F.col("item_id").cast("bigint").alias("item_id"), text_of().alias("text"))
     for row in wanted.filter("text <> ''").distinct().orderBy("item_id", "text").toLocalIterator():
         if rows and size + len(row["text"]) > params.block_chars:
             yield rows
             rows, size = [], 0
-        rows.append((row["item_id"] if row["item_id"] is not None else -1, row["text"]))
+        rows.append((row["item_id"], row["text"]))
         size += len(row["text"])
     if rows:
         yield rows
 
 
-def _finder(items: DataFrame, params: LeakParams):
-    spark = items.sparkSession
-    return [spark.sparkContext.broadcast(Items(block, params)) for block in item_blocks(items, params)]
+def _index(block, params: LeakParams) -> Items:
+    """The index of a broadcast block, built once per worker and replaced by the next block's."""
+    state = shared.worker_state("decontam")
+    key = hash((tuple(block.value), params))
+    if state.get("key") != key:
+        state.update(key=key, index=Items(block.value, params))
+    return state["index"]
 
 
-def _search(texts: list[str], indexes, params: LeakParams) -> Iterator[tuple[int, int, int, int]]:
+def _search(texts: list[str], index: Items, params: LeakParams) -> Iterator[tuple[int, str | None, int, int]]:
     """(text number, item id, edits, last word), texts taken in groups of bounded size."""
     split: list[list[str]] = []
     first = size = 0
     for number, text in enumerate([*texts, None]):
         words = words_of(text) if text is not None else []
-        if split and (text is None or size + len(words) > params.batch_words):
-            for index in indexes:
-                for t, i, edits, last in index.value.find(split):
-                    yield first + t, int(index.value.ids[i]), edits, last
+        if split and (text is None or size + len(words) + index.gap > params.batch_words):
+            for t, i, edits, last in index.find(split):
+                found = index.ids[i]
+                yield first + t, None if found is None else str(found), edits, last
             split, first, size = [], number, 0
         split.append(words)
-        size += len(words)
+        size += len(words) + index.gap
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, params: LeakParams | None = None) -> DataFrame:
     """(doc_id, item_id, edits, last_word): every item that a document holds.
 
     One row per document and item, with the fewest edits and the number of the
-    part's last word; equal rows are one. Null texts hold nothing; items without a word are in no
-    document; a null item id is reported as -1; an empty table gives no rows.
+    part's last word; equal rows are one. Null texts hold nothing; items without a word
+    are in no document; null ids of documents and items stay null; texts and items have
+    any length; other columns are not read; an empty table gives no rows.
     """
     params = params or LeakParams()
-    indexes = _finder(items, params)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids = batch["doc_id"].to_numpy(object)
-            rows = [(ids[t], *rest) for t, *rest in _search(batch["text"].tolist(), indexes, params)]
-            if rows:
-                found = pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "last_word"])
-                yield found.astype({"doc_id": "Int64"})
-
-    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, item_id bigint, edits int, last_word int").distinct()
+    rows = small_batches(docs).select(id_text("doc_id").alias("doc_id"), text_of().alias("text"))
+    schema = "doc_id bigint, item_id bigint, edits int, last_word int"
+
+    def search(block):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            index = _index(block, params)
+            for batch in batches:
+                ids = batch["doc_id"].tolist()
+                found = [(ids[t], *rest) for t, *rest in _search(batch["text"].tolist(), index, params)]
+                if found:
+                    out = pd.DataFrame(found, columns=["doc_id", "item_id", "edits", "last_word"])
+                    yield out.assign(doc_id=ids_of(out["doc_id"]), item_id=ids_of(out["item_id"]))
+
+        return run
+
+    every = docs.sparkSession.createDataFrame([], schema)
+    for block in item_blocks(items, params):
+        # Plain values: workers need not have the package to read them.
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+        every = every.union(staged(rows.mapInPandas(search(sent), schema).distinct(), "leaks"))
+        sent.destroy()
+    return every
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, params: LeakParams | None = None) -> DataFrame:
-    """The rows of `docs`, all columns, that hold no item."""
-    params = params or LeakParams()
-    indexes = _finder(items, params)
+    """The rows of `docs`, all columns, that hold no item.
 
-    @F.pandas_udf("boolean")
-    def clean(text: pd.Series) -> pd.Series:
-        keep = np.ones(len(text), bool)
-        for number, *_ in _search(text.tolist(), indexes, params):
-            keep[number] = False
-        return pd.Series(keep)
+    Null and empty texts hold nothing and stay; repeated rows keep a row each; a null
+    item id is an item like any other; texts have any length; columns that the caller
+    adds are passed on, whatever their names; without items all rows stay.
+    """
+    params = params or LeakParams()
 
-    return small_batches(docs).filter(clean(text_of()))
+    def search(block):
+        @F.pandas_udf("boolean")
+        def clean(text: pd.Series) -> pd.Series:
+            keep = np.ones(len(text), bool)
+            for number, *_ in _search(text.tolist(), _index(block, params), params):
+                keep[number] = False
+            return pd.Series(keep)
+
+        return clean
+
+    rest, blocks = docs, item_blocks(items, params)
+    block = next(blocks, None)
+    while block is not None:
+        following = next(blocks, None)
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+        kept = small_batches(rest).filter(search(sent)(text_of()))
+        if following is not None:  # the last block's rows are read by the caller
+            kept = staged(kept, "clean")
+            sent.destroy()
+            if rest is not docs:
+                unstage(rest)
+        rest, block = kept, following
+    return rest

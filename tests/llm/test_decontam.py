@@ -83,9 +83,32 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, item_id int")
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     got = {tuple(r) for r in decontam.find_leaks(docs, bench).collect()}
-    assert got == {(1, 1, 0, 9), (None, -1, 0, 7), (5, 1, 1, 60_008)}
+    assert got == {(1, 1, 0, 9), (None, None, 0, 7), (5, 1, 1, 60_008)}
     kept = decontam.drop_leaks(docs, bench)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4]
     assert decontam.find_leaks(docs.limit(0), bench).collect() == []
     assert decontam.find_leaks(docs, bench.limit(0)).collect() == []
     assert decontam.drop_leaks(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_null_item_is_not_item_minus_one(spark):
+    bench = spark.createDataFrame([(None, "some item of six words here"), (-1, "some item of six words here")],
+                                  "item_id bigint, text string")
+    big = 2**53 + 1
+    docs = spark.createDataFrame([(big, "x some item of six words here"), (None, "y some item of six words here")],
+                                 "doc_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()}
+    assert got == {(d, i) for d in (big, None) for i in (None, -1)}
+
+
+def test_long_items_stay_small():
+    """The bits of a walk are computed, not stored; the gap between texts counts as words."""
+    rng = random.Random(3)
+    item = [f"w{rng.randrange(3000)}" for _ in range(20_000)]
+    params = decontam.LeakParams(batch_words=60_000)
+    index = decontam.Items([(1, " ".join(item))], params)
+    assert not any(isinstance(v, np.ndarray) and v.nbytes > 10_000_000 for v in vars(index).values())
+    grouped = []
+    index.find = lambda texts: grouped.append(len(texts)) or []
+    list(decontam._search(["three short words"] * 10, index, params))
+    assert sum(grouped) == 10 and max(grouped) * index.gap <= 60_000 + index.gap
