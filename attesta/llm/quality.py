@@ -7,9 +7,9 @@ rows it is surest of, in the proportion of the classes, and hands them to the
 other view. Afterwards both views are calibrated on labelled rows kept apart, and
 a logistic combination of the calibrated log-odds scores every document.
 
-The classifiers are fitted on a bounded sample: `sample_rows` documents chosen by
-a hash of their id, with their labels. Scoring covers all documents and whole
-texts and shuffles nothing.
+The classifiers are fitted on bounded samples, chosen by a hash of the id: about
+`labelled_rows` of the documents with a label and `sample_rows` of all documents.
+Scoring covers all documents and whole texts and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -25,16 +25,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import small_batches, text_of
+from attesta.llm.common import id_text, ids_of, small_batches, text_of
 
 MARKS = re.compile(r"[#$%&*^~<>=@\\{}\[\]]")
+SLICES = 1 << 40  # of the hash that chooses the samples
 LETTERS = re.compile(r"[^\W\d_]")
 UPPER_WORD = re.compile(r"\b[^\W\d_a-zà-öø-ÿ]{2,}\b")
 
 
 @dataclass(frozen=True)
 class QualityParams:
-    sample_rows: int = 40_000  # bound of the documents that the views are fitted on
+    labelled_rows: int = 20_000  # bound of the labelled documents that the views are fitted on
+    sample_rows: int = 20_000  # bound of the documents that are labelled by the views
     rounds: int = 4
     share: float = 0.05  # of the unlabelled sample handed over per round and view
     least_sure: float = 0.9  # confidence of a pseudo-label
@@ -171,35 +173,59 @@ def _inputs(docs: DataFrame):
     ]
 
 
+def _share(wanted: int, rows: int) -> int:
+    """Slices of the hash that hold about `wanted` of the rows, rounded up."""
+    return math.ceil(min(1.0, wanted / max(1, rows)) * SLICES)
+
+
+def set_apart(ids: list[int], labels: np.ndarray) -> np.ndarray:
+    """Every fourth labelled row of each class, in the order of a hash, calibrates."""
+    apart = np.zeros(len(ids), bool)
+    for label in (0.0, 1.0):
+        rows = sorted(np.flatnonzero(labels == label), key=lambda i: (zlib.crc32(f"apart{ids[i]}".encode()), ids[i]))
+        apart[rows[::4]] = True
+    return apart
+
+
 def train(docs: DataFrame, labels: DataFrame, params: QualityParams) -> QualityModel | None:
-    """Co-trained model of a hashed sample; the features are computed in Spark.
+    """Co-trained model of hashed samples; the features are computed in Spark.
 
-    A document with several labels counts as good if most of them are 1.
+    A document with several labels counts as good if most of them are 1. None if fewer
+    than two documents have one of the labels. It is an error if the sample has fewer
+    than two of a label that more documents have.
     """
-    total = small_batches(docs).count()
-    share = min(1.0, params.sample_rows / max(1, total))
-    key = F.pmod(F.xxhash64(F.lit("quality"), F.col("doc_id")), F.lit(1_000_000))
-    chosen = key < F.lit(math.ceil(share * 1_000_000))
+    key = F.pmod(F.xxhash64(F.lit("quality"), F.col("doc_id")), F.lit(SLICES))
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), *_inputs(docs))
     judged = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality")
-        .filter(chosen & F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+        .filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
         .groupBy("doc_id").agg((F.avg("quality") > 0.5).cast("double").alias("label"))
+        .join(rows.select("doc_id"), "doc_id", "left_semi")
     )
-    sample = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *_inputs(docs)).filter(chosen)
+    found = dict(judged.groupBy("label").count().collect())
+    if min(found.get(0.0, 0), found.get(1.0, 0)) < 2:
+        return None
+    labelled = _share(params.labelled_rows, sum(found.values()))
+    # No larger than the labelled share, so every labelled row among them has its label.
+    share = min(labelled, _share(params.sample_rows, rows.count()))
+    known = judged.filter(key < F.lit(labelled))
+    sample = rows.join(F.broadcast(known), "doc_id", "left").filter(F.col("label").isNotNull() | (key < F.lit(share)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             text, meta = _features(batch, params)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text": list(text), "meta": list(meta)})
+            yield pd.DataFrame({
+                "doc_id": ids_of(batch["doc_id"]), "label": batch["label"], "text": list(text), "meta": list(meta),
+            })
 
-    made = sample.mapInPandas(run, "doc_id bigint, text array<double>, meta array<double>")
-    rows = made.join(judged, "doc_id", "left").toPandas()
-    if rows.empty:
-        return None
-    rows = rows.sort_values("doc_id", kind="stable")
-    apart = np.array([zlib.crc32(f"apart{i}".encode()) % 4 == 0 for i in rows["doc_id"]])
-    views = [np.stack(rows["text"].to_list()), np.stack(rows["meta"].to_list())]
-    return co_train(views, rows["label"].to_numpy(float), apart, params)
+    named = sample.select(id_text("doc_id").alias("doc_id"), "text", "source", "lang", "n_chars", "label")
+    made = named.mapInPandas(run, "doc_id bigint, label double, text array<double>, meta array<double>")
+    taken = made.filter("doc_id is not null").toPandas().sort_values("doc_id", kind="stable")
+    known_labels = taken["label"].to_numpy(float)
+    if any((known_labels == label).sum() < 2 for label in (0.0, 1.0)):
+        raise ValueError(f"labels {found} exist, but the sample lacks one of them: raise labelled_rows")
+    views = [np.stack(taken[name].to_list()) for name in ("text", "meta")]
+    return co_train(views, known_labels, set_apart(taken["doc_id"].tolist(), known_labels), params)
 
 
 def _decided(batch: pd.DataFrame, model: QualityModel | None, params: QualityParams) -> pd.DataFrame:
@@ -218,8 +244,11 @@ def _decided(batch: pd.DataFrame, model: QualityModel | None, params: QualityPar
 def score(docs: DataFrame, labels: DataFrame, params: QualityParams | None = None) -> DataFrame:
     """(doc_id, text_score, metadata_score, score, keep) per document.
 
-    A null text counts as empty; null metadata have values of their own. Without
-    labels of both kinds every score is 0.5 and every document is kept.
+    A null text counts as empty; null metadata have values of their own. With fewer
+    than two labelled documents of either kind every score is 0.5 and every document
+    is kept. Repeated rows keep a row each, null ids stay null; texts have any length;
+    columns other than text, source, lang, n_chars and doc_id are not read; an empty
+    table gives no rows.
     """
     params = params or QualityParams()
     model = train(docs, labels, params)
@@ -227,17 +256,21 @@ def score(docs: DataFrame, labels: DataFrame, params: QualityParams | None = Non
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = _decided(batch, model, params)
-            found.insert(0, "doc_id", batch["doc_id"].to_numpy())
+            found.insert(0, "doc_id", ids_of(batch["doc_id"]))
             yield found
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *_inputs(docs))
+    rows = docs.select(id_text("doc_id").alias("doc_id"), *_inputs(docs))
     return rows.mapInPandas(
         run, "doc_id bigint, text_score double, metadata_score double, score double, keep boolean"
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, params: QualityParams | None = None) -> DataFrame:
-    """The rows of `docs`, all columns, whose score reaches the threshold."""
+    """The rows of `docs`, all columns, whose score reaches the threshold.
+
+    The cases of `score` hold: null texts are judged as empty ones, repeated rows stay
+    or go together, columns of any name are passed on.
+    """
     params = params or QualityParams()
     model = train(docs, labels, params)
 

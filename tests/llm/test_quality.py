@@ -54,3 +54,56 @@ def test_odd_rows(spark):
     assert all(r.keep and r.score == 0.5 for r in quality.score(docs, labels.limit(0)).collect())
     assert quality.score(docs.limit(0), labels).collect() == []
     assert quality.keep_good(docs.limit(0), labels).collect() == []
+
+
+def plain_score(model, texts, metas):
+    """The score restated with plain loops."""
+    import math
+
+    def odds(row, weights):
+        return max(-30.0, min(30.0, sum(x * w for x, w in zip(row, weights)) + weights[-1]))
+
+    out = []
+    for text, meta in zip(texts, metas):
+        a = odds([odds(text, model.text)], model.text_scale)
+        b = odds([odds(meta, model.metadata)], model.metadata_scale)
+        out.append((a, b, 1 / (1 + math.exp(-odds([a, b], model.combined)))))
+    return out
+
+
+def test_scores_equal_the_plain_formula(spark):
+    params = quality.QualityParams()
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = quality.train(docs, labels, params)
+    rows = {r.doc_id: r for r in docs.collect()}
+    got = {r.doc_id: r for r in quality.score(docs, labels).collect()}
+    texts = [quality.text_features(r.text or "") for r in rows.values()]
+    metas = [quality.metadata_features(r.source, r.lang, r.n_chars, params) for r in rows.values()]
+    for doc_id, (a, b, score) in zip(rows, plain_score(model, texts, metas)):
+        assert abs(got[doc_id].score - score) < 1e-9 and got[doc_id].keep == (got[doc_id].score >= 0.5)
+        assert abs(got[doc_id].text_score - 1 / (1 + np.exp(-a))) < 1e-9
+        assert abs(got[doc_id].metadata_score - 1 / (1 + np.exp(-b))) < 1e-9
+
+
+def test_few_labels_among_many_documents(spark):
+    """Labelled documents are sampled by themselves; a class lost in the sample is an error."""
+    import pytest
+
+    rows = [(i, "good words in this text number one" if i % 2 else "bad bad bad bad bad bad", "en", "a", 30) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    got = quality.score(docs, labels, quality.QualityParams(labelled_rows=40, sample_rows=40)).collect()
+    assert all(r.keep == bool(r.doc_id % 2) for r in got)
+    with pytest.raises(ValueError, match="labelled_rows"):
+        quality.score(docs, labels, quality.QualityParams(labelled_rows=0))
+    one = quality.score(docs, labels.filter("quality = 1")).collect()
+    assert all(r.keep and r.score == 0.5 for r in one)
+
+
+def test_ids_beyond_doubles(spark):
+    big = 2**53 + 1
+    docs = spark.createDataFrame([(big, "a", "en", "s", 1), (None, "b", "en", "s", 1)],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint").coalesce(1)
+    labels = spark.createDataFrame([], "doc_id bigint, quality int")
+    assert {r.doc_id for r in quality.score(docs, labels).collect()} == {big, None}
