@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import small_batches, text_of
+from attesta.llm.common import id_text, ids_of, small_batches, text_of
 
 WORD = re.compile(r"[^\W\d_]+")
 NONE = "und"
@@ -113,7 +113,7 @@ def train(docs: DataFrame, params: LangParams) -> LangModel:
     )
     sums = pivot.groupBy("kind").agg(F.count("*").alias("v"), *[F.sum(f"l{i}") for i in range(len(langs))])
     totals = {r[0]: (r[1], np.array(r[2:], float)) for r in sums.collect()}
-    kept = pivot.filter(F.col("all") >= min(params.min_count, max(1, total // 50))).toPandas()
+    kept = pivot.filter(F.col("all") >= params.min_count).toPandas()
     tables: dict[int, dict[str, np.ndarray]] = {k: {} for k in range(params.longest + 1)}
     for kind, part in kept.groupby("kind"):
         terms, sum_by_lang = totals[kind]
@@ -172,19 +172,20 @@ def predict(docs: DataFrame, params: LangParams | None = None) -> DataFrame:
     row each.
     """
     params, docs = params or LangParams(), small_batches(docs)
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, params))
+    # Plain values: workers need not have the package to read them.
+    model = docs.sparkSession.sparkContext.broadcast(vars(train(docs, params)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(model.value, params.cached_words)
+        scorer = Scorer(LangModel(**model.value), params.cached_words)
         for batch in batches:
             found = [scorer.predict(text) for text in batch["text"]]
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "held_out": batch["held_out"],
+                "doc_id": ids_of(batch["doc_id"]), "held_out": batch["held_out"],
                 "lang_pred": [f[0] for f in found], "score": [f[1] for f in found],
             })
 
     rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id"), params).alias("held_out"),
+        id_text("doc_id").alias("doc_id"), held_out(F.col("doc_id"), params).alias("held_out"),
         text_of().alias("text"),
     )
     return rows.mapInPandas(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
