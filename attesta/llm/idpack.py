@@ -17,6 +17,7 @@ the ones before it; a block is unpacked with numpy operations.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm import words
-from attesta.llm.common import small_batches, staged, text_of
+from attesta.llm.common import id_text, ids_of, small_batches, staged, text_of
 
 
 @dataclass(frozen=True)
@@ -70,11 +71,27 @@ def unpack(payload: bytes, width: int, first: int, last: int) -> np.ndarray:
 PLAIN = re.compile("[a-zàâäéèêëíîïóôöúûüçñß]+", re.I | re.A)
 
 
+def drops_spaces(tokenizer) -> bool:
+    """Whether words can be encoded apart: the settings of the public word BPE.
+
+    Lower-casing and white space are settled by the normaliser, words are cut by one
+    pattern with the matches kept and bytes as characters, and a word ends in a mark.
+    """
+    about = json.loads(tokenizer.to_str())
+    steps = [step["type"] for step in (about["normalizer"] or {}).get("normalizers", [])]
+    cuts = [step["type"] for step in (about["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    return steps == ["NFC", "Replace", "Lowercase"] and cuts == ["Split", "ByteLevel"] and bool(
+        about["model"].get("end_of_word_suffix")
+    )
+
+
 class _Encoder:
     """Encodes whole texts through a bounded table of already encoded words.
 
     A word of plain letters is one unit for the tokenizer, so it goes straight to
     the tokenizer's BPE model in lower case; other words take the whole tokenizer.
+    That holds for tokenizers that lower-case and drop white space; any other
+    tokenizer gets whole texts.
     """
 
     def __init__(self, path: str, limit: int):
@@ -89,6 +106,7 @@ class _Encoder:
         coded = words.byte_characters()
         self.bytes = {c: "".join(coded[b] for b in chr(c).encode()) for c in range(128, 256)}
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.by_word = drops_spaces(self.tokenizer)
 
     def learn(self, unknown: set[str]) -> None:
         known, tails = self.known, []
@@ -113,6 +131,9 @@ class _Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
+        if not self.by_word:
+            coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(found.ids, "<u4").tobytes() for found in coded]
         split = [words.unspaced(t) for t in texts]
         if len(self.known) > self.limit:
             self.known.clear()
@@ -139,7 +160,9 @@ def pack_documents(docs: DataFrame, params: PackParams | None = None) -> DataFra
     """Encode every document and write its ids; the returned frame reads the files.
 
     Documents are ordered by id (null first), equal ids by text. A null text
-    counts as empty; every document gets the end id.
+    counts as empty; every document gets the end id; repeated rows are documents of
+    their own; texts have any length; other columns are not read; an empty table
+    gives no blocks.
     """
     params = params or PackParams()
 
@@ -167,7 +190,7 @@ def pack_documents(docs: DataFrame, params: PackParams | None = None) -> DataFra
                 for doc_id, found in zip(ids[piece], encoder.encode(texts[piece])):
                     if size and size + len(found) // 4 + 1 > params.block_ids:
                         yield flush()
-                    doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
+                    doc_ids.append(None if doc_id is None else int(doc_id))
                     pending.append(found + end)
                     size += len(found) // 4 + 1
         if doc_ids:
@@ -176,7 +199,8 @@ def pack_documents(docs: DataFrame, params: PackParams | None = None) -> DataFra
     names = [part.split()[0] for part in BLOCK_SCHEMA.split(", ")]
     rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return staged(ordered.mapInPandas(run, BLOCK_SCHEMA), "token-ids")
+    named = ordered.select(id_text("doc_id").alias("doc_id"), "text")
+    return staged(named.mapInPandas(run, BLOCK_SCHEMA), "token-ids")
 
 
 def part_starts(blocks: DataFrame) -> dict[int, int]:
@@ -187,7 +211,11 @@ def part_starts(blocks: DataFrame) -> dict[int, int]:
 
 
 def read_documents(blocks: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files.
+
+    One row per packed document, repeated and null ids included; `start` counts the
+    ids of all documents before it. No blocks give no rows.
+    """
     starts = part_starts(blocks)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,13 +225,14 @@ def read_documents(blocks: DataFrame) -> DataFrame:
                 offsets = np.asarray(row.offsets, np.int64)
                 view = memoryview(ids.tobytes())
                 yield pd.DataFrame({
-                    "doc_id": pd.array(list(row.doc_ids), "Int64"),
+                    "doc_id": ids_of(pd.Series(row.doc_ids, dtype=object)),
                     "start": starts[row.part] + row.start + offsets[:-1],
                     "n_tokens": np.diff(offsets),
                     "ids_crc32": [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(offsets[:-1], offsets[1:])],
                 })
 
-    return blocks.mapInPandas(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    named = blocks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>"))
+    return named.mapInPandas(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def read_ids(blocks: DataFrame, doc_ids: DataFrame) -> DataFrame:

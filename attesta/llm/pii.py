@@ -13,16 +13,18 @@ where they do not touch a base span.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import small_batches, text_of
+from attesta.llm.common import id_text, ids_of, small_batches, text_of
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("url", "account")
@@ -115,8 +117,9 @@ def find(text: str, anchors, params: PiiParams) -> dict[str, list[Span]]:
         elif kind == "account" and at >= after["account"]:
             _account(text, at, last + 1, after, spans)
     taken = sorted(s for kind in BASE for s in spans[kind])
+    reach = list(accumulate((end for _, end in taken), max))
     for kind in ADDED:
-        spans[kind] = [s for s in spans[kind] if not _touches(s, taken)]
+        spans[kind] = [s for s in spans[kind] if not _touches(s, taken, reach)]
     return spans
 
 
@@ -145,11 +148,10 @@ def _account(text: str, at: int, end: int, after: dict, spans: dict) -> None:
         spans["account"].append(match.span(1))
 
 
-def _touches(span: Span, taken: list[Span]) -> bool:
-    import bisect
-
+def _touches(span: Span, taken: list[Span], reach: list[int]) -> bool:
+    """Whether a base span overlaps; `reach` is the largest end up to each base span."""
     place = bisect.bisect_left(taken, (span[1], -1))
-    return any(end > span[0] for _, end in taken[max(0, place - 8) : place])
+    return place > 0 and reach[place - 1] > span[0]
 
 
 def joined(spans: dict[str, list[Span]], kinds: tuple[str, ...]) -> str:
@@ -176,12 +178,12 @@ def find_personal_data(docs: DataFrame, params: PiiParams | None = None) -> Data
                      hashlib.sha256(base.encode()).hexdigest(), joined(spans, BASE + ADDED),
                      *(len(spans[k]) for k in ADDED))
                 )
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=names).assign(doc_id=ids_of(batch["doc_id"]))
 
     schema = (
         "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
         "base_sha256 string, spans string, n_url bigint, n_account bigint"
     )
     names = [part.split()[0] for part in schema.split(", ")]
-    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    rows = small_batches(docs).select(id_text("doc_id").alias("doc_id"), text_of().alias("text"))
     return rows.mapInPandas(run, schema)

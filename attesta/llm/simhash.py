@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.llm import golay
-from attesta.llm.common import small_batches, staged, text_of
+from attesta.llm.common import id_text, ids_of, small_batches, staged, text_of
 from attesta.llm.components import components
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit, width
@@ -64,9 +64,9 @@ def fingerprints(docs: DataFrame, params: SimHashParams) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps = [fingerprint(t, shingle, seed) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": np.array(fps, np.int64)})
+            yield pd.DataFrame({"doc_id": ids_of(batch["doc_id"]), "fp": np.array(fps, np.int64)})
 
-    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    rows = small_batches(docs).select(id_text("doc_id").alias("doc_id"), text_of().alias("text"))
     return rows.mapInPandas(run, "doc_id bigint, fp bigint")
 
 
