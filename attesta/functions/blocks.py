@@ -63,8 +63,10 @@ def _salted(big, small, keys, spread, salts, how):
     return salted_big.join(salted_small, [*keys, "__salt"], how).drop("__salt")
 
 
-def first_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str) -> DataFrame:
-    """First n rows per key. Spark limits each key to n rows before the shuffle."""
-    return df.withColumn(rank, F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(
-        F.col(rank) <= n
-    )
+def first_n(
+    df: DataFrame, keys: list[str], order: list[Column], n: int | None, rank: str
+) -> DataFrame:
+    """First n rows per key, or all of them. Spark limits each key to n rows before the
+    shuffle."""
+    ranked = df.withColumn(rank, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    return ranked if n is None else ranked.filter(F.col(rank) <= n)

@@ -9,12 +9,15 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from attesta import constants as k
+from attesta.functions.blocks import first_n
 from attesta.functions.text import once, strip
 from attesta.params import ExtractionParams
 
@@ -119,24 +122,58 @@ def store_responses(
     path: str,
     params: ExtractionParams = ExtractionParams(),
     rounds: int = 1,
+    give_up_after: int | None = None,
     **options,
 ) -> DataFrame:
     """Ask for the prompts that ``path`` has no answer to, store the answers, and
-    return the stored table.
-
-    Later plans read the table, so each prompt is asked once however many tables
-    are built from it. ``rounds`` splits the prompts by a hash of the keys; each
-    round is committed on its own, so a failure costs one round.
+    return the stored answer of every key (see ``stored_responses``).
+
+    ``path`` is a ledger: every call is a row, a failed one with its error. A key
+    without a good answer is asked again on the next run, until it has
+    ``give_up_after`` attempts if that is given; a key with one is never asked again.
+    ``rounds`` splits the prompts by a hash of the keys; each round is committed on
+    its own, so a run that stops in the middle goes on where it stopped. A null key
+    is a key like any other.
     """
     spark = prompts.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     for number in range(rounds):
         part = prompts.filter(F.pmod(F.xxhash64(*keys), F.lit(rounds)) == number)
-        if store.exists(hadoop):
-            part = part.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
-        call_model(part, answer, keys, params, **options).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        call, settled = 1, None
+        if _exists(spark, path):
+            asked = spark.read.parquet(path)
+            call = asked.agg(F.coalesce(F.max("call_no"), F.lit(0))).first()[0] + 1
+            known = asked.groupBy(*keys).agg(
+                F.bool_or(F.col("error").isNull()).alias("good"), F.sum("attempts").alias("tried")
+            )
+            done = F.col("good")
+            if give_up_after is not None:
+                done = done | (F.col("tried") >= give_up_after)
+            settled = known.filter(done).select(*[F.col(key).alias(f"_{key}") for key in keys])
+        if settled is not None:
+            same = [part[key].eqNullSafe(settled[f"_{key}"]) for key in keys]
+            part = part.join(settled, reduce(Column.__and__, same), "left_anti")
+        answers = call_model(part, answer, keys, params, **options)
+        answers.withColumn("call_no", F.lit(call)).write.mode("append").parquet(path)
+    return stored_responses(spark, path, keys)
+
+
+def stored_responses(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Keys, raw_response, attempts and error, one row per key of a ledger.
+
+    A good answer comes before a failed one, then the latest call; ``attempts`` is the
+    sum over all calls.
+    """
+    ledger = spark.read.parquet(path)
+    total = F.sum("attempts").over(W.partitionBy(*keys)).cast("int")
+    order = [F.col("error").isNotNull(), F.col("call_no").desc(), F.col("raw_response")]
+    first = first_n(ledger.withColumn("_total", total), list(keys), order, 1, "_rank")
+    return first.select(*keys, "raw_response", F.col("_total").alias("attempts"), "error")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a finished write has left files at the path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 # --- responses -----------------------------------------------------------------
@@ -224,7 +261,7 @@ def parse_responses(
     return responses.select("*", F.inline(F.array(result)))
 
 
-UNLIMITED = 1_000_000  # entries per chunk that keep the order of ``seq``
+UNLIMITED = 1 << 31  # more than the entries that a list can have
 
 _LISTS = ("candidate_sdgs", "evidence_tags")
 
@@ -352,7 +389,7 @@ def to_records(
             {
                 "evidence_id": F.md5(F.concat_ws("|", *parts)),
                 "validation_status": F.lit("pending"),
-                "seq": F.col("chunk_rank") * (params.items_per_chunk or UNLIMITED) + F.col("item_no"),
+                "seq": F.col("chunk_rank").cast("bigint") * (params.items_per_chunk or UNLIMITED) + F.col("item_no"),
             }
         )
     )

@@ -10,16 +10,10 @@ from attesta import constants as k
 from attesta.functions.blocks import first_n
 from attesta.functions.numbers import percent_half_even, round_binary
 from attesta.functions.text import lookup, strip
+from attesta.params import FindingsParams
 
 REPORT = ["company", "report_year"]
-KEY_PAGE_ITEMS = 5
-TOP_TAGS = 4
-STRONGEST_ITEMS = 10
-MODERATE_ITEMS = 20
-TOP_REASONS = 10
-
-
-POSITIONS = 1000  # list positions packed behind an order number
+POSITIONS = 1 << 31  # more than the entries that a list can have
 
 
 def record_order(records: DataFrame, order: list[str] | None = None) -> list[str]:
@@ -32,9 +26,11 @@ def record_order(records: DataFrame, order: list[str] | None = None) -> list[str
 
 def _first_seen(listed: DataFrame, order: list[str]) -> Column:
     """Place of the first appearance of a list entry. With one whole-number order
-    column it is one number, so the grouping can hash instead of sort."""
+    column it is one number, so the grouping can hash instead of sort; a decimal holds
+    any order number and any position."""
     if len(order) == 1 and isinstance(listed.schema[order[0]].dataType, IntegralType):
-        return F.min(F.col(order[0]).cast("bigint") * POSITIONS + F.col("pos"))
+        number = F.col(order[0]).cast("decimal(20,0)") * F.lit(POSITIONS).cast("decimal(10,0)")
+        return F.min(number + F.col("pos").cast("decimal(10,0)"))
     return F.min(F.struct(*order, "pos"))
 
 
@@ -100,32 +96,44 @@ def goal_measures(scored: DataFrame, keys: list[str] = REPORT) -> DataFrame:
 
 
 def key_pages(
-    scored: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
+    scored: DataFrame,
+    keys: list[str] = REPORT,
+    order: list[str] | None = None,
+    params: FindingsParams = FindingsParams(),
 ) -> DataFrame:
-    """Pages of the five best records per goal, best first, each once."""
+    """Pages of the best records per goal, best first, each once, and in ``n_pages``
+    how many different pages the records of the goal have."""
     order = record_order(scored, order)
     group = [*keys, "sdg"]
+    listed = by_goal(scored).select(*group, "computed_score", "page_number", *order)
+    paged = listed.filter(F.col("page_number") != 0).select(*group, "page_number").distinct()
+    totals = paged.groupBy(*group).agg(F.count(F.lit(1)).alias("n_pages"))
     best = first_n(
-        by_goal(scored).select(*group, "computed_score", "page_number", *order),
+        listed,
         group,
         [F.col("computed_score").desc(), *[F.col(c) for c in order]],
-        KEY_PAGE_ITEMS,
+        params.key_page_items,
         "rn",
     )
     pages = F.transform(
         F.array_sort(F.collect_list(F.struct("rn", "page_number"))), lambda s: s["page_number"]
     )
-    return best.groupBy(*group).agg(
+    first = best.groupBy(*group).agg(
         F.filter(F.array_distinct(pages), lambda p: p.isNotNull() & (p != 0)).alias(
             "strongest_pages"
         )
     )
+    return first.join(totals, group, "left").withColumn("n_pages", F.coalesce("n_pages", F.lit(0)))
 
 
 def top_tags(
-    scored: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
+    scored: DataFrame,
+    keys: list[str] = REPORT,
+    order: list[str] | None = None,
+    params: FindingsParams = FindingsParams(),
 ) -> DataFrame:
-    """Four most frequent tags per goal, ties by first appearance."""
+    """Most frequent tags per goal, ties by first appearance, and in ``n_tags`` how many
+    different tags the goal has."""
     order = record_order(scored, order)
     group = [*keys, "sdg"]
     tagged = by_goal(scored).select(
@@ -134,12 +142,13 @@ def top_tags(
     counted = tagged.groupBy(*group, "tag").agg(
         F.count(F.lit(1)).alias("n"), _first_seen(tagged, order).alias("first_seen")
     )
-    best = first_n(counted, group, [F.col("n").desc(), F.col("first_seen")], TOP_TAGS, "rn")
+    best = first_n(counted, group, [F.col("n").desc(), F.col("first_seen")], params.top_tags, "rn")
+    totals = counted.groupBy(*group).agg(F.count(F.lit(1)).alias("n_tags"))
     return best.groupBy(*group).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("rn", "tag"))), lambda s: s["tag"]
         ).alias("top_tags")
-    )
+    ).join(totals, group)
 
 
 def _score_text() -> Column:
@@ -151,15 +160,18 @@ def _score_text() -> Column:
 
 
 def goal_summaries(
-    scored: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
+    scored: DataFrame,
+    keys: list[str] = REPORT,
+    order: list[str] | None = None,
+    params: FindingsParams = FindingsParams(),
 ) -> DataFrame:
     """Complete summary per report and goal, with the summary sentence."""
     order = record_order(scored, order)
     group = [*keys, "sdg"]
     joined = (
         goal_measures(scored, keys)
-        .join(key_pages(scored, keys, order), group, "left")
-        .join(top_tags(scored, keys, order), group, "left")
+        .join(key_pages(scored, keys, order, params), group, "left")
+        .join(top_tags(scored, keys, order, params), group, "left")
     )
     sentence = F.concat_ws(
         " ",
@@ -245,9 +257,12 @@ def executive_summary(validated_scored: DataFrame, keys: list[str] = REPORT) ->
 
 
 def strongest_items(
-    scored: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
+    scored: DataFrame,
+    keys: list[str] = REPORT,
+    order: list[str] | None = None,
+    params: FindingsParams = FindingsParams(),
 ) -> DataFrame:
-    """First ten strong records per report, with the report's total."""
+    """First strong records per report, with the report's total."""
     order = record_order(scored, order)
     strong = scored.filter(F.col("computed_strength") == "strong")
     totals = strong.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_strong"))
@@ -255,16 +270,19 @@ def strongest_items(
         strong,
         list(keys),
         [F.col("computed_score").desc(), *[F.col(c) for c in order]],
-        STRONGEST_ITEMS,
+        params.strongest,
         "item_rank",
     )
     return best.join(totals, list(keys))
 
 
 def moderate_items(
-    scored: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
+    scored: DataFrame,
+    keys: list[str] = REPORT,
+    order: list[str] | None = None,
+    params: FindingsParams = FindingsParams(),
 ) -> DataFrame:
-    """First twenty moderate records per report, with the report's total."""
+    """First moderate records per report, with the report's total."""
     order = record_order(scored, order)
     moderate = scored.filter(F.col("computed_strength") == "moderate")
     totals = moderate.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_moderate"))
@@ -272,7 +290,7 @@ def moderate_items(
         moderate,
         list(keys),
         [F.col("computed_score").desc(), *[F.col(c) for c in order]],
-        MODERATE_ITEMS,
+        params.moderate,
         "item_rank",
     )
     return best.join(totals, list(keys))
@@ -284,10 +302,13 @@ def reason_text(message) -> Column:
 
 
 def rejection_reasons(
-    rejected: DataFrame, keys: list[str] = REPORT, order: list[str] | None = None
+    rejected: DataFrame,
+    keys: list[str] = REPORT,
+    order: list[str] | None = None,
+    params: FindingsParams = FindingsParams(),
 ) -> DataFrame:
-    """Ten most frequent reasons per report, ties by first appearance, with the
-    report's number of different reasons."""
+    """Most frequent reasons per report, ties by first appearance, with the report's
+    number of different reasons."""
     order = record_order(rejected, order)
     reasons = rejected.select(
         *keys, *order, F.posexplode("validation_errors").alias("pos", "message")
@@ -296,7 +317,7 @@ def rejection_reasons(
         F.count(F.lit(1)).alias("n_items"), _first_seen(reasons, order).alias("first_seen")
     )
     best = first_n(
-        counted, list(keys), [F.col("n_items").desc(), F.col("first_seen")], TOP_REASONS, "rank"
+        counted, list(keys), [F.col("n_items").desc(), F.col("first_seen")], params.reasons, "rank"
     ).drop("first_seen")
     totals = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_reasons"))
     return best.join(totals, list(keys))

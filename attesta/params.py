@@ -46,6 +46,8 @@ class RetrievalParams:
     lexicon: dict = field(default_factory=lambda: k.GOAL_KEYWORDS)
     rhetoric: tuple = tuple(k.RHETORIC_PATTERNS)
     action: tuple = tuple(k.ACTION_PATTERNS)
+    # Chunk vectors that bounds of the similarity are taken from.
+    pivots: int = 32
     # Characters handed to the embedder; None is the whole text. With a limit,
     # the characters left out are reported next to the vector.
     embed_chars: int | None = None
@@ -63,6 +65,17 @@ class ExtractionParams:
     strict_flags: bool = False
 
 
+@dataclass(frozen=True)
+class FindingsParams:
+    """Lengths of the lists in a report; None is everything."""
+
+    key_page_items: int | None = 5
+    top_tags: int | None = 4
+    strongest: int | None = 10
+    moderate: int | None = 20
+    reasons: int | None = 10
+
+
 @dataclass(frozen=True)
 class PeriodParams:
     cut_year: int = 2021

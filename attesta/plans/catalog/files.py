@@ -1,5 +1,7 @@
 """Sources and sinks, run in memory: the text a sink writes is parsed back."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from attesta import constants as k
@@ -18,7 +20,7 @@ from attesta.plans.catalog.records import (
 )
 from attesta.plans.driver_tables import ALL_SCORED_SQL, RUNS_SQL, SCORED_SQL
 from attesta.plans.report import report_findings
-from attesta.staging import staged
+from attesta.staging import shared_folder, staged
 from attesta.sinks import documents, texts
 from attesta.sources import items, runs
 
@@ -221,6 +223,113 @@ def document_runs(t):
     return runs.run_metadata(parsed_documents(t)).drop("run_name")
 
 
+# --- files, written to the shared folder and read back ------------------------------
+
+
+def new_folder(t, name: str) -> str:
+    return f"{shared_folder(t.read('nation').sparkSession)}/attesta-{name}-{uuid.uuid4().hex}"
+
+
+@register("run_loaded_records", ORACLES["document_records"])
+def run_loaded_records(t):
+    """Records of the latest runs; the runs before them hold other names and are not opened."""
+    docs, root = staged(run_documents(t)), new_folder(t, "runs")
+    if docs.isEmpty():  # no run folder at all is an error of the reader
+        return document_records(t)
+    old = docs.filter("part = 0").withColumn("report_name", F.lit("superseded"))
+    documents.write_run_documents(old, root, "20230101_120000")
+    documents.write_run_documents(docs, root, RUN_TIME)
+    loaded = runs.load_runs(docs.sparkSession, root)
+    both = loaded["valid"].unionByName(loaded["rejected"])
+    return both.select(
+        "evidence_id", "company", "report_year", "computed_score", "validation_status",
+        F.array_join("candidate_sdgs", ",").alias("sdgs"),
+        F.size("validation_errors").cast("bigint").alias("n_errors"),
+    )
+
+
+@register(
+    "run_report_texts",
+    ALL_SCORED_SQL
+    + """, reported AS (SELECT DISTINCT company, report_year FROM all_scored),
+    written AS (SELECT company, report_year, '# ' || company AS line FROM reported
+      UNION ALL SELECT company, report_year, '- ' || evidence_id FROM all_scored)
+    SELECT replace(lower(company), ' ', '_') AS company, report_year, count(*) AS n_lines,
+    CAST(sum(len(line) + 1) AS BIGINT) AS n_chars FROM written GROUP BY 1, 2""",
+)
+def run_report_texts(t):
+    """Texts of the latest reports as written: lines and characters of each report."""
+    records = t.all_scored().select("company", "report_year", "evidence_id")
+    if records.isEmpty():
+        return spark_rows(t, "company string, report_year int, n_lines bigint, n_chars bigint")
+    heads = records.select("company", "report_year").distinct()
+    parts = ["company", "report_year", "section", "position", "line_no", "line"]
+    zero = F.lit(0).cast("bigint")
+    lines = heads.select(
+        "company", "report_year", F.lit(0).alias("section"), zero.alias("position"), F.lit(0).alias("line_no"),
+        F.concat(F.lit("# "), "company").alias("line"),
+    ).union(
+        records.select(
+            "company", "report_year", F.lit(1).alias("section"), F.xxhash64("evidence_id").alias("position"),
+            F.lit(0).alias("line_no"), F.concat(F.lit("- "), F.col("evidence_id").cast("string")).alias("line"),
+        ).select(*parts)
+    )
+    root = new_folder(t, "reports")
+    key = lambda time: documents.run_key(F.col("company"), F.col("report_year"), time)
+    texts.write_lines(lines.filter("section = 0"), key("20230101_120000"), root)
+    texts.write_lines(lines, key(RUN_TIME), root)
+    found = runs.read_report_texts(records.sparkSession, root)
+    ends = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    return found.groupBy("company", "report_year").agg(
+        F.sum(ends).cast("bigint").alias("n_lines"), F.sum(F.length("text")).alias("n_chars")
+    )
+
+
+def spark_rows(t, schema: str):
+    return t.read("nation").sparkSession.createDataFrame([], schema)
+
+
+@register(
+    "run_plot_inputs",
+    ALL_SCORED_SQL
+    + """, totals AS (SELECT company, report_year, count(*) AS n,
+      count(*) FILTER (validation_status = 'valid') AS n_valid FROM all_scored GROUP BY 1, 2)
+    SELECT 'performance' AS source, company AS name, CAST(NULL AS INT) AS year,
+      CAST(sum(n) AS DOUBLE) AS value FROM totals GROUP BY company
+    UNION ALL SELECT 'longitudinal', company, report_year, CAST(n_valid AS DOUBLE) FROM totals
+    UNION ALL SELECT 'agreement', company, NULL, CAST(count(*) AS DOUBLE) FROM totals GROUP BY company""",
+)
+def run_plot_inputs(t):
+    """The three summary tables, written as CSV and read with their schemas."""
+    valid = F.count_if(F.col("validation_status") == "valid")
+    totals = staged(
+        t.all_scored().groupBy("company", "report_year").agg(F.count("*").alias("n"), valid.alias("n_valid"))
+    )
+    number = lambda c: c.cast("double")
+    tables = {
+        "performance": totals.groupBy(F.col("company").alias("model")).agg(
+            F.first(F.lit("n")).alias("metric"), number(F.sum("n")).alias("value")),
+        "longitudinal": totals.select(
+            "company", F.col("report_year").alias("year"), number(F.col("n_valid")).alias("implementation_share"),
+            F.lit(0.0).alias("rhetoric_share")),
+        "agreement": totals.groupBy("company").agg(
+            number(F.count("*")).alias("sdg_agreement"), F.first(F.lit(0.0)).alias("stage_agreement"),
+            F.first(F.lit(0.0)).alias("overclaim_difference")),
+    }
+    root = new_folder(t, "plots")
+    for name, table in tables.items():
+        documents.write_download(table, f"{root}/{name}")
+    read = runs.read_plot_inputs(totals.sparkSession, *[f"{root}/{name}" for name in tables])
+    none = F.lit(None).cast("int")
+    columns = {"performance": ("model", none, "value"), "longitudinal": ("company", F.col("year"), "implementation_share"),
+               "agreement": ("company", none, "sdg_agreement")}
+    parts = [
+        read[name].select(F.lit(name).alias("source"), F.col(who).alias("name"), year.alias("year"), F.col(value).alias("value"))
+        for name, (who, year, value) in columns.items()
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 @register(
     "document_goal_summaries",
     BY_GOAL_SQL

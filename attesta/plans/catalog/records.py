@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from attesta import constants as k
 from attesta.operators import findings, scoring, validation
+from attesta.params import FindingsParams
 from attesta.plans.catalog import register
 from attesta.plans.driver_tables import (
     ALL_SCORED_SQL,
@@ -138,16 +139,45 @@ TOP_TAGS_SQL = """, tagged AS (SELECT company, report_year, sdg, seq,
       FROM tag_ranks WHERE rn <= 4 GROUP BY ALL)"""
 
 
+EVERYTHING = FindingsParams(None, None, None, None, None)
+
+
+@register(
+    "findings_all_pages",
+    BY_GOAL_SQL
+    + """ SELECT company, report_year, sdg, count(DISTINCT page_number) AS n_pages,
+    count(DISTINCT page_number) AS n_listed FROM g WHERE page_number <> 0 GROUP BY ALL""",
+)
+def findings_all_pages(t):
+    pages = findings.key_pages(t.scored(), params=EVERYTHING).filter("n_pages > 0")
+    return pages.select(
+        "company", "report_year", "sdg", "n_pages", F.size("strongest_pages").cast("bigint").alias("n_listed")
+    )
+
+
+@register(
+    "findings_all_tags",
+    BY_GOAL_SQL
+    + TOP_TAGS_SQL
+    + """ SELECT company, report_year, sdg, string_agg(tag, ', ' ORDER BY rn) AS top_tags,
+    count(*) AS n_tags FROM tag_ranks GROUP BY company, report_year, sdg""",
+)
+def findings_all_tags(t):
+    return findings.top_tags(t.scored(), params=EVERYTHING).withColumn(
+        "top_tags", F.array_join("top_tags", ", ")
+    )
+
+
 @register("findings_key_pages", BY_GOAL_SQL + KEY_PAGES_SQL + " SELECT * FROM pages")
 def findings_key_pages(t):
-    return findings.key_pages(t.scored()).withColumn(
+    return findings.key_pages(t.scored()).drop("n_pages").withColumn(
         "strongest_pages", F.array_join(F.col("strongest_pages").cast("array<string>"), ",")
     )
 
 
 @register("findings_top_tags", BY_GOAL_SQL + TOP_TAGS_SQL + " SELECT * FROM tags")
 def findings_top_tags(t):
-    return findings.top_tags(t.scored()).withColumn("top_tags", F.array_join("top_tags", ", "))
+    return findings.top_tags(t.scored()).drop("n_tags").withColumn("top_tags", F.array_join("top_tags", ", "))
 
 
 @register(

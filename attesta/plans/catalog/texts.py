@@ -1,11 +1,14 @@
 """Pages, chunks, retrieval and responses."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from attesta import constants as k
 from attesta.functions.text import left_out, preview
 from attesta.functions.vectors import cosine, norm
 from attesta.operators import chunking, extraction, pages, retrieval
+from attesta.params import ExtractionParams, RetrievalParams
 from attesta.plans.catalog import register
 from attesta.plans.driver_tables import (
     CHUNKS,
@@ -16,6 +19,7 @@ from attesta.plans.driver_tables import (
     strip_sql,
     words_sql,
 )
+from attesta.staging import shared_folder
 
 # --- pages ---------------------------------------------------------------------------
 
@@ -351,6 +355,26 @@ def retrieval_top_chunks(t):
     )
 
 
+NEAREST = RetrievalParams(top_k=10, vector_weight=1.0, keyword_weight=0.0, rhetoric_factor=1.0, floor=-1.0)
+
+
+@register(
+    "retrieval_nearest",
+    SIMILAR_SQL
+    + """ SELECT query_id, doc_id, CAST(rank AS INT) AS rank, round(similarity, 6) AS similarity
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, doc_id) AS rank
+      FROM sims) WHERE rank <= 10""",
+)
+def retrieval_nearest(t):
+    """The nearest vectors of every query, over all vectors as one group."""
+    chunks = t.vectors().select(F.col("doc_id").alias("chunk_no"), F.lit("").alias("text"), "vector")
+    best = retrieval.best_chunks(chunks, t.label_queries(), NEAREST, ["chunk_no"], [])
+    return best.select(
+        "query_id", F.col("chunk_no").alias("doc_id"), F.col("chunk_rank").alias("rank"),
+        F.round("similarity", 6).alias("similarity"),
+    )
+
+
 def letter_vectors(texts: list[str]) -> list[list[float]]:
     """A stand-in embedder: letter counts of a text."""
     return [[float(text.count(letter)) for letter in "aeiounrst"] for text in texts]
@@ -544,3 +568,25 @@ def response_from_function(t):
     return extraction.call_model(prompts, rule_answer, ["doc_id"]).select(
         "doc_id", "attempts", "error", F.md5("raw_response").alias("answer")
     )
+
+
+def first_call(prompt: str) -> str:
+    """A model that is down for some of the prompts."""
+    if len(prompt) % 3 == 0:
+        raise ConnectionError("model is down")
+    return rule_answer(prompt)
+
+
+@register(
+    "response_asked_again",
+    """SELECT doc_id, CASE WHEN len(coalesce(text, '')) % 3 = 0 THEN 2 ELSE 1 END AS attempts,
+    CAST(NULL AS VARCHAR) AS error FROM documents""",
+)
+def response_asked_again(t):
+    """Two runs over one ledger: the second asks for the failed prompts only."""
+    prompts = t.read("documents").select("doc_id", F.coalesce("text", F.lit("")).alias("prompt"))
+    path = f"{shared_folder(prompts.sparkSession)}/attesta-ledger-{uuid.uuid4().hex}"
+    once_each = ExtractionParams(max_attempts=1)
+    extraction.store_responses(prompts, first_call, ["doc_id"], path, once_each)
+    stored = extraction.store_responses(prompts, rule_answer, ["doc_id"], path, once_each)
+    return stored.select("doc_id", "attempts", "error")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.operators import chunking, extraction, findings, retrieval, scoring, validation
-from attesta.params import ChunkParams, ExtractionParams, RetrievalParams
+from attesta.params import ChunkParams, ExtractionParams, FindingsParams, RetrievalParams
 from attesta.staging import staged
 
 
@@ -33,6 +33,9 @@ def evidence_from_responses(
 ) -> tuple[DataFrame, DataFrame]:
     """Records (validated and scored) and errors from stored model responses.
 
+    Errors are failed calls, answers that cannot be parsed, and every entry of an
+    answer that did not become a record.
+
     ``chunks``: report_id, chunk_no, chunk_id, chunk_rank, company, report_name,
     report_year, page_number, section_heading. ``responses``: report_id,
     chunk_no, raw_response, error.
@@ -40,13 +43,25 @@ def evidence_from_responses(
     keys = ["report_id", "chunk_no"]
     parsed = extraction.parse_responses(responses, params)
     records = extraction.to_records(extraction.response_items(parsed), chunks, keys, params)
-    errors = extraction.error_table(
+    failed = extraction.error_table(
         parsed.withColumn("message", F.coalesce("error", "parse_error")),
         ["report_id"],
         "extraction",
         "message",
     )
-    return score_all(validation.validate(records)), errors
+    # Answers that came after an error are kept out of the losses: they are in `failed`.
+    lost = extraction.dropped_entries(parsed.filter(F.col("error").isNull()), keys, params)
+    place = F.concat(
+        F.lit("chunk "), F.col("chunk_no").cast("string"),
+        F.coalesce(F.concat(F.lit(", entry "), F.col("item_no").cast("string")), F.lit("")),
+    )
+    dropped = extraction.error_table(
+        lost.withColumn("message", F.concat(place, F.lit(": "), F.col("reason"))),
+        ["report_id"],
+        "dropped_entry",
+        "message",
+    )
+    return score_all(validation.validate(records)), failed.union(dropped)
 
 
 def score_all(validated: DataFrame) -> DataFrame:
@@ -64,14 +79,16 @@ def report_findings(
     reports: DataFrame,
     keys: list[str] = findings.REPORT,
     order: list[str] | None = None,
+    params: FindingsParams = FindingsParams(),
 ) -> dict[str, DataFrame]:
     """All finding tables of the reports."""
     valid = validation.valid_only(records)
+    rejected = validation.rejected_only(records)
     return {
-        "goals": findings.goal_summaries(valid, keys, order),
+        "goals": findings.goal_summaries(valid, keys, order, params),
         "assessment": findings.overall_assessment(valid, reports, keys),
         "summary": findings.executive_summary(records, keys),
-        "strongest": findings.strongest_items(valid, keys, order),
-        "moderate": findings.moderate_items(valid, keys, order),
-        "reasons": findings.rejection_reasons(validation.rejected_only(records), keys, order),
+        "strongest": findings.strongest_items(valid, keys, order, params),
+        "moderate": findings.moderate_items(valid, keys, order, params),
+        "reasons": findings.rejection_reasons(rejected, keys, order, params),
     }

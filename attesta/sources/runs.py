@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -11,6 +13,7 @@ from attesta.functions.blocks import first_n
 
 CORRUPT = "corrupt_text"
 RUN_NAME = r"(?i)^(.+)_(\d{4})_(\d{8}_\d{6})$"
+RUN_IN_PATH = r"/(?:run=)?([^/=]+_\d{4}_\d{8}_\d{6})/"
 
 
 def parse_run_names(runs: DataFrame, name: str = "run_name") -> DataFrame:
@@ -37,7 +40,13 @@ def latest_runs(
 
 def run_name_of(path):
     """Run name from .../<run>/... or .../run=<run>/... in a file path."""
-    return F.regexp_extract(path, r"/(?:run=)?([^/=]+_\d{4}_\d{8}_\d{6})/", 1)
+    return F.regexp_extract(path, RUN_IN_PATH, 1)
+
+
+def _run_of(path: str) -> str:
+    """The same as ``run_name_of``, for a path on the driver."""
+    found = re.search(RUN_IN_PATH, path)
+    return found[1] if found else ""
 
 
 def document_paths(spark: SparkSession, root: str, document: str) -> DataFrame:
@@ -165,19 +174,22 @@ def latest_documents(
     (run, file) pairs that could not be read.
 
     The latest runs are chosen from the file names, so superseded runs are not
-    opened. A run with an unreadable file gives way to the one before it.
+    opened. A run with an unreadable file gives way to the one before it; files that
+    were found readable are not read again to look for that.
     """
     paths = document_paths(spark, root, "evidence.json")
     unreadable: dict[str, str] = {}
+    readable: list[str] = []
     while True:
         chosen = _latest_paths(paths, companies, list(unreadable))
         if not chosen:
             raise FileNotFoundError(f"no readable runs under {root}")
-        documents = read_run_documents(spark, root, paths=chosen)
-        bad = unreadable_documents(documents).collect()
+        opened = sorted(set(chosen) - set(readable))
+        bad = unreadable_documents(read_run_documents(spark, root, paths=opened)).collect() if opened else []
         if not bad:
-            return pick_latest(documents, companies), sorted(unreadable.items())
+            return pick_latest(read_run_documents(spark, root, paths=chosen), companies), sorted(unreadable.items())
         unreadable |= {r["run_name"]: r["path"] for r in bad}
+        readable += [path for path in opened if _run_of(path) not in unreadable]
 
 
 def load_runs(

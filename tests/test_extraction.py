@@ -5,6 +5,7 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from attesta import schemas
 from attesta.operators import extraction, retrieval
@@ -266,3 +267,135 @@ def test_accepted_answers_parse(spark):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "k int, raw_response string")
     for r in extraction.parse_responses(df).collect():
         assert extraction._is_json_object(cases[r.k]) == (r.parse_error is None), cases[r.k]
+
+
+def test_failed_prompts_are_asked_again(spark, tmp_path):
+    """One success per key, failed keys asked again, a run that stops goes on, null keys are keys."""
+    import uuid
+
+    calls, path = tmp_path / "calls", str(tmp_path / "ledger")
+    calls.mkdir()
+    once_each = ExtractionParams(max_attempts=1)
+
+    def model(down):
+        def answer(prompt):
+            (calls / f"{prompt}-{uuid.uuid4().hex}").touch()
+            if prompt in down:
+                raise ConnectionError("down")
+            return wrap(ITEM)
+
+        return answer
+
+    rows = [(i, f"p{i}") for i in range(8)] + [(None, "none")]
+    prompts = spark.createDataFrame(rows, "k int, prompt string")
+    made = lambda: len(list(calls.iterdir()))
+    store = lambda frame, down, **more: extraction.store_responses(frame, model(down), ["k"], path, once_each, **more)
+    first = store(prompts.filter("k < 4"), {"p1", "p2"}).collect()  # the rest waits for the next run
+    assert {r.k: r.error is None for r in first} == {0: True, 1: False, 2: False, 3: True} and made() == 4
+    second = store(prompts, {"p2", "none"}, rounds=2).collect()
+    assert made() == 4 + 2 + 5 and {r.k for r in second if r.error} == {2, None}
+    third = store(prompts, set(), give_up_after=2).collect()
+    assert {r.k for r in third if r.error} == {2} and made() == 12  # 2 had its two attempts
+    last = {r.k: r for r in store(prompts, set()).collect()}
+    assert made() == 13 and len(last) == 9 and not any(r.error for r in last.values())
+    assert last[2].attempts == 3 and last[0].attempts == 1
+    good = spark.createDataFrame([(last[2].raw_response,)], "raw_response string")
+    assert extraction.parse_responses(good).first().parse_error is None
+    store(prompts, {p for _, p in rows})
+    assert made() == 13
+
+
+def test_dropped_entries_are_errors_of_the_plan(spark):
+    answers = spark.createDataFrame(
+        [("r", 0, wrap(ITEM, {"evidence_text": "x"}), None), ("r", 1, wrap(*[ITEM] * 6), None),
+         ("r", 2, '{"x": 1}', None), ("r", 3, "no json", None), ("r", 4, None, "down")],
+        "report_id string, chunk_no int, raw_response string, error string",
+    )
+    chunks = spark.createDataFrame(
+        [("r", i, f"c{i}", i + 1, "a", "R", 2020, 1, "h") for i in range(5)],
+        "report_id string, chunk_no int, chunk_id string, chunk_rank int, company string, report_name string,"
+        " report_year int, page_number int, section_heading string",
+    )
+    records, errors = evidence_from_responses(chunks, answers)
+    assert records.count() == 6
+    assert sorted((r.stage, r.message) for r in errors.collect()) == [
+        ("dropped_entry", "chunk 0, entry 1: field missing"),
+        ("dropped_entry", "chunk 1, entry 5: beyond the entry limit"),
+        ("dropped_entry", "chunk 2: entries are not a list"),
+        ("extraction", "down"), ("extraction", "no JSON in response"),
+    ]
+
+
+def plain_best(chunks, queries, params):
+    """Every chunk with every query, the plain way."""
+    import math
+
+    size = lambda v: math.sqrt(sum(x * x for x in v))
+    out = set()
+    for report in {c[0] for c in chunks}:
+        for name, q in queries:
+            rows = []
+            for r, no, _, v in chunks:
+                if r == report and v is not None:
+                    cos = sum(a * b for a, b in zip(q, v)) / (size(q) * size(v)) if size(q) and size(v) else 0.0
+                    rows.append((-params.vector_weight * cos, no))
+            kept = sorted((s, n) for s, n in rows if -s >= params.floor)[: params.top_k]
+            out |= {(report, name, n, i + 1) for i, (_, n) in enumerate(kept)}
+    return out
+
+
+@pytest.mark.parametrize("pivots, top_k, floor", [(1, 3, 0.15), (8, 5, 0.15), (32, 2, -1.0), (5, 100, 0.3)])
+def test_best_chunks_equal_all_pairs(spark, pivots, top_k, floor):
+    """Pruned search against all pairs: clusters, zero, missing and opposite vectors."""
+    import random
+
+    rng = random.Random(pivots)
+    centers = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(6)]
+    chunks = []
+    for i in range(400):
+        c = rng.choice(centers)
+        v = [x + rng.gauss(0, 0.15) for x in c] if i % 50 else None if i % 100 else [0.0] * 6
+        chunks.append((f"r{i % 3 if i % 2 else 0}", i, "zz", v))
+    queries = [(f"q{i}", [x + rng.gauss(0, 0.2) for x in c]) for i, c in enumerate(centers)] + [("zero", [0.0] * 6), ("back", [-x for x in centers[0]])]
+    params = RetrievalParams(pivots=pivots, top_k=top_k, floor=floor, keyword_weight=0.4)
+    frame = spark.createDataFrame(chunks, "report_id string, chunk_no int, text string, vector array<double>")
+    asked = spark.createDataFrame(queries, "query_id string, vector array<double>")
+    best = retrieval.best_chunks(frame, asked, params)
+    got = {(r.report_id, r.query_id, r.chunk_no, r.chunk_rank) for r in best.collect()}
+    if floor >= 0:  # below a floor of zero, chunks of equal score stand in chunk order there and here
+        assert got == plain_best(chunks, queries, params)
+    else:
+        assert {g[:3] for g in got if g[1] != "zero"} == {p[:3] for p in plain_best(chunks, queries, params) if p[1] != "zero"}
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "q_group" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_blocks_are_ruled_out(spark):
+    """On clustered vectors most chunks are never scored."""
+    import random
+
+    rng = random.Random(2)
+    centers = [[rng.gauss(0, 1) for _ in range(12)] for _ in range(20)]
+    rows = [("r", i, "zz", [x + rng.gauss(0, 0.05) for x in centers[i % 20]]) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "report_id string, chunk_no int, text string, vector array<double>")
+    queries = spark.createDataFrame([(f"q{i}", c) for i, c in enumerate(centers)], "query_id string, vector array<double>")
+    params = RetrievalParams(top_k=5, keyword_weight=0.0)
+    index, pivots = retrieval.index_chunks(frame, params)
+    bounds = retrieval.block_bounds(index, pivots, queries, params, ["report_id"])
+    seeds = retrieval._scored_blocks(index, bounds.filter("seed"), queries, params, ["report_id"])
+    rest = retrieval.wanted_blocks(bounds, seeds, params, ["report_id"]).agg({"n": "sum"}).first()[0] or 0
+    assert seeds.count() + rest < 0.4 * 2000 * 20
+
+
+def test_lists_without_limit(spark, make_records):
+    from attesta.operators import findings
+    from attesta.params import FindingsParams
+
+    n = 1500  # list positions beyond a thousand keep their order
+    tags = [f"t{i}" for i in range(n)]
+    records = make_records({"a": {"evidence_tags": tags, "candidate_sdgs": ["SDG 1"], "computed_score": 5, "page_number": 3}})
+    records = records.withColumn("seq", F.lit(2**40).cast("bigint"))
+    row = findings.top_tags(records, params=FindingsParams(top_tags=None)).first()
+    assert row.top_tags == tags and row.n_tags == n
+    row = findings.top_tags(records).first()
+    assert row.top_tags == tags[:4] and row.n_tags == n
