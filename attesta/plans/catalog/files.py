@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from attesta import constants as k
 from attesta import schemas
 from attesta.functions.text import is_blank
-from attesta.operators import evaluation, findings, validation
+from attesta.operators import evaluation, findings, increments, validation
 from attesta.plans.catalog import ORACLES, register
 from attesta.plans.catalog.models import AGGREGATE_SQL, PUBLISHED_SQL, RESULTS_SQL, SCORE_SQL
 from attesta.plans.catalog.records import (
@@ -595,3 +595,39 @@ def comparison_lines(t):
     ranked = evaluation.rank_models(combos, ["model", "embedding_no"]).join(times, "model")
     lines = texts.comparison_lines(ranked, "items.jsonl", "2024-01-01 12:00:00")
     return lines.withColumn("line_no", F.col("line_no").cast("bigint"))
+
+
+# --- measures from stored sums ---------------------------------------------------------
+
+CUT = 1997
+
+
+def stored_sums(t):
+    """Sums of the earlier years, then of the later ones, one of them stored twice."""
+    path = new_folder(t, "sums")
+    scored = t.scored().select("company", "report_year", "confidence", "computed_score")
+    for part in (F.col("report_year") < CUT, F.col("report_year") >= CUT, F.col("report_year") == CUT):
+        increments.store_years(increments.year_sums(scored.filter(part)), path)
+    return increments.stored_years(t.read("nation").sparkSession, path)
+
+
+@register("table_calibration_stored", ORACLES["table_calibration"])
+def table_calibration_stored(t):
+    fit = increments.fit_from_sums(stored_sums(t))
+    return fit.select(
+        "company", "n",
+        *[F.round(c, 6).alias(c) for c in ("slope", "intercept", "correlation", "r2", "residual_se")],
+    )
+
+
+@register(
+    "table_score_sketches",
+    SCORED_SQL
+    + """ SELECT company, p AS prob, count(*) AS n, true AS within FROM scored,
+    (SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9]::DOUBLE[]) AS p) GROUP BY company, p""",
+)
+def table_score_sketches(t):
+    """Quantiles of the score from merged sketches: ranks within 2 % of the asked ones."""
+    found = increments.quantiles_from_sketches(stored_sums(t), [0.1, 0.25, 0.5, 0.75, 0.9])
+    off = increments.rank_error(t.scored(), found, "computed_score")
+    return off.select("company", "prob", "n", (F.col("error") <= 0.02).alias("within"))
