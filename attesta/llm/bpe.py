@@ -1,8 +1,9 @@
 """BPE encoding and decoding through a table of distinct words.
 
-1. Split: documents are taken in blocks of consecutive documents, and every text is
-   split once. A block keeps the word numbers of its documents by position; its
-   distinct words leave as one list per word bucket (a hash of the word).
+1. Split: documents are taken in blocks of consecutive documents, keyed by a hash of
+   their content. A block's words become numbers by position; its distinct words leave
+   as one list per word bucket (a hash of the word). The two are made apart, since
+   storing the split texts in between would take more disk than reading them again.
 2. Word table: the lists of a bucket meet in one partition, bucket after bucket,
    where every distinct word is encoded once; each list goes back as ids in the
    order of its words.
@@ -32,13 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm import words
-from attesta.llm.common import id_text, ids_of, small_batches, staged, text_of
+from attesta.llm.common import id_text, ids_of, lean, small_batches, staged, text_of
 
 
 @dataclass(frozen=True)
 class BpeParams:
     tokenizer: str | None = None  # file; by default the public byte-level BPE
-    block_chars: int = 4_000_000  # texts of a block
+    block_chars: int = 16_000_000  # texts of a block
     buckets: int = 64  # least number of word buckets
 
 
@@ -74,32 +75,47 @@ def _from_numbers(payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def _blocks(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[tuple[list, list[str]]]:
-    """(ids, texts): consecutive documents up to `limit` characters."""
+def _blocks(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[tuple[int, list, list[str]]]:
+    """(block key, ids, texts): consecutive documents up to `limit` characters.
+
+    The key is a hash of the content, so any repetition of the work that forms the same
+    block gives the same key; equal blocks are told apart by nothing and need not be.
+    """
     ids: list = []
     texts: list[str] = []
     size = 0
+
+    def block() -> tuple[int, list, list[str]]:
+        digest = hashlib.blake2b(repr(ids).encode(), digest_size=8)
+        for text in texts:
+            digest.update(f"{len(text)}:".encode() + text.encode("utf-8", "replace"))
+        return int.from_bytes(digest.digest(), "little", signed=True), ids, texts
+
     for batch in batches:
         for doc_id, text in zip(ids_of(batch["doc_id"]), batch["text"].tolist()):
             if size and size + len(text) > limit:
-                yield ids, texts
+                yield block()
                 ids, texts, size = [], [], 0
             ids.append(None if doc_id is pd.NA else int(doc_id))
             texts.append(text)
             size += len(text)
     if ids:
-        yield ids, texts
+        yield block()
 
 
-def split_blocks(docs: DataFrame, buckets: int, params: BpeParams) -> DataFrame:
-    """One row per block, staged: word numbers by position, and distinct words by bucket.
+def _bucket(word: str, buckets: int) -> int:
+    return zlib.crc32(word.encode("utf-8", "replace")) % buckets
+
+
+def block_places(docs: DataFrame, buckets: int, params: BpeParams) -> DataFrame:
+    """One row per block: the words of its documents as numbers, by position.
 
     `n_words` counts the words of each document; `places` holds the numbers of all
     words, in order of first appearance; `of_bucket` the bucket of each number.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, texts in _blocks(batches, params.block_chars):
+        for key, ids, texts in _blocks(lean(batches), params.block_chars):
             number: dict[str, int] = {}
             places, n_words = array("I"), []
             for text in texts:
@@ -109,22 +125,34 @@ def split_blocks(docs: DataFrame, buckets: int, params: BpeParams) -> DataFrame:
                         number[word] = len(number)
                 places.extend(map(number.__getitem__, split))
                 n_words.append(len(split))
-            of_bucket = np.array([zlib.crc32(w.encode("utf-8", "replace")) % buckets for w in number], np.int64)
-            lists: dict[int, list[str]] = {}
-            for word, bucket in zip(number, of_bucket.tolist()):
-                lists.setdefault(bucket, []).append(word)
+            of_bucket = np.array([_bucket(w, buckets) for w in number], np.int64)
             row = {
-                "doc_ids": ids, "n_words": n_words, "places": _numbers(np.array(places, np.int64)),
-                "of_bucket": _numbers(of_bucket), "buckets": list(lists),
-                "words": [_text_list(part) for part in lists.values()],
+                "block": key, "doc_ids": ids, "n_words": n_words, "places": _numbers(np.array(places, np.int64)),
+                "of_bucket": _numbers(of_bucket),
             }
             yield pd.DataFrame({name: [value] for name, value in row.items()})
 
-    schema = (
-        "doc_ids array<bigint>, n_words array<int>, places binary, of_bucket binary, "
-        "buckets array<int>, words array<binary>"
+    return docs.mapInPandas(
+        run, "block bigint, doc_ids array<bigint>, n_words array<int>, places binary, of_bucket binary"
     )
-    return staged(docs.mapInPandas(run, schema).withColumn("block", F.monotonically_increasing_id()), "bpe-blocks")
+
+
+def block_words(docs: DataFrame, buckets: int, params: BpeParams) -> DataFrame:
+    """(block, bucket, words): the distinct words of a block by bucket, in order of first appearance."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for key, _, texts in _blocks(lean(batches), params.block_chars):
+            seen: dict[str, None] = {}
+            for text in texts:
+                seen.update(dict.fromkeys(words.spaced(text) if text else ()))
+            lists: dict[int, list[str]] = {}
+            for word in seen:
+                lists.setdefault(_bucket(word, buckets), []).append(word)
+            yield pd.DataFrame({
+                "block": key, "bucket": list(lists), "words": [_text_list(part) for part in lists.values()],
+            })
+
+    return docs.mapInPandas(run, "block bigint, bucket int, words binary")
 
 
 def encode_words(lists: DataFrame, params: BpeParams) -> DataFrame:
@@ -136,7 +164,7 @@ def encode_words(lists: DataFrame, params: BpeParams) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = words.worker_tokenizer(tokenizer_path(params))
         bucket, known = None, {}
-        for batch in batches:
+        for batch in lean(batches):
             coded, used = [], []
             for number, payload in zip(batch["bucket"].tolist(), batch["words"]):
                 if number != bucket:
@@ -182,7 +210,7 @@ def block_pieces(found: DataFrame, table: DataFrame) -> DataFrame:
 
 def _by_position(block: pd.Series, found: pd.DataFrame) -> Iterator[tuple]:
     """(doc_id, ids, decoded bytes) of a block's documents."""
-    lists = found[found["bucket"].notna()].sort_values("bucket")
+    lists = found[found["bucket"].notna()].drop_duplicates("bucket").sort_values("bucket")
     of_bucket, n_words = _from_numbers(block["of_bucket"]), np.asarray(block["n_words"], np.int64)
     sizes, flat = [], []
     counts = np.bincount(of_bucket)[lists["bucket"].astype(np.int64)] if len(lists) else []
@@ -222,8 +250,7 @@ def encode_documents(docs: DataFrame, params: BpeParams | None = None, keep_ids:
     spark = docs.sparkSession
     buckets = max(params.buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = small_batches(docs).select(id_text("doc_id").alias("doc_id"), text_of().alias("text"))
-    blocks = split_blocks(rows, buckets, params)
-    lists = blocks.select("block", F.inline(F.arrays_zip(F.col("buckets").alias("bucket"), "words")))
+    blocks, lists = block_places(rows, buckets, params), block_words(rows, buckets, params)
     found = staged(encode_words(lists.repartition("bucket").sortWithinPartitions("bucket"), params), "bpe-ids")
     met = found.drop("used").withColumnRenamed("block", "of_block").unionByName(
         block_pieces(found, piece_table(spark, params)).withColumnRenamed("block", "of_block"),
@@ -235,7 +262,9 @@ def encode_documents(docs: DataFrame, params: BpeParams | None = None, keep_ids:
 
     def join(block: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for doc_id, ids, raw in _by_position(block.iloc[0], parts):
+        # Equal blocks of different tasks have one key and meet here together.
+        documents = chain.from_iterable(_by_position(row, parts) for _, row in block.iterrows())
+        for doc_id, ids, raw in documents:
             decoded = raw.decode("utf-8", "replace")
             row = (
                 None if pd.isna(doc_id) else str(int(doc_id)), len(ids), hashlib.sha256(ids.tobytes()).hexdigest(),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,3 +86,22 @@ def id_text(column: str) -> Column:
 def ids_of(column: pd.Series) -> pd.array:
     """The ids of a column that left Spark by `id_text`, exact, nulls kept."""
     return pd.array([None if value is None else int(value) for value in column.tolist()], "Int64")
+
+
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system.
+
+    Workers live on between tasks and share an executor's memory with the JVM; their
+    allocators otherwise keep what the largest batch took.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def lean(batches: Iterator) -> Iterator:
+    """The batches of a task; freed memory goes back when the last one is done."""
+    yield from batches
+    give_back()

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm import words as shared
-from attesta.llm.common import id_text, ids_of, small_batches, staged, text_of, unstage
+from attesta.llm.common import give_back, id_text, ids_of, small_batches, staged, text_of, unstage
 
 WORD = re.compile(r"\w+")
 MIXING = ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))  # fixed values: shift, factor
@@ -334,6 +334,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, params: LeakParams | None = No
             keep = np.ones(len(text), bool)
             for number, *_ in _search(text.tolist(), _index(block, params), params):
                 keep[number] = False
+            give_back()
             return pd.Series(keep)
 
         return clean

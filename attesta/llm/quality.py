@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import id_text, ids_of, small_batches, text_of
+from attesta.llm.common import give_back, id_text, ids_of, lean, small_batches, text_of
 
 MARKS = re.compile(r"[#$%&*^~<>=@\\{}\[\]]")
 SLICES = 1 << 40  # of the hash that chooses the samples
@@ -212,7 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, params: QualityParams) -> QualityM
     sample = rows.join(F.broadcast(known), "doc_id", "left").filter(F.col("label").isNotNull() | (key < F.lit(share)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in lean(batches):
             text, meta = _features(batch, params)
             yield pd.DataFrame({
                 "doc_id": ids_of(batch["doc_id"]), "label": batch["label"], "text": list(text), "meta": list(meta),
@@ -277,6 +277,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, params: QualityParams | None =
     @F.pandas_udf("boolean")
     def keep(text: pd.Series, source: pd.Series, lang: pd.Series, n_chars: pd.Series) -> pd.Series:
         batch = pd.DataFrame({"text": text, "source": source, "lang": lang, "n_chars": n_chars})
-        return _decided(batch, model, params)["keep"]
+        found = _decided(batch, model, params)["keep"]
+        give_back()
+        return found
 
     return docs.filter(keep(*_inputs(docs)))
