@@ -34,14 +34,14 @@ from pyspark.sql import functions as F
 
 from attesta.llm import words
 from attesta.llm.bpe import pieces
-from attesta.llm.common import id_text, ids_of, small_batches, staged, text_of
+from attesta.llm.common import id_text, ids_of, lean, small_batches, staged, text_of
 
 
 @dataclass(frozen=True)
 class AlignParams:
     byte_level: str | None = None  # tokenizer file A; by default the public byte-level BPE
     piece_model: str | None = None  # model file B; by default the public piece model
-    cached_chars: int = 8_000_000  # bound of a worker's tables of encoded words
+    cached_chars: int = 16_000_000  # bound of a worker's tables of encoded words
     anchors: tuple[int, ...] = (1024, 64, 8)  # strides of the ends that are searched first
     batch_mb: int = 2  # texts of a batch
 
@@ -281,8 +281,11 @@ def aligned_blocks(docs: DataFrame, params: AlignParams, keep_groups: bool) -> D
     """One row per batch of documents, staged, with a number that is fixed from then on."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoders = Encoders(params)
-        for batch in batches:
+        state = words.worker_state("alignment")
+        if state.get("params") != params:
+            state.update(params=params, encoders=Encoders(params))
+        encoders = state["encoders"]
+        for batch in lean(batches):
             if len(batch):
                 block = align(batch["text"].tolist(), encoders, params.anchors, keep_groups)
                 row = {"doc_ids": list(ids_of(batch["doc_id"])), **block}
