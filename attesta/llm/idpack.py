@@ -101,12 +101,13 @@ class _Encoder:
         if state.get("path") != path:
             tokenizer = words.load_tokenizer(path)
             state.update(path=path, tokenizer=tokenizer, model=Tokenizer(tokenizer.model), known={"": b""})
+            state["by_word"] = drops_spaces(tokenizer)
         self.tokenizer, self.model, self.known = state["tokenizer"], state["model"], state["known"]
         self.limit = limit
         coded = words.byte_characters()
         self.bytes = {c: "".join(coded[b] for b in chr(c).encode()) for c in range(128, 256)}
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.by_word = drops_spaces(self.tokenizer)
+        self.by_word = state["by_word"]
 
     def learn(self, unknown: set[str]) -> None:
         known, tails = self.known, []
