@@ -179,16 +179,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 # --- responses -----------------------------------------------------------------
 
 
+_BOX = "array<struct<evidence_items:array<variant>>>"
+
+
 def _single_value(text) -> Column:
-    """VARIANT of a text that holds exactly one JSON value, else NULL.
+    """A text that holds exactly one JSON value, as a list of it, else NULL.
 
-    The parser ignores what follows the first value of a text. Inside brackets
-    trailing text makes the list malformed or longer than one.
+    The value is NULL unless it is an object; only its entries are taken out, and
+    they are copied once. The parser ignores what follows the first value of a text.
+    Inside brackets trailing text makes the list malformed or longer than one.
     """
-    boxed = F.try_variant_get(
-        F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>"
-    )
-    return once(boxed, lambda b: F.when(F.size(b) == 1, F.get(b, 0)))
+    boxed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", _BOX)
+    return once(boxed, lambda b: F.when(F.size(b) == 1, b))
 
 
 def _document(body) -> Column:
@@ -206,8 +208,7 @@ def _document(body) -> Column:
 
 def _outcome(doc, limit: int | None) -> Column:
     """Error, usable entries, and number of all entries of a parsed response."""
-    kind = F.schema_of_variant(doc)
-    entries = F.try_variant_get(doc, "$.evidence_items", "array<variant>")
+    value = F.get(doc, 0)
     none = F.lit(None).cast("array<variant>")
 
     def failed(message: str) -> Column:
@@ -218,7 +219,8 @@ def _outcome(doc, limit: int | None) -> Column:
 
     def checked(every) -> Column:
         items = every if limit is None else F.slice(every, 1, limit)
-        broken = F.exists(items, lambda item: ~F.schema_of_variant(item).startswith("OBJECT"))
+        # Only an object becomes a struct.
+        broken = F.exists(items, lambda item: F.try_variant_get(item, "$", "struct<x:boolean>").isNull())
         return F.when(F.coalesce(broken, F.lit(False)), failed("entry is not an object")).otherwise(
             F.struct(
                 F.lit(None).cast("string").alias("parse_error"), items.alias("items"),
@@ -228,8 +230,8 @@ def _outcome(doc, limit: int | None) -> Column:
 
     return (
         F.when(doc.isNull(), failed("no JSON in response"))
-        .when(~kind.startswith("OBJECT"), failed("response is not an object"))
-        .otherwise(once(entries, checked))
+        .when(value.isNull(), failed("response is not an object"))
+        .otherwise(once(value["evidence_items"], checked))
     )
 
 
@@ -266,9 +268,17 @@ UNLIMITED = 1 << 31  # more than the entries that a list can have
 _LISTS = ("candidate_sdgs", "evidence_tags")
 
 
+def _complete(fields) -> Column:
+    required = F.array(*[F.lit(name) for name in k.RESPONSE_FIELDS])
+    return F.size(F.array_except(required, F.map_keys(fields))) == 0
+
+
+def _has_text(kind, text) -> Column:
+    return F.coalesce(strip(_text_of(kind, text)), F.lit("")) != ""
+
+
 def _entry(item) -> Column:
     """Kind and text of every expected field of one list entry."""
-    required = F.array(*[F.lit(name) for name in k.RESPONSE_FIELDS])
 
     def parts(fields) -> Column:
         kinds = {name: F.schema_of_variant(fields[name]) for name in k.RESPONSE_FIELDS}
@@ -277,10 +287,9 @@ def _entry(item) -> Column:
             for name in k.RESPONSE_FIELDS
             if name not in _LISTS
         }
-        quote = strip(_text_of(kinds["evidence_text"], texts["evidence_text"]))
         return F.struct(
-            (F.size(F.array_except(required, F.map_keys(fields))) == 0).alias("complete"),
-            (F.coalesce(quote, F.lit("")) != "").alias("has_text"),
+            _complete(fields).alias("complete"),
+            _has_text(kinds["evidence_text"], texts["evidence_text"]).alias("has_text"),
             *[kinds[n].alias(f"kind_{n}") for n in k.RESPONSE_FIELDS if n not in _LISTS],
             *[text.alias(f"text_{name}") for name, text in texts.items()],
             *[_list_of(fields[name]).alias(name) for name in _LISTS],
@@ -395,6 +404,17 @@ def to_records(
     )
 
 
+def _loss(item) -> Column:
+    """Why an entry does not become a record; null if it does."""
+
+    def reason(fields) -> Column:
+        quote = fields["evidence_text"]
+        has_text = _has_text(F.schema_of_variant(quote), F.try_variant_get(quote, "$", "string"))
+        return F.when(~_complete(fields), "field missing").when(~has_text, "no evidence text")
+
+    return once(F.try_variant_get(item, "$", "map<string,variant>"), reason)
+
+
 def dropped_entries(
     parsed: DataFrame, keys: list[str], params: ExtractionParams = ExtractionParams()
 ) -> DataFrame:
@@ -402,25 +422,26 @@ def dropped_entries(
 
     Every entry of a list is a record or a row here; a response without a list
     has one row with a null position. Unparsable responses are in ``parse_error``.
+    All losses of a response come from one pass over it, so it is parsed once.
     """
-    fine = parsed.filter(F.col("parse_error").isNull())
-    no_list = fine.filter(F.col("n_entries").isNull()).select(
-        *keys, F.lit(None).cast("int").alias("item_no"), F.lit("entries are not a list").alias("reason")
+    found = F.filter(
+        F.transform("items", lambda item, no: F.struct(no.alias("item_no"), _loss(item).alias("reason"))),
+        lambda lost: lost["reason"].isNotNull(),
     )
-    entries = response_items(fine)
-    incomplete = entries.filter(~F.col("item.complete") | ~F.col("item.has_text")).select(
-        *keys, "item_no",
-        F.when(~F.col("item.complete"), "field missing").otherwise("no evidence text").alias("reason"),
+    n = F.col("n_entries")
+    if params.items_per_chunk is not None:
+        limit = F.lit(params.items_per_chunk)
+        beyond = F.transform(
+            F.sequence(limit, n - 1),
+            lambda no: F.struct(no.alias("item_no"), F.lit("beyond the entry limit").alias("reason")),
+        )
+        found = F.when(n > limit, F.concat(found, beyond)).otherwise(found)
+    no_list = F.array(
+        F.struct(F.lit(None).cast("int").alias("item_no"), F.lit("entries are not a list").alias("reason"))
     )
-    lost = no_list.union(incomplete)
-    if params.items_per_chunk is None:
-        return lost
-    limit = F.lit(params.items_per_chunk)
-    cut = fine.filter(F.col("n_entries") > limit).select(
-        *keys, F.explode(F.sequence(limit, F.col("n_entries") - 1)).alias("item_no"),
-        F.lit("beyond the entry limit").alias("reason"),
+    return parsed.filter(F.col("parse_error").isNull()).select(
+        *keys, F.inline(F.when(n.isNull(), no_list).otherwise(found))
     )
-    return lost.union(cut)
 
 
 def error_table(failures: DataFrame, keys: list[str], stage: str, message: str) -> DataFrame:

@@ -262,6 +262,14 @@ def test_nothing_is_lost_silently(spark):
         assert sum(r.reason == "beyond the entry limit" for r in lost) == (3 if limit else 0)
 
 
+def test_losses_parse_a_response_once(spark):
+    """One scan of the responses, whatever the kinds of loss."""
+    df = spark.range(3).selectExpr("id AS k", "concat('{\"evidence_items\": [', id, ']}') AS raw_response")
+    lost = extraction.dropped_entries(extraction.parse_responses(df), ["k"])
+    plan = lost._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range") == 1
+
+
 def test_accepted_answers_parse(spark):
     cases = [wrap(ITEM), f"```json\n{wrap(ITEM)}\n```", "[1]", "5", '{"a": NaN}', "text", "NaN", f"x {wrap()} y"]
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "k int, raw_response string")
