@@ -71,7 +71,8 @@ def best_predictions(
     """Per model and item: the valid record with the highest score, first on
     ties, and how many records were extracted and valid.
 
-    One partially aggregated min-by; no per-item list is built.
+    One partially aggregated min-by; no per-item list is built. The last key is
+    grouped first, so the result lies in the order in which items are joined.
     """
     valid = F.col("validation_status") == "valid"
     record = F.struct(
@@ -84,11 +85,12 @@ def best_predictions(
         "computed_score",
     )
     rank = F.struct((-F.col("computed_score")).alias("s"), *order)
-    return scored.groupBy(*keys).agg(
+    found = scored.groupBy(*reversed(keys)).agg(
         F.count(F.lit(1)).alias("extracted_count"),
         F.count_if(valid).alias("valid_count"),
         F.min_by(record, F.when(valid, rank)).alias("best"),
     )
+    return found.select(*keys, "extracted_count", "valid_count", "best")
 
 
 def evaluate_items(
@@ -99,9 +101,23 @@ def evaluate_items(
     model: str = "model",
 ) -> DataFrame:
     """Metric row per model and item; an item without valid record counts as
-    an empty prediction."""
-    grid = items.withColumn(model, F.explode(F.array(*[F.lit(m) for m in models])))
-    joined = grid.join(best, [model, "item_id"], "left")
+    an empty prediction.
+
+    ``best`` has one row per model and item. The models of an item are brought side by
+    side and joined by the item alone, so rows that already lie by item do not move.
+    """
+    rows = F.struct("extracted_count", "valid_count", "best")
+    sides = best.groupBy("item_id").agg(
+        *[F.max_by(rows, F.when(F.col(model) == m, F.lit(1))).alias(f"__{i}") for i, m in enumerate(models)]
+    )
+    grid = F.array(*[F.struct(F.lit(m).alias("m"), F.col(f"__{i}").alias("b")) for i, m in enumerate(models)])
+    joined = (
+        items.join(sides, "item_id", "left")
+        .withColumn("__side", F.explode(grid))
+        .withColumns({model: F.col("__side.m"), **{
+            name: F.col(f"__side.b.{name}") for name in ("extracted_count", "valid_count", "best")
+        }})
+    )
 
     def predicted(name: str, default) -> Column:
         return F.coalesce(F.col(f"best.{name}"), default)
@@ -302,7 +318,7 @@ def model_agreement(
 
     flagged = results.withColumn("overclaim", any_overclaim())
     sides = flagged.filter(F.col(model).isin(first, second)).groupBy("item_id", *keys).agg(
-        F.count_distinct(model).alias("n_models"),
+        (F.min(model) != F.max(model)).alias("both"),
         of("predicted_sdgs", first).alias("sdgs_a"),
         of("predicted_sdgs", second).alias("sdgs_b"),
         of("predicted_stage", first).alias("stage_a"),
@@ -311,7 +327,7 @@ def model_agreement(
         of("overclaim", second).alias("over_b"),
     )
     return (
-        sides.filter(F.col("n_models") == 2)
+        sides.filter("both")
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("n_items"),

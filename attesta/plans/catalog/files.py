@@ -519,6 +519,15 @@ _METRICS = [
     "sdg_jaccard_mean", "tag_jaccard_mean", "stage_exact_rate", "stage_overclaim_rate",
     "quant_exact_rate", "oversight_exact_rate", "validation_accuracy", "over_claim_rate",
 ]
+_ITEM_METRICS = [
+    "sdg_jaccard", "tag_jaccard", "stage_exact", "stage_overclaim", "quant_exact", "oversight_exact",
+    "validation_correct", "quant_overclaim", "oversight_overclaim",
+]
+
+
+def stored_metrics(t):
+    """Metrics of every model and item, computed once for texts that read them twice."""
+    return staged(t.results().select("model", "item_id", "extracted_count", "valid_count", *_ITEM_METRICS))
 
 
 @register(
@@ -545,7 +554,7 @@ _METRICS = [
     ),
 )
 def scorecard_lines(t):
-    results = t.results()
+    results = stored_metrics(t)
     lines = texts.scorecard_lines(
         evaluation.aggregate_metrics(results), results, "2024-01-01 12:00:00"
     )
@@ -589,7 +598,7 @@ _RANKED_LINE = (
     + _lines_sql("ranked", [], 20, "rank", _RANKED_LINE),
 )
 def comparison_lines(t):
-    results = t.results().withColumn("runtime_seconds", F.col("extracted_count") * 2)
+    results = stored_metrics(t).withColumn("runtime_seconds", F.col("extracted_count") * 2)
     combos = evaluation.model_combinations(evaluation.aggregate_metrics(results), ["e1", "e2"])
     times = evaluation.runtime_totals(results).select("model", "avg_item_runtime_seconds")
     ranked = evaluation.rank_models(combos, ["model", "embedding_no"]).join(times, "model")

@@ -41,12 +41,14 @@ class Tables:
     # --- evidence records from order lines -----------------------------------
 
     def order_lines(self) -> DataFrame:
-        return (
-            self.read("lineitem")
-            .join(self.read("orders"), F.expr("l_orderkey = o_orderkey"))
+        """Order lines with their order, customer and nation. The lines move once, by
+        order; what groups them by order does not move them again."""
+        orders = (
+            self.read("orders")
             .join(self.read("customer"), F.expr("o_custkey = c_custkey"))
             .join(self.read("nation"), F.expr("c_nationkey = n_nationkey"))
         )
+        return self.read("lineitem").join(orders, F.expr("l_orderkey = o_orderkey"))
 
     def evidence(self) -> DataFrame:
         return self.order_lines().selectExpr(*EVIDENCE_COLUMNS)

@@ -321,3 +321,36 @@ def test_ranking_ties_after_rounding(spark):
     ranked = evaluation.rank_models(spark.createDataFrame(rows, schema), ["model"]).orderBy("rank").collect()
     assert [(r.model, r.selection_score, r.recommended) for r in ranked] == [
         ("c", 3.51, True), ("a", 3.5, False), ("b", 3.5, False)]
+
+
+def test_items_without_predictions_of_a_model(spark):
+    """Every model has a row for every item, also one that it gave nothing for."""
+    items = spark.sql(
+        "SELECT id AS item_id, array('SDG 1') AS expected_sdgs, array('policy') AS expected_evidence_tags,"
+        " 'planned_action' AS expected_implementation_stage, false AS expected_quantitative_support,"
+        " false AS expected_oversight_support, true AS expected_valid FROM VALUES (1L), (2L), (NULL) AS v(id)"
+    )
+    scored = spark.sql(
+        "SELECT model, id AS item_id, id AS seq, 'valid' AS validation_status, array('SDG 1') AS candidate_sdgs,"
+        " array('policy') AS evidence_tags, 'planned_action' AS implementation_stage, false AS quantitative_support,"
+        " false AS oversight_support, 't' AS evidence_text, 3 AS computed_score"
+        " FROM VALUES ('a', 1L), ('b', 1L), ('b', 2L), ('b', NULL) AS v(model, id)"
+    )
+    results = evaluation.evaluate_items(items, evaluation.best_predictions(scored), ["a", "b", "c"])
+    got = {(r.model, r.item_id): (r.predicted_valid, r.extracted_count) for r in results.collect()}
+    found = {("a", 1), ("b", 1), ("b", 2)}
+    assert got == {(m, i): ((m, i) in found, int((m, i) in found)) for m in "abc" for i in (1, 2, None)}
+
+
+def test_evaluation_moves_lines_by_order_only(spark):
+    """Predictions of all models are grouped and joined where the order join left them."""
+    from attesta.plans.driver_tables import Tables
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        results = Tables(spark, "/root/testdata/sf0.001").results()
+        plan = results._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = {key.split("#")[0] for key in plan.split("Exchange hashpartitioning(")[1:]}
+    assert moved == {"l_orderkey", "o_orderkey", "o_custkey", "c_custkey", "c_nationkey", "n_nationkey"}
