@@ -67,6 +67,9 @@ def _not_json(name: str):
     raise ValueError(name)
 
 
+BATCH_BYTES = 4 << 20  # of prompts that a Python worker takes at a time
+
+
 def call_model(
     prompts: DataFrame,
     answer: Callable[[str], str],
@@ -79,8 +82,10 @@ def call_model(
 
     Output: keys, raw_response, attempts, error. ``tasks`` sets how many
     prompts are in flight at once; rows move by key, so a retried task asks
-    for the same prompts again.
+    for the same prompts again. Batches are bounded in bytes, since prompts have
+    any length.
     """
+    prompts.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
     key_fields = [prompts.schema[key] for key in keys]
     layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
     limit = params.max_attempts

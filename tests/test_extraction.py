@@ -277,6 +277,18 @@ def test_accepted_answers_parse(spark):
         assert extraction._is_json_object(cases[r.k]) == (r.parse_error is None), cases[r.k]
 
 
+def test_prompts_come_in_small_batches(spark):
+    """A worker holds a few megabytes of prompts, however long they are."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    prompts = spark.range(0, 150, 1, 1).selectExpr("id", "repeat('x', 200000) AS prompt")
+
+    def answer(prompt):
+        return json.dumps({"n": len(sys._getframe(1).f_locals["batch"])})
+
+    got = extraction.call_model(prompts, answer, ["id"]).collect()
+    assert len(got) == 150 and max(json.loads(r.raw_response)["n"] for r in got) <= 50
+
+
 def test_failed_prompts_are_asked_again(spark, tmp_path):
     """One success per key, failed keys asked again, a run that stops goes on, null keys are keys."""
     import uuid
