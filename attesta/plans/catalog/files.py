@@ -20,7 +20,7 @@ from attesta.plans.catalog.records import (
 )
 from attesta.plans.driver_tables import ALL_SCORED_SQL, RUNS_SQL, SCORED_SQL
 from attesta.plans.report import report_findings
-from attesta.staging import shared_folder, staged
+from attesta.staging import shared_folder, staged, unstage
 from attesta.sinks import documents, texts
 from attesta.sources import items, runs
 
@@ -167,8 +167,8 @@ def stage_inputs(t):
     """Records computed once for all tables of a report, reports and errors."""
     records = staged(t.all_scored())
     valid = validation.valid_only(records)
-    reports = t.reports().join(
-        findings.overall_assessment(valid, t.reports()), findings.REPORT
+    reports = staged(
+        t.reports().join(findings.overall_assessment(valid, t.reports()), findings.REPORT)
     )
     # A record without any text stands for an extraction that failed.
     errors = records.filter(is_blank("evidence_text")).select(
@@ -177,10 +177,12 @@ def stage_inputs(t):
     return records, valid, reports, errors
 
 
-def run_documents(t):
-    records, valid, reports, errors = stage_inputs(t)
+def run_documents(t, inputs=None):
+    """Documents of all reports; the goal summaries, one row per goal of a report, are
+    stored, since headers and lists read them."""
+    records, valid, reports, errors = inputs or stage_inputs(t)
     return documents.run_documents(
-        reports, records, findings.goal_summaries(valid), errors, "2024-01-01T12:00:00",
+        reports, records, staged(findings.goal_summaries(valid)), errors, "2024-01-01T12:00:00",
         per_part=50,
     )
 
@@ -232,13 +234,17 @@ def new_folder(t, name: str) -> str:
 
 @register("run_loaded_records", ORACLES["document_records"])
 def run_loaded_records(t):
-    """Records of the latest runs; the runs before them hold other names and are not opened."""
-    docs, root = staged(run_documents(t)), new_folder(t, "runs")
+    """Records of the latest runs; the runs before them hold other names and are not opened.
+    What is in the next store is deleted from the one before it."""
+    inputs = stage_inputs(t)
+    docs, root = staged(run_documents(t, inputs)), new_folder(t, "runs")
+    unstage(inputs[0])
     if docs.isEmpty():  # no run folder at all is an error of the reader
         return document_records(t)
     old = docs.filter("part = 0").withColumn("report_name", F.lit("superseded"))
     documents.write_run_documents(old, root, "20230101_120000")
     documents.write_run_documents(docs, root, RUN_TIME)
+    unstage(docs)
     loaded = runs.load_runs(docs.sparkSession, root)
     both = loaded["valid"].unionByName(loaded["rejected"])
     return both.select(

@@ -10,6 +10,7 @@ from attesta import constants as k
 from attesta import schemas
 from attesta.functions.blocks import attach_by_key
 from attesta.functions.text import preview, slug
+from attesta.staging import staged
 
 REPORT = ["company", "report_year"]
 RECORDS_PER_PART = 5000
@@ -45,7 +46,9 @@ def run_documents(
     ``records``: all records with status. ``errors``: company, report_year,
     message. A report with few records gives one document. Larger reports give
     several parts with the same header and disjoint lists, cut by a hash of the
-    record id, so no task ever holds all records of a large report.
+    record id, so no task ever holds all records of a large report. The headers, one
+    row per report, are stored once: everything below reads them, and records meet a
+    table of known size.
     """
     valid = F.col("validation_status") == "valid"
     counts = records.groupBy(*REPORT).agg(
@@ -53,7 +56,7 @@ def run_documents(
     )
     goals = summaries.groupBy(*REPORT).agg(F.count(F.lit(1)).alias("sdg_count"))
     n_errors = errors.groupBy(*REPORT).agg(F.count(F.lit(1)).alias("error_count"))
-    heads = (
+    heads = staged(
         reports.join(counts, REPORT, "left")
         .join(goals, REPORT, "left")
         .join(n_errors, REPORT, "left")
@@ -152,8 +155,9 @@ def document_json(documents: DataFrame, run_time: str) -> DataFrame:
 
 
 def write_run_documents(documents: DataFrame, root: str, run_time: str) -> None:
-    """Write <root>/run=<run>/document=evidence.json/, one file per part.
+    """Write <root>/run=<run>/document=evidence.json/, one compressed file per part.
 
+    The texts do not move: a task writes the parts that it holds, each to its own file.
     Only the folders of the written runs are replaced, so a rerun is safe.
     """
     (
@@ -161,14 +165,13 @@ def write_run_documents(documents: DataFrame, root: str, run_time: str) -> None:
         .select(
             F.col("run_name").alias("run"),
             F.lit("evidence.json").alias("document"),
-            "part",
             "value",
         )
-        .repartition("run", "part")
         .select("run", "document", "value")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", 1)
+        .option("compression", "gzip")
         .partitionBy("run", "document")
         .text(root)
     )

@@ -61,18 +61,21 @@ def document_paths(spark: SparkSession, root: str, document: str) -> DataFrame:
 
 
 def _latest_paths(
-    paths: DataFrame, companies: list[str] | None, without: list[str] = ()
+    paths: DataFrame, document: str, companies: list[str] | None, without: list[str] = ()
 ) -> list[str]:
-    """Files of the latest runs. A list on the driver, as any file listing is."""
+    """Documents of the latest runs, each a file or a folder of part files. A list on
+    the driver with one entry per run, however many parts it has."""
+    whole = F.regexp_extract("path", f"^(.*/[^/]*{re.escape(document)})(?:/|$)", 1)
     usable = paths.filter(~F.col("run_name").isin(list(without))) if without else paths
     latest = latest_runs(usable.select("run_name").distinct(), companies)
-    return [r["path"] for r in usable.join(latest, "run_name", "left_semi").select("path").collect()]
+    chosen = usable.join(latest, "run_name", "left_semi").select(whole.alias("path")).distinct()
+    return [r["path"] for r in chosen.collect()]
 
 
 def read_run_documents(
     spark: SparkSession, root: str, document: str = "evidence.json", paths: list[str] | None = None
 ) -> DataFrame:
-    """All run documents under a folder, or those of the given files, in one job.
+    """All run documents under a folder, or those of the given files and folders, in one job.
 
     A document is one file, or a folder of part files that carry the same
     header and disjoint lists. A corrupt file gives a row without company; see
@@ -181,7 +184,7 @@ def latest_documents(
     unreadable: dict[str, str] = {}
     readable: list[str] = []
     while True:
-        chosen = _latest_paths(paths, companies, list(unreadable))
+        chosen = _latest_paths(paths, "evidence.json", companies, list(unreadable))
         if not chosen:
             raise FileNotFoundError(f"no readable runs under {root}")
         opened = sorted(set(chosen) - set(readable))
@@ -212,14 +215,14 @@ def read_report_texts(
 ) -> DataFrame:
     """Report texts of the latest runs that have one, one row per text file."""
     paths = document_paths(spark, root, document)
-    chosen = _latest_paths(paths, companies)
+    chosen = _latest_paths(paths, document, companies)
     if not chosen:
         return spark.createDataFrame(
             [], "run_name string, report_file string, text string, company string, "
             "report_year int, run_time string"
         )
     texts = (
-        spark.read.text(chosen, wholetext=True)
+        spark.read.option("recursiveFileLookup", True).text(chosen, wholetext=True)
         .select(F.col("_metadata.file_path").alias("report_file"), F.col("value").alias("text"))
         .withColumn("run_name", run_name_of(F.col("report_file")))
     )

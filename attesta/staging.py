@@ -35,4 +35,15 @@ def staged(df: DataFrame, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or f"{shared_folder(spark)}/attesta-staged-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    result = spark.read.schema(df.schema).parquet(path)
+    result.staged_paths = [path]
+    return result
+
+
+def unstage(df: DataFrame, *more: DataFrame) -> None:
+    """Delete the files of staged frames that nothing reads any more."""
+    jvm = df.sparkSession._jvm
+    for frame in (df, *more):
+        for name in frame.staged_paths:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

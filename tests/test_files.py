@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from attesta import schemas
 from attesta.operators import findings, validation
 from attesta.plans.catalog.files import report_lines, run_documents
 from attesta.plans.driver_tables import Tables
@@ -233,3 +234,25 @@ def test_superseded_runs_are_not_opened(spark, tmp_path):
     docs, bad = runs.latest_documents(spark, str(tmp_path))
     files = docs.inputFiles()
     assert bad == [] and len(files) == 1 and "20240102" in files[0]
+
+
+def test_parts_are_compressed_and_listed_by_run(spark, tmp_path):
+    """Texts are stored compressed, one file per part, and a run is one path however many parts it has."""
+    import glob
+
+    body = "'" + "x" * 20_000 + "'"
+    docs = spark.sql(
+        "SELECT 'Acme' AS company, 2020 AS report_year, CAST(id AS INT) AS part, 'R' AS report_name,"
+        f" {body} AS overall_assessment, CAST(array() AS {schemas.RUN_DOCUMENT['sdg_summaries'].dataType.simpleString()}) AS sdg_summaries,"
+        f" CAST(array() AS {schemas.RUN_DOCUMENT['validated_evidence'].dataType.simpleString()}) AS validated_evidence,"
+        f" CAST(array() AS {schemas.RUN_DOCUMENT['rejected_evidence'].dataType.simpleString()}) AS rejected_evidence,"
+        " CAST(array() AS array<string>) AS pipeline_errors, named_struct('generated_at', 't') AS metadata FROM range(30)"
+    )
+    root = str(tmp_path / "runs")
+    documents.write_run_documents(docs, root, "20240101_120000")
+    files = glob.glob(f"{root}/*/*/part-*")
+    assert len(files) == 30 and sum(os.path.getsize(f) for f in files) < 30 * 2000
+    paths = runs.document_paths(spark, root, "evidence.json")
+    assert len(runs._latest_paths(paths, "evidence.json", None)) == 1
+    found, bad = runs.latest_documents(spark, root)
+    assert found.count() == 30 and not bad
