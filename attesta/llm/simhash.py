@@ -40,6 +40,15 @@ class SimHashParams:
     bucket: int = 64  # keys with more fingerprints are split by one-bit neighbours
 
 
+def majority(hashes: np.ndarray) -> int:
+    """SimHash of 64-bit hashes as a signed number; 0 without hashes."""
+    ones = np.zeros(64, np.int64)
+    for start in range(0, len(hashes), BLOCK):
+        part = hashes[start : start + BLOCK].astype(">u8")
+        ones += np.unpackbits(part.view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes)).view(">i8")[0])
+
+
 def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     """SimHash as a signed 64-bit number; 0 for a text without words."""
     words = text.encode("utf-8", "replace").lower().split()
@@ -138,7 +147,9 @@ def links(nodes: DataFrame, params: SimHashParams) -> DataFrame:
         .agg(F.collect_list("fp").alias("fps"))
     )
     large = shared.filter(F.col("n") > params.bucket).select("fp").distinct()
-    return _bucket_links(small).union(_neighbour_links(large))
+    found = _bucket_links(small).union(_neighbour_links(large))
+    found.staged_paths = shared.staged_paths
+    return found
 
 
 def near_duplicates(docs: DataFrame, params: SimHashParams | None = None) -> DataFrame:
