@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm import words
-from attesta.llm.common import id_text, ids_of, lean, small_batches, staged, text_of
+from attesta.llm.common import give_back, id_text, ids_of, lean, small_batches, staged, text_of
 
 
 @dataclass(frozen=True)
@@ -273,6 +273,7 @@ def encode_documents(docs: DataFrame, params: BpeParams | None = None, keep_ids:
             out.append(row + ((ids.astype(np.int32).tolist(), decoded) if keep_ids else ()))
         result = pd.DataFrame(out, columns=names)
         result["doc_id"] = ids_of(result["doc_id"])
+        give_back()
         return result
 
     kept = blocks.select("block", F.col("doc_ids").cast("array<string>").alias("doc_ids"), "n_words", "places", "of_bucket")
