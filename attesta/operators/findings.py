@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -11,6 +13,7 @@ from attesta.functions.blocks import first_n
 from attesta.functions.numbers import percent_half_even, round_binary
 from attesta.functions.text import lookup, strip
 from attesta.params import FindingsParams
+from attesta.staging import staged
 
 REPORT = ["company", "report_year"]
 POSITIONS = 1 << 31  # more than the entries that a list can have
@@ -164,10 +167,20 @@ def goal_summaries(
     keys: list[str] = REPORT,
     order: list[str] | None = None,
     params: FindingsParams = FindingsParams(),
+    stage: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
-    """Complete summary per report and goal, with the summary sentence."""
+    """Complete summary per report and goal, with the summary sentence.
+
+    Measures, pages and tags each read the records, so the columns they need are stored
+    once; records that are stored already can pass a ``stage`` that does nothing.
+    """
     order = record_order(scored, order)
     group = [*keys, "sdg"]
+    needed = [
+        *keys, *order, "candidate_sdgs", "computed_score", "implementation_stage", "page_number",
+        "evidence_tags",
+    ]
+    scored = stage(scored.select(*dict.fromkeys(needed)))
     joined = (
         goal_measures(scored, keys)
         .join(key_pages(scored, keys, order, params), group, "left")

@@ -182,8 +182,8 @@ def run_documents(t, inputs=None):
     stored, since headers and lists read them."""
     records, valid, reports, errors = inputs or stage_inputs(t)
     return documents.run_documents(
-        reports, records, staged(findings.goal_summaries(valid)), errors, "2024-01-01T12:00:00",
-        per_part=50,
+        reports, records, staged(findings.goal_summaries(valid, stage=lambda stored: stored)), errors,
+        "2024-01-01T12:00:00", per_part=50,
     )
 
 

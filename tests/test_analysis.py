@@ -354,3 +354,11 @@ def test_evaluation_moves_lines_by_order_only(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     moved = {key.split("#")[0] for key in plan.split("Exchange hashpartitioning(")[1:]}
     assert moved == {"l_orderkey", "o_orderkey", "o_custkey", "c_custkey", "c_nationkey", "n_nationkey"}
+
+
+def test_goal_summaries_read_the_records_once(spark):
+    """Measures, pages and tags share one stored copy of the records' columns."""
+    from attesta.plans.driver_tables import Tables
+
+    summaries = findings.goal_summaries(Tables(spark, "/root/testdata/sf0.001").scored())
+    assert "lineitem" not in summaries._jdf.queryExecution().executedPlan().toString()
