@@ -89,11 +89,17 @@ def quantiles_from_sketches(
 
 
 def rank_error(values: DataFrame, quantiles: DataFrame, value: str, keys: Sequence[str] = ("company",)) -> DataFrame:
-    """(keys, prob, n, error): how far each quantile's rank is from its probability."""
-    met = values.select(*keys, F.col(value).cast("double").alias("v")).join(quantiles, list(keys))
+    """(keys, prob, n, error): how far each quantile's rank is from its probability.
+    Equal values are counted before they meet the quantiles."""
+    counted = values.groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("m"))
+    met = counted.join(quantiles, list(keys))
+
+    def rows_where(condition):
+        return F.sum(F.when(condition, F.col("m")).otherwise(0))
+
     ranks = met.groupBy(*keys, "prob").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") < F.col("quantile")).alias("below"),
-        F.count_if(F.col("v") <= F.col("quantile")).alias("upto"),
+        F.sum("m").alias("n"), rows_where(F.col("v") < F.col("quantile")).alias("below"),
+        rows_where(F.col("v") <= F.col("quantile")).alias("upto"),
     )
     low, high = F.col("below") / F.col("n"), F.col("upto") / F.col("n")
     error = F.greatest(low - F.col("prob"), F.col("prob") - high, F.lit(0.0))

@@ -617,10 +617,14 @@ def comparison_lines(t):
 CUT = 1997
 
 
-def stored_sums(t):
+def stored_scores(t):
+    """The columns that are summed, stored once: each run and the ranks read them."""
+    return staged(t.scored().select("company", "report_year", "confidence", "computed_score"))
+
+
+def stored_sums(t, scored):
     """Sums of the earlier years, then of the later ones, one of them stored twice."""
     path = new_folder(t, "sums")
-    scored = t.scored().select("company", "report_year", "confidence", "computed_score")
     for part in (F.col("report_year") < CUT, F.col("report_year") >= CUT, F.col("report_year") == CUT):
         increments.store_years(increments.year_sums(scored.filter(part)), path)
     return increments.stored_years(t.read("nation").sparkSession, path)
@@ -628,7 +632,7 @@ def stored_sums(t):
 
 @register("table_calibration_stored", ORACLES["table_calibration"])
 def table_calibration_stored(t):
-    fit = increments.fit_from_sums(stored_sums(t))
+    fit = increments.fit_from_sums(stored_sums(t, stored_scores(t)))
     return fit.select(
         "company", "n",
         *[F.round(c, 6).alias(c) for c in ("slope", "intercept", "correlation", "r2", "residual_se")],
@@ -643,6 +647,7 @@ def table_calibration_stored(t):
 )
 def table_score_sketches(t):
     """Quantiles of the score from merged sketches: ranks within 2 % of the asked ones."""
-    found = increments.quantiles_from_sketches(stored_sums(t), [0.1, 0.25, 0.5, 0.75, 0.9])
-    off = increments.rank_error(t.scored(), found, "computed_score")
+    scored = stored_scores(t)
+    found = increments.quantiles_from_sketches(stored_sums(t, scored), [0.1, 0.25, 0.5, 0.75, 0.9])
+    off = increments.rank_error(scored, found, "computed_score")
     return off.select("company", "prob", "n", (F.col("error") <= 0.02).alias("within"))

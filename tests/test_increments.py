@@ -69,3 +69,23 @@ def test_merged_sketches_keep_their_rank_error(spark, path, size, bound):
     found = increments.quantiles_from_sketches(increments.stored_years(spark, path), [0.01, 0.25, 0.5, 0.9], size=size)
     errors = increments.rank_error(frame, found, "computed_score").collect()
     assert len(errors) == 4 and all(r.error <= bound and r.n == 20_000 for r in errors)
+
+
+def test_equal_values_meet_the_quantiles_once(spark):
+    values = spark.createDataFrame([("a", 1)] * 6 + [("a", 2)] * 3 + [("a", None), ("b", 5)], "company string, v int")
+    asked = spark.createDataFrame(
+        [("a", 0.25, 1.0), ("a", 0.5, 2.0), ("a", 0.9, 3.0)], "company string, prob double, quantile double"
+    )
+    errors = {r.prob: (r.n, round(r.error, 6)) for r in increments.rank_error(values, asked, "v").collect()}
+    assert errors == {0.25: (10, 0.0), 0.5: (10, 0.1), 0.9: (10, 0.0)}
+
+
+def test_stored_runs_and_ranks_read_the_scores_once(spark, monkeypatch):
+    """Four readers of the scores (three runs, the ranks) share one stored copy."""
+    from attesta.plans.catalog import QUERIES, files
+
+    made, first = [], files.stored_scores
+    monkeypatch.setattr(files, "stored_scores", lambda t: made.append(first(t)) or made[-1])
+    sketches = QUERIES["table_score_sketches"](spark, "/root/testdata/sf0.001")
+    assert len(made) == 1
+    assert "lineitem" not in sketches._jdf.queryExecution().executedPlan().toString()
