@@ -20,6 +20,7 @@ CUT_YEAR = 1998
 PERIOD = PeriodParams(cut_year=CUT_YEAR)
 CHUNKS = ChunkParams(max_tokens=40, overlap_tokens=8, min_tokens=4, block_pages=16)
 MODELS = ["m1", "m2", "m3"]
+LINES_PER_TASK = 150_000
 LEXICON = {
     "en": ["the", "tion", "ing", "and", "hed"],
     "fr": ["eau", "ment", "elle", "que", "la"],
@@ -43,12 +44,23 @@ class Tables:
     def order_lines(self) -> DataFrame:
         """Order lines with their order, customer and nation. The lines move once, by
         order; what groups them by order does not move them again."""
+        return self._with_orders(self.read("lineitem"))
+
+    def lines_by_order(self) -> DataFrame:
+        """Order lines in tasks of a bounded number of lines, for what sorts the lines of a
+        task. Spark sizes tasks by the bytes that move, but a line becomes a far wider
+        record for each model, so those tasks spill."""
+        lines = self.read("lineitem")
+        parts = max(self.spark.sparkContext.defaultParallelism, -(-lines.count() // LINES_PER_TASK))
+        return self._with_orders(lines.repartition(parts, "l_orderkey"))
+
+    def _with_orders(self, lines: DataFrame) -> DataFrame:
         orders = (
             self.read("orders")
             .join(self.read("customer"), F.expr("o_custkey = c_custkey"))
             .join(self.read("nation"), F.expr("c_nationkey = n_nationkey"))
         )
-        return self.read("lineitem").join(orders, F.expr("l_orderkey = o_orderkey"))
+        return lines.join(orders, F.expr("l_orderkey = o_orderkey"))
 
     def evidence(self) -> DataFrame:
         return self.order_lines().selectExpr(*EVIDENCE_COLUMNS)
@@ -96,7 +108,7 @@ class Tables:
 
     def items(self) -> DataFrame:
         """One item per order: its first record is the expected one."""
-        lines = self.order_lines().selectExpr("l_orderkey", *EVIDENCE_COLUMNS)
+        lines = self.lines_by_order().selectExpr("l_orderkey", *EVIDENCE_COLUMNS)
         expected = F.struct(
             "candidate_sdgs", "evidence_tags", "implementation_stage", "quantitative_support",
             "oversight_support", "company",
@@ -123,7 +135,7 @@ class Tables:
     def predictions(self) -> DataFrame:
         """Records of three models: each model shifts the stage and drops the
         quantitative flag of some records."""
-        lines = self.order_lines().selectExpr(
+        lines = self.lines_by_order().selectExpr(
             "l_orderkey AS item_id", "l_partkey", *EVIDENCE_COLUMNS
         )
         changed = F.col("l_partkey") % (F.lit(5) + F.col("model_no")) == 0

@@ -362,3 +362,17 @@ def test_goal_summaries_read_the_records_once(spark):
 
     summaries = findings.goal_summaries(Tables(spark, "/root/testdata/sf0.001").scored())
     assert "lineitem" not in summaries._jdf.queryExecution().executedPlan().toString()
+
+
+def test_predictions_lie_in_tasks_of_bounded_size(spark, monkeypatch):
+    """What is sorted by item does not grow with the table: more lines, more tasks."""
+    from attesta.plans import driver_tables
+
+    monkeypatch.setattr(driver_tables, "LINES_PER_TASK", 100, raising=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        predictions = driver_tables.Tables(spark, "/root/testdata/sf0.001").predictions()
+        largest = predictions.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert largest <= 3 * 100 * len(driver_tables.MODELS)
