@@ -134,3 +134,25 @@ def test_pages_and_headings(spark):
         (2, 0), (3, 3),
     ]
     assert pages.with_headings(source, pages.detect_headings(df)).count() == 3
+
+
+def test_headings_sort_only_the_first_spans(spark, monkeypatch):
+    """Long pages are cut near their top before anything is sorted; the first spans of
+    every page stay, whatever their numbers are."""
+    numbers = {
+        1: range(5000), 2: range(-700, 3000, 16), 3: [7] * 4, 4: range(9),
+        5: [5, 100, *range(2000, 4000)], 6: [None, *range(1000)], 7: range(0, 90_000, 30),
+    }
+    rows = [("r", p, i, 10.0, "TOP WORD") for p, found in numbers.items() for i in found]
+    rows += [("r", 8, i, 10.0, " " if i < 400 else "late") for i in range(2000)]
+    spans = spark.createDataFrame(rows, "report_id string, page_number int, span_no int, size double, text string")
+    given, first_n = [], pages.first_n
+    monkeypatch.setattr(pages, "first_n", lambda df, *rest: given.append(df) or first_n(df, *rest))
+    assert pages.detect_headings(spans).count() == 7
+    near_top = [(r.page_number, r.span_no) for r in given[0].collect()]
+    assert len(near_top) < 1000
+    filled = [(p, i) for _, p, i, _, text in rows if text.strip()]
+    for page in {p for p, _ in filled}:
+        def top(found):
+            return sorted((i for p, i in found if p == page), key=lambda i: (i is not None, i or 0))[:10]
+        assert top(near_top) == top(filled)
