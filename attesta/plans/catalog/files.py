@@ -164,8 +164,9 @@ def run_progress(t):
 
 
 def stage_inputs(t):
-    """Records computed once for all tables of a report, reports and errors."""
-    records = staged(t.all_scored())
+    """Records computed once for all tables of a report, reports and errors. Ids and texts
+    take most of the room, so they are stored with a codec that codes single characters."""
+    records = staged(t.all_scored(), codec="zstd")
     valid = validation.valid_only(records)
     reports = staged(
         t.reports().join(findings.overall_assessment(valid, t.reports()), findings.REPORT)

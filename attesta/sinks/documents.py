@@ -10,10 +10,11 @@ from attesta import constants as k
 from attesta import schemas
 from attesta.functions.blocks import attach_by_key
 from attesta.functions.text import preview, slug
-from attesta.staging import staged
+from attesta.staging import shuffles_deleted, staged
 
 REPORT = ["company", "report_year"]
 RECORDS_PER_PART = 5000
+RECORDS_PER_TASK = 50_000
 
 
 def run_key(company, year, run_time: str) -> Column:
@@ -21,17 +22,6 @@ def run_key(company, year, run_time: str) -> Column:
     return F.concat_ws("_", slug(company), year.cast("string"), F.lit(run_time))
 
 
-def as_record(df: DataFrame) -> Column:
-    """Struct with the record schema; columns the frame lacks become NULL."""
-    have = set(df.columns)
-    return F.struct(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schemas.EVIDENCE
-        ]
-    )
-
-
 def run_documents(
     reports: DataFrame,
     records: DataFrame,
@@ -42,50 +32,24 @@ def run_documents(
 ) -> DataFrame:
     """Documents with header, summaries, valid and rejected records, errors.
 
-    ``reports``: company, report_year, report_name, overall_assessment.
-    ``records``: all records with status. ``errors``: company, report_year,
+    ``reports``: company, report_year, report_name, overall_assessment; one row per
+    report. ``records``: all records with status. ``errors``: company, report_year,
     message. A report with few records gives one document. Larger reports give
     several parts with the same header and disjoint lists, cut by a hash of the
-    record id, so no task ever holds all records of a large report. The headers, one
-    row per report, are stored once: everything below reads them, and records meet a
-    table of known size.
+    record id, so no task ever holds all records of a large report. Small parts that
+    follow each other have the same ``file_no`` and lie in one task.
+
+    Headers, records and messages move once, in one table to tasks of a bounded number
+    of rows, and records only with the columns that they have; the full record is formed
+    afterwards. The headers, one row per report, are stored once: everything below reads
+    them, and records meet a table of known size.
     """
     valid = F.col("validation_status") == "valid"
     counts = records.groupBy(*REPORT).agg(
         F.count_if(valid).alias("valid_count"), F.count_if(~valid).alias("rejected_count")
     )
-    goals = summaries.groupBy(*REPORT).agg(F.count(F.lit(1)).alias("sdg_count"))
-    n_errors = errors.groupBy(*REPORT).agg(F.count(F.lit(1)).alias("error_count"))
-    heads = staged(
-        reports.join(counts, REPORT, "left")
-        .join(goals, REPORT, "left")
-        .join(n_errors, REPORT, "left")
-        .fillna(0, ["valid_count", "rejected_count", "sdg_count", "error_count"])
-        .withColumn(
-            "n_parts",
-            F.greatest(
-                F.lit(1),
-                F.ceil(
-                    (F.col("valid_count") + F.col("rejected_count") + F.col("error_count"))
-                    / F.lit(per_part)
-                ),
-            ).cast("int"),
-        )
-    )
-
-    def parted(df: DataFrame, spread: Column) -> DataFrame:
-        sized = attach_by_key(df, heads.select(*REPORT, "n_parts"), REPORT, spread)
-        return sized.withColumn("part", F.pmod(F.xxhash64(spread), F.col("n_parts")).cast("int"))
-
-    ordered = F.struct("page_number", "evidence_id", as_record(records).alias("r"))
-    lists = parted(records, F.col("evidence_id")).groupBy(*REPORT, "part").agg(
-        _records_in_order(F.collect_list(F.when(valid, ordered))).alias("validated_evidence"),
-        _records_in_order(F.collect_list(F.when(~valid, ordered))).alias("rejected_evidence"),
-    )
-    messages = parted(errors, F.struct(*errors.columns)).groupBy(*REPORT, "part").agg(
-        F.array_sort(F.collect_list("message")).alias("pipeline_errors")
-    )
-    goal_lists = summaries.groupBy(*REPORT).agg(
+    goals = summaries.groupBy(*REPORT).agg(
+        F.count(F.lit(1)).alias("sdg_count"),
         F.transform(
             F.array_sort(
                 F.collect_list(
@@ -96,40 +60,118 @@ def run_documents(
                 )
             ),
             lambda x: x["s"],
-        ).alias("sdg_summaries")
+        ).alias("sdg_summaries"),
     )
-    parts = heads.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
-    joined = (
-        parts.join(goal_lists, REPORT, "left")
-        .join(lists, [*REPORT, "part"], "left")
-        .join(messages, [*REPORT, "part"], "left")
+    n_errors = errors.groupBy(*REPORT).agg(F.count(F.lit(1)).alias("error_count"))
+    n_rows = F.col("valid_count") + F.col("rejected_count") + F.col("error_count")
+    heads = staged(
+        reports.join(counts, REPORT, "left")
+        .join(goals, REPORT, "left")
+        .join(n_errors, REPORT, "left")
+        .fillna(0, ["valid_count", "rejected_count", "sdg_count", "error_count"])
+        .withColumn("n_parts", F.greatest(F.lit(1), F.ceil(n_rows / F.lit(per_part))).cast("int"))
     )
+    rows = heads.agg(F.sum(n_rows)).first()[0] or 0
+    tasks = max(records.sparkSession.sparkContext.defaultParallelism, -(-rows // RECORDS_PER_TASK))
+    file_no = F.floor(F.col("part") / F.lit(max(1, RECORDS_PER_PART // per_part))).cast("int").alias("file_no")
+
+    def parted(df: DataFrame, spread: Column, name: str, value: Column) -> DataFrame:
+        sized = attach_by_key(df, heads.select(*REPORT, "n_parts"), REPORT, spread)
+        placed = sized.withColumn("part", F.pmod(F.xxhash64(spread), F.col("n_parts")).cast("int"))
+        return placed.select(*REPORT, file_no, "part", value.alias(name))
+
     first = F.col("part") == 0
-    return joined.select(
-        *REPORT,
-        "part",
+    header = F.struct(
         "n_parts",
         "report_name",
         F.coalesce("overall_assessment", F.lit("")).alias("overall_assessment"),
         F.when(first, F.col("sdg_summaries")).alias("sdg_summaries"),
-        "validated_evidence",
-        "rejected_evidence",
+        "valid_count",
+        "rejected_count",
+        "sdg_count",
+    )
+    parts = heads.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))).select(
+        *REPORT, file_no, "part", header.alias("head")
+    )
+    # Sorted by page, then id; company and year are those of the part.
+    own = ["page_number", "evidence_id"]
+    have = [f.name for f in schemas.EVIDENCE if f.name in records.columns and f.name not in (*REPORT, *own)]
+    packed = F.struct("page_number", _packed_id(F.col("evidence_id")).alias("id"), *have)
+    listed = parted(records, F.col("evidence_id"), "r", packed)
+    messages = parted(errors, F.struct(*errors.columns), "message", F.col("message"))
+    moved = (
+        parts.unionByName(listed, allowMissingColumns=True)
+        .unionByName(messages, allowMissingColumns=True)
+        .repartition(tasks, *REPORT, "file_no")
+        .withColumn(
+            "r",
+            F.when(
+                F.col("r").isNotNull(),
+                F.struct(
+                    "r.page_number", _unpacked_id(F.col("r.id")).alias("evidence_id"),
+                    *[F.col(f"r.{name}") for name in have],
+                ),
+            ),
+        )
+    )
+    is_valid = F.col("r.validation_status") == "valid"
+    documents = moved.groupBy(*REPORT, "file_no", "part").agg(
+        F.first("head", ignorenulls=True).alias("head"),
+        F.array_sort(F.collect_list(F.when(is_valid, F.col("r")))).alias("validated_evidence"),
+        F.array_sort(F.collect_list(F.when(~is_valid, F.col("r")))).alias("rejected_evidence"),
+        F.array_sort(F.collect_list("message")).alias("pipeline_errors"),
+    )
+
+    def in_full(name: str) -> Column:
+        return F.transform(name, lambda r: _as_record(r, {*own, *have})).alias(name)
+
+    return documents.select(
+        *REPORT,
+        "part",
+        "head.n_parts",
+        "head.report_name",
+        "head.overall_assessment",
+        "head.sdg_summaries",
+        in_full("validated_evidence"),
+        in_full("rejected_evidence"),
         "pipeline_errors",
         F.struct(
             F.lit(generated_at).alias("generated_at"),
-            F.col("valid_count"),
-            F.col("rejected_count"),
-            F.col("sdg_count"),
+            F.col("head.valid_count"),
+            F.col("head.rejected_count"),
+            F.col("head.sdg_count"),
         ).alias("metadata"),
+        "file_no",
     )
 
 
-def _records_in_order(listed: Column) -> Column:
-    return F.transform(F.array_sort(listed), lambda x: x["r"])
+def _packed_id(name: Column) -> Column:
+    """An id with its characters as bytes, or half as many if they are hex digits."""
+    is_hex = F.coalesce(F.lower(F.hex(F.unhex(name))) == name, F.lit(False))
+    return F.struct(
+        is_hex.alias("is_hex"), F.when(is_hex, F.unhex(name)).otherwise(name.cast("binary")).alias("bytes")
+    )
+
+
+def _unpacked_id(packed: Column) -> Column:
+    return F.when(packed["is_hex"], F.lower(F.hex(packed["bytes"]))).otherwise(packed["bytes"].cast("string"))
+
+
+def _as_record(r: Column, have: set[str]) -> Column:
+    """Struct with the record schema; company and year are the row's, other fields that
+    ``r`` lacks become NULL."""
+
+    def field(name: str) -> Column:
+        if name in REPORT:
+            return F.col(name)
+        return r[name] if name in have else F.lit(None)
+
+    return F.struct(*[field(f.name).cast(f.dataType).alias(f.name) for f in schemas.EVIDENCE])
 
 
 def document_json(documents: DataFrame, run_time: str) -> DataFrame:
-    """Run key, part and the JSON text; missing lists are written as []."""
+    """Run key, part and the JSON text; missing lists are written as []. ``file_no`` is
+    kept where the documents have it."""
     filled = documents.withColumns(
         {
             name: F.coalesce(F.col(name), F.array().cast(documents.schema[name].dataType))
@@ -151,30 +193,38 @@ def document_json(documents: DataFrame, run_time: str) -> DataFrame:
         "report_year",
         "part",
         body.alias("value"),
+        *[name for name in ("file_no",) if name in documents.columns],
     )
 
 
 def write_run_documents(documents: DataFrame, root: str, run_time: str) -> None:
-    """Write <root>/run=<run>/document=evidence.json/, one compressed file per part.
+    """Write <root>/run=<run>/document=evidence.json/, compressed.
 
-    The texts do not move: a task writes the parts that it holds, each to its own file.
+    A file holds one part, or the parts of one ``file_no`` as a JSON array; the reader
+    takes both. The texts do not move: a task writes the parts that it holds.
     Only the folders of the written runs are replaced, so a rerun is safe.
     """
-    (
-        document_json(documents, run_time)
-        .select(
-            F.col("run_name").alias("run"),
-            F.lit("evidence.json").alias("document"),
-            "value",
+    texts = document_json(documents, run_time)
+    if "file_no" in texts.columns:
+        in_order = F.transform(
+            F.array_sort(F.collect_list(F.struct("part", "value"))), lambda x: x["value"]
+        )
+        array = F.concat(F.lit("["), F.array_join("texts", ",\n"), F.lit("]"))
+        texts = (
+            texts.groupBy(*REPORT, "file_no", "run_name")
+            .agg(in_order.alias("texts"))
+            .withColumn("value", F.when(F.size("texts") == 1, F.col("texts")[0]).otherwise(array))
+        )
+    with shuffles_deleted(documents.sparkSession):
+        (
+            texts.select(F.col("run_name").alias("run"), F.lit("evidence.json").alias("document"), "value")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", 1)
+            .option("compression", "gzip")
+            .partitionBy("run", "document")
+            .text(root)
         )
-        .select("run", "document", "value")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", 1)
-        .option("compression", "gzip")
-        .partitionBy("run", "document")
-        .text(root)
-    )
 
 
 def flat_evidence(
