@@ -236,16 +236,16 @@ def new_folder(t, name: str) -> str:
 @register("run_loaded_records", ORACLES["document_records"])
 def run_loaded_records(t):
     """Records of the latest runs; the runs before them hold other names and are not opened.
-    What is in the next store is deleted from the one before it."""
+    Documents go from the stored records to the files without a store in between; records
+    are deleted when the files hold them."""
     inputs = stage_inputs(t)
-    docs, root = staged(run_documents(t, inputs)), new_folder(t, "runs")
-    unstage(inputs[0])
-    if docs.isEmpty():  # no run folder at all is an error of the reader
+    if inputs[2].isEmpty():  # no run folder at all is an error of the reader
         return document_records(t)
+    docs, root = run_documents(t, inputs), new_folder(t, "runs")
     old = docs.filter("part = 0").withColumn("report_name", F.lit("superseded"))
     documents.write_run_documents(old, root, "20230101_120000")
     documents.write_run_documents(docs, root, RUN_TIME)
-    unstage(docs)
+    unstage(inputs[0])
     loaded = runs.load_runs(docs.sparkSession, root)
     both = loaded["valid"].unionByName(loaded["rejected"])
     return both.select(

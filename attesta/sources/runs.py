@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from attesta import schemas
 from attesta.functions.blocks import first_n
+from attesta.staging import staged
 
 CORRUPT = "corrupt_text"
 RUN_NAME = r"(?i)^(.+)_(\d{4})_(\d{8}_\d{6})$"
@@ -77,8 +81,8 @@ def read_run_documents(
 ) -> DataFrame:
     """All run documents under a folder, or those of the given files and folders, in one job.
 
-    A document is one file, or a folder of part files that carry the same
-    header and disjoint lists. A corrupt file gives a row without company; see
+    A document is one file, or a folder of files with one part each or an array of
+    parts, which carry the same header and disjoint lists. A corrupt file gives a row without company; see
     ``unreadable_documents``.
     """
     layout = StructType([*schemas.RUN_DOCUMENT.fields, StructField(CORRUPT, StringType())])
@@ -94,9 +98,17 @@ def read_run_documents(
     )
 
 
-def pick_latest(documents: DataFrame, companies: list[str] | None = None) -> DataFrame:
-    """Documents of the latest run per company and year."""
-    latest = latest_runs(documents.select("run_name").distinct(), companies)
+def pick_latest(
+    documents: DataFrame, companies: list[str] | None = None, names: list[str] | None = None
+) -> DataFrame:
+    """Documents of the latest run per company and year. With the ``names`` of their runs
+    the table of latest runs is known to be small, so documents need not move to meet it."""
+    if names is None:
+        named = documents.select("run_name").distinct()
+    else:
+        listed = F.from_json(F.lit(json.dumps(names)), "array<string>")
+        named = documents.sparkSession.range(1).select(F.explode(listed).alias("run_name"))
+    latest = latest_runs(named, companies)
     return documents.join(
         latest.select(
             "run_name", F.col("company").alias("run_company"), F.col("report_year").alias("run_year")
@@ -170,43 +182,67 @@ def unreadable_documents(documents: DataFrame) -> DataFrame:
     return documents.filter(bad).select("run_name", "path")
 
 
-def latest_documents(
-    spark: SparkSession, root: str, companies: list[str] | None = None
-) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """Documents of the latest readable run per company and year, and the
-    (run, file) pairs that could not be read.
-
-    The latest runs are chosen from the file names, so superseded runs are not
-    opened. A run with an unreadable file gives way to the one before it; files that
-    were found readable are not read again to look for that.
+def _opened(
+    spark: SparkSession, root: str, companies: list[str] | None, keep: Callable[[DataFrame], DataFrame]
+) -> tuple[list[str], list[DataFrame], dict[str, str]]:
+    """Paths of the latest readable runs, what was read to find them, and run and file
+    of the unreadable ones. Each file is opened in one frame, to which ``keep`` is applied.
     """
     paths = document_paths(spark, root, "evidence.json")
     unreadable: dict[str, str] = {}
     readable: list[str] = []
+    frames: list[DataFrame] = []
     while True:
         chosen = _latest_paths(paths, "evidence.json", companies, list(unreadable))
         if not chosen:
             raise FileNotFoundError(f"no readable runs under {root}")
         opened = sorted(set(chosen) - set(readable))
-        bad = unreadable_documents(read_run_documents(spark, root, paths=opened)).collect() if opened else []
+        bad = []
+        if opened:
+            frames.append(keep(read_run_documents(spark, root, paths=opened)))
+            bad = unreadable_documents(frames[-1]).collect()
         if not bad:
-            return pick_latest(read_run_documents(spark, root, paths=chosen), companies), sorted(unreadable.items())
+            return chosen, frames, unreadable
         unreadable |= {r["run_name"]: r["path"] for r in bad}
         readable += [path for path in opened if _run_of(path) not in unreadable]
 
 
-def load_runs(
+def latest_documents(
     spark: SparkSession, root: str, companies: list[str] | None = None
+) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Documents of the latest readable run per company and year, and the
+    (run, file) pairs that could not be read.
+
+    The latest runs are chosen from the file names, so superseded runs are not
+    opened. A run with an unreadable file gives way to the one before it; files that
+    were found readable are not read again to look for that.
+    """
+    chosen, _, unreadable = _opened(spark, root, companies, lambda documents: documents)
+    return pick_latest(read_run_documents(spark, root, paths=chosen), companies), sorted(unreadable.items())
+
+
+def load_runs(
+    spark: SparkSession,
+    root: str,
+    companies: list[str] | None = None,
+    stage: Callable[[DataFrame], DataFrame] = staged,
 ) -> dict[str, DataFrame]:
     """Tables of all latest readable runs, and of the files that could not be
-    read; an error when there is nothing to load."""
-    documents, bad = latest_documents(spark, root, companies)
+    read; an error when there is nothing to load.
+
+    Every table reads the documents, so a file is parsed once and its content stored."""
+    _, frames, unreadable = _opened(spark, root, companies, stage)
+    documents = reduce(DataFrame.unionByName, frames)
+    if unreadable:
+        documents = documents.filter(~F.col("run_name").isin(list(unreadable)))
+    names = [r["run_name"] for r in documents.select("run_name").distinct().collect()]
+    documents = pick_latest(documents, companies, names)
     return {
         "runs": run_metadata(documents),
         "valid": run_valid(documents),
         "rejected": run_rejected(documents),
         "summaries": run_goal_summaries(documents),
-        "unreadable": spark.createDataFrame(bad, "run_name string, path string"),
+        "unreadable": spark.createDataFrame(sorted(unreadable.items()), "run_name string, path string"),
     }
 
 
