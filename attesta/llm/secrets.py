@@ -10,7 +10,7 @@ A model has two parts: the class of a character (upper case, lower case, digit,
 given the classes of the two before it, and the character given its class and the
 character before it, smoothed towards the character's share of its class.
 
-The models are counted from labelled samples. Random: digests in several alphabets.
+The models are counted from labelled strings of all documents. Random: digests in several alphabets.
 Ordinary: the letter runs of documents, their other runs that occur in several
 documents, and identifiers composed of neighbouring words in the usual styles (camel
 case, snake case, upper case, with numbers). Half of the strings fit the models, the
@@ -38,13 +38,14 @@ KINDS = ("assign", "access", "hex", "markov")
 STATES = len(ALPHABET) + 1  # state 0: any other character
 BLOCK = 128
 SLICES = 1 << 40  # of the hash that chooses the training sample
+EXACT_SCORES = 1_000_000  # scores that one task may hold
 
 
 @dataclass(frozen=True)
 class SecretParams:
     min_value: int = 6  # characters of an assigned value
     min_run: int = 16  # characters of a scored run
-    train_rows: int = 5_000  # bound of the documents that the models are counted on
+    train_rows: int | None = None  # about so many documents train the models; by default all
     threshold: float | None = None  # log-likelihood ratio per step; by default fitted
     recall: float = 0.97  # of random strings of the least length, when the threshold is fitted
     smoothing: float = 20.0  # weight of a character's share of its class
@@ -193,10 +194,12 @@ def composed(words: Column) -> Column:
 def training_strings(docs: DataFrame, params: SecretParams) -> DataFrame:
     """(token, random, fit): distinct labelled strings; half of them fit the models.
 
-    From about `train_rows` documents, chosen by a hash of id and text length.
+    From all documents, or from about `train_rows`, chosen by a hash of id and text length.
     """
-    key = F.pmod(F.xxhash64(F.lit("train"), "doc_id", F.length("text")), F.lit(SLICES))
-    sample = docs.filter(key < F.lit(sample_slices(params.train_rows, docs.count())))
+    sample = docs
+    if params.train_rows is not None:
+        key = F.pmod(F.xxhash64(F.lit("train"), "doc_id", F.length("text")), F.lit(SLICES))
+        sample = docs.filter(key < F.lit(sample_slices(params.train_rows, docs.count())))
     runs = sample.select(
         "doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_run_pattern(6)), F.lit(0)))).alias("token")
     )
@@ -208,7 +211,7 @@ def training_strings(docs: DataFrame, params: SecretParams) -> DataFrame:
     named = sample.select(F.transform(words, F.lower).alias("words")).select(
         F.explode(composed(F.col("words"))).alias("token")
     )
-    ordinary = seen.select("token").union(named).union(seen.select(F.upper("token")))
+    ordinary = seen.select(F.explode(F.array("token", F.upper("token"))).alias("token")).union(named)
     digest = lambda salt: F.base64(F.unhex(F.sha2(F.concat_ws(":", F.lit(salt), F.coalesce("doc_id", F.lit(0)), F.length("text")), 256)))
     plain = lambda salt: F.regexp_replace(digest(salt), "[^A-Za-z0-9]", "")
     random = sample.select(F.explode(F.array(
@@ -220,6 +223,19 @@ def training_strings(docs: DataFrame, params: SecretParams) -> DataFrame:
     return both.filter(F.length("token") > 1).distinct().withColumn("fit", fit)
 
 
+def _counted_steps(strings: DataFrame) -> DataFrame:
+    """(random, n, step): how often each step occurs. Steps are counted as texts of two or
+    three characters, of which there are few, before their cells are found."""
+    last = F.col("last")
+    gram = F.substring("token", F.greatest(last - 2, F.lit(1)), F.least(last, F.lit(3)))
+    grams = (
+        strings.select("random", "token", F.explode(F.sequence(F.lit(2), F.length("token"))).alias("last"))
+        .groupBy("random", gram.alias("gram"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return grams.select("random", "n", F.element_at(_bound(_states(F.col("gram")), _steps), -1).alias("step"))
+
+
 def _log_ratio() -> Column:
     return F.array_sort(F.collect_list(F.struct("cell", (F.log("p1") - F.log("p0")).alias("ratio"))))["ratio"]
 
@@ -228,7 +244,7 @@ def _class_ratios(steps: DataFrame) -> DataFrame:
     """One row: log ratios of the class cells, with add-one counts."""
     cells = steps.sparkSession.range(125).select(F.col("id").alias("cell"))
     counts = steps.groupBy(F.col("step.classes").cast("bigint").alias("cell")).agg(
-        *[F.sum(F.when(F.col("random") == r, 1).otherwise(0)).alias(f"n{r}") for r in (0, 1)]
+        *[F.sum(F.when(F.col("random") == r, F.col("n")).otherwise(0)).alias(f"n{r}") for r in (0, 1)]
     )
     filled = cells.join(counts, "cell", "left").select(
         "cell", F.floor(F.col("cell") / 5).alias("before"), *[(F.coalesce(f"n{r}", F.lit(0)) + 1.0).alias(f"n{r}") for r in (0, 1)]
@@ -242,7 +258,7 @@ def _character_ratios(steps: DataFrame, params: SecretParams) -> DataFrame:
     """One row: log ratios of the character cells, given the next character's class."""
     cells = steps.sparkSession.range(STATES * STATES).select(F.col("id").alias("cell"))
     counts = steps.groupBy(F.col("step.characters").cast("bigint").alias("cell")).agg(
-        *[F.sum(F.when(F.col("random") == r, 1).otherwise(0)).alias(f"n{r}") for r in (0, 1)]
+        *[F.sum(F.when(F.col("random") == r, F.col("n")).otherwise(0)).alias(f"n{r}") for r in (0, 1)]
     )
     state = F.col("cell") % STATES
     filled = cells.join(counts, "cell", "left").select(
@@ -290,19 +306,36 @@ def held_out(strings: DataFrame, model: SecretModel, params: SecretParams) -> Da
     return rows.select("random", _bound(_states(F.col("token")), model.score).alias("score"))
 
 
+def _quantile(scores: DataFrame, share: float, most: int = EXACT_SCORES) -> float | None:
+    """Exact quantile of a stored column `score`, None without rows.
+
+    Of more than `most` scores, only those near the quantile, between two approximate
+    ones, are brought together.
+    """
+    n = scores.count()
+    if n <= most:
+        return scores.agg(F.percentile("score", F.lit(share)).alias("at")).first()["at"]
+    near = [max(0.0, share - 0.001), min(1.0, share + 0.001)]
+    low, high = scores.agg(F.percentile_approx("score", near, 100_000).alias("at")).first()["at"]
+    between = F.when(F.col("score").between(low, high), F.col("score"))
+    found = scores.agg(
+        F.count_if(F.col("score") < low).alias("below"), F.sort_array(F.collect_list(between)).alias("near")
+    ).first()
+    place = share * (n - 1) - found["below"]
+    first = math.floor(place)
+    values = found["near"][first : first + 2]
+    return values[0] + (place - first) * (values[-1] - values[0])
+
+
 def train(docs: DataFrame, params: SecretParams) -> SecretModel:
     """Models and threshold from labelled strings.
 
-    An empty table gives equal models. A table with rows whose sample is empty is an
-    error.
+    The strings are not stored: one pass over them counts the steps of those that fit
+    the models, another scores the random strings kept apart. An empty table gives equal
+    models. A table with rows whose sample is empty is an error.
     """
-    strings = staged(training_strings(docs, params), "strings")
-    steps = staged(
-        strings.filter("fit").select(
-            "random", F.explode(_bound(_states(F.col("token")), _steps)).alias("step")
-        ),
-        "steps",
-    )
+    strings = training_strings(docs, params)
+    steps = staged(_counted_steps(strings.filter("fit")), "steps")
     if steps.isEmpty() and not docs.isEmpty():
         raise ValueError(f"no training sample for the character models: train_rows={params.train_rows}")
     model = SecretModel(
@@ -310,12 +343,12 @@ def train(docs: DataFrame, params: SecretParams) -> SecretModel:
         _constant(_character_ratios(steps, params).first()["characters"]),
         0.5 if params.threshold is None else params.threshold,
     )
+    unstage(steps)
     if params.threshold is None:
-        random = held_out(strings, model, params).filter("random = 1")
-        found = random.agg(F.percentile("score", F.lit(1 - params.recall)).alias("at")).first()["at"]
+        random = staged(held_out(strings, model, params).filter("random = 1").select("score"), "scores")
+        found = _quantile(random, 1 - params.recall)
         model = replace(model, threshold=0.5 if found is None else found)
-    unstage(strings)
-    unstage(steps)
+        unstage(random)
     return model
 
 

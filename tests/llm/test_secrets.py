@@ -183,3 +183,26 @@ def test_ratio_equals_plain_counts(spark, prose):
         "token", secrets._bound(secrets._states(F.col("token")), model.score).alias("score"))
     for r in rows.collect():
         assert abs(r.score - plain_ratio(fit, r.token, params.smoothing)) < 1e-9
+
+
+def test_models_are_counted_on_all_documents(spark):
+    """More documents than the 5,000 that were a sample before; each gives its own strings."""
+    docs = spark.range(6_000).selectExpr("id AS doc_id", "concat('word alpha beta', id) AS text")
+    params = secrets.SecretParams()
+    strings = secrets.training_strings(docs, params)
+    assert strings.filter("random = 1").count() >= 6 * 6_000 - 100
+    steps = secrets._counted_steps(strings.filter("fit"))
+    assert steps.agg({"n": "sum"}).first()[0] == strings.filter("fit").selectExpr("sum(length(token) - 1)").first()[0]
+    fewer = secrets.training_strings(docs, secrets.SecretParams(train_rows=500))
+    assert 6 * 400 < fewer.filter("random = 1").count() < 6 * 600
+
+
+def test_quantile_of_many_scores(spark):
+    """Beyond the scores of one task, the same value as of all at once."""
+    from pyspark.sql import functions as F
+
+    scores = spark.range(20_000).select(F.sin(F.col("id").cast("double")).alias("score"))
+    for share in (0.03, 0.0, 1.0, 0.5):
+        exact = scores.agg(F.percentile("score", F.lit(share))).first()[0]
+        assert abs(secrets._quantile(scores, share, most=100) - exact) < 1e-12
+    assert secrets._quantile(scores.filter("score > 2"), 0.03) is None
